@@ -75,34 +75,72 @@ def with_neighbours(
     out = base.withColumn(SIDE, F.lit(OWN))
     wanted = list(dict.fromkeys([*order_cols, *carried]))
     wanted = [c for c in wanted if c not in keys]
-    along = Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last())
+    if max(before, after) == 1:
+        copies = _edge_rows(base, keys, order_cols, wanted, before, after)
+        return out.unionByName(copies, allowMissingColumns=True)
     for count, side in ((before, BEFORE), (after, AFTER)):
-        if count == 0:
-            continue
-        ordering = _descending(order_cols) if side == BEFORE else _ascending(order_cols)
-        place = -F.col("__rn") if side == BEFORE else F.col("__rn")
-        edge = (
-            base.select(*keys, CHUNK, *wanted)
-            .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*ordering)))
-            .where(F.col("__rn") <= count)
-            # at most ``count`` rows per chunk are collected here
-            .groupBy(*keys, CHUNK)
-            .agg(F.sort_array(F.collect_list(F.struct(place.alias("__place"), *wanted))).alias("__rows"))
-        )
-        # every chunk that exists has at least one row, so ``count`` chunks suffice
-        frame = along.rowsBetween(-count, -1) if side == BEFORE else along.rowsBetween(1, count)
-        joined = F.flatten(F.collect_list("__rows").over(frame))
-        skip = F.greatest(F.size(joined) - count, F.lit(0)) if side == BEFORE else F.lit(0)
-        kept = F.slice(joined, skip + 1, count)
-        copies = (
-            edge.withColumn("__kept", kept)
-            .select(*keys, CHUNK, F.explode("__kept").alias("__row"))
-            .select(*keys, CHUNK, *[F.col(f"__row.{c}").alias(c) for c in wanted], F.lit(side).alias(SIDE))
-        )
-        out = out.unionByName(copies, allowMissingColumns=True)
+        if count:
+            copies = _edge_runs(base, keys, order_cols, wanted, count, side)
+            out = out.unionByName(copies, allowMissingColumns=True)
     return out
 
 
+def _along_chunks(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last())
+
+
+def _edge_rows(
+    base: DataFrame, keys: Sequence[str], order_cols: Sequence[str], wanted: Sequence[str], before: int, after: int
+) -> DataFrame:
+    """The last row of the chunk before and/or the first row of the chunk after, for every chunk.
+
+    First and last rows come from one aggregation that combines before its shuffle.
+    """
+    rank, row = rank_value(order_cols), F.struct(*wanted)
+    edges = base.groupBy(*keys, CHUNK).agg(
+        *([F.max_by(row, rank).alias("__end")] if before else []),
+        *([F.min_by(row, rank).alias("__start")] if after else []),
+    )
+    along = _along_chunks(keys)
+    found = []
+    if before:
+        found.append(F.struct(F.lit(BEFORE).alias(SIDE), F.lag("__end").over(along).alias("row")))
+    if after:
+        found.append(F.struct(F.lit(AFTER).alias(SIDE), F.lead("__start").over(along).alias("row")))
+    return (
+        edges.withColumn("__found", F.array(*found))
+        .select(*keys, CHUNK, F.explode("__found").alias("__copy"))
+        .where(F.col("__copy.row").isNotNull())
+        .select(*keys, CHUNK, *[F.col(f"__copy.row.{c}").alias(c) for c in wanted], f"__copy.{SIDE}")
+    )
+
+
+def _edge_runs(
+    base: DataFrame, keys: Sequence[str], order_cols: Sequence[str], wanted: Sequence[str], count: int, side: int
+) -> DataFrame:
+    """The ``count`` rows just before (or after) every chunk."""
+    ordering = _descending(order_cols) if side == BEFORE else _ascending(order_cols)
+    place = -F.col("__rn") if side == BEFORE else F.col("__rn")
+    edge = (
+        base.select(*keys, CHUNK, *wanted)
+        .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*ordering)))
+        .where(F.col("__rn") <= count)
+        # at most ``count`` rows per chunk are collected here
+        .groupBy(*keys, CHUNK)
+        .agg(F.sort_array(F.collect_list(F.struct(place.alias("__place"), *wanted))).alias("__rows"))
+    )
+    # every chunk that exists has at least one row, so ``count`` chunks suffice
+    along = _along_chunks(keys)
+    frame = along.rowsBetween(-count, -1) if side == BEFORE else along.rowsBetween(1, count)
+    joined = F.flatten(F.collect_list("__rows").over(frame))
+    skip = F.greatest(F.size(joined) - count, F.lit(0)) if side == BEFORE else F.lit(0)
+    return (
+        edge.withColumn("__kept", F.slice(joined, skip + 1, count))
+        .select(*keys, CHUNK, F.explode("__kept").alias("__row"))
+        .select(*keys, CHUNK, *[F.col(f"__row.{c}").alias(c) for c in wanted], F.lit(side).alias(SIDE))
+    )
+
+
 def chunk_window(keys: Sequence[str], order_cols: Sequence[str]):
     """Window over one chunk, neighbour copies first and last."""
     return Window.partitionBy(*keys, CHUNK).orderBy(SIDE, *_ascending(order_cols))

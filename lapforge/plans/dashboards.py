@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lapforge.functions import label_or
 from lapforge.operators.ordered import delta_from_first
-from lapforge.operators.quantiles import median, spread_percentiles
+from lapforge.operators.quantiles import median
 from lapforge.plans.marts import RACE
 from lapforge.plans.pace import racing_laps
 
@@ -228,13 +228,14 @@ def degradation_deltas(lap_times: DataFrame) -> DataFrame:
 def degradation_curve(lap_times: DataFrame) -> DataFrame:
     """Median delta and number of laps per race, compound and tyre age.
 
-    A group spans the whole field, so its size is open: the median is the spread one.
+    A group spans the whole field.  Deltas of lap times lie on the millisecond
+    grid, so the exact median keeps few counters however many laps there are.
     """
-    keys = [*RACE, "compound", "tyre_life"]
     deltas = degradation_deltas(lap_times).where(F.col("compound").isNotNull() & F.col("tyre_life").isNotNull())
-    counts = deltas.groupBy(*keys).agg(F.count("delta").alias("count"))
-    medians = spread_percentiles(deltas, keys, "delta", {"median": 0.5})
-    return medians.join(counts, keys).where(F.col("count") >= 1)
+    curve = deltas.groupBy(*RACE, "compound", "tyre_life").agg(
+        median("delta").alias("median"), F.count("delta").alias("count")
+    )
+    return curve.where(F.col("count") >= 1)
 
 
 def degradation_fit(curve: DataFrame, min_points: int = 2) -> DataFrame:

@@ -264,6 +264,17 @@ ORDER = {
 class Tables:
     """Lazy access to the derived tables of one data folder."""
 
+    _open: dict[tuple[str, str], Tables] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, folder: str) -> Tables:
+        """The tables of a folder; their plans (not their rows) are shared by all queries of a session."""
+        key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+        if key not in cls._open:
+            cls._open[key] = cls(spark, folder)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return cls._open[key]
+
     def __init__(self, spark: SparkSession, folder: str):
         # results are compared with naive UTC timestamps
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -273,7 +284,7 @@ class Tables:
 
     def source(self, name: str) -> DataFrame:
         """A test table as generated."""
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._once(f"source_{name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def _once(self, key: str, make) -> DataFrame:
         if key not in self._made:
@@ -297,7 +308,7 @@ class Tables:
         return self._once(f"silver_{name}", lambda: CLEANERS[name](self.raw(name), order_cols=ORDER[name]))
 
     def staged(self, name: str) -> DataFrame:
-        return staged(self.silver(name), name)
+        return self._once(f"staged_{name}", lambda: staged(self.silver(name), name))
 
     @cached_property
     def race_results(self) -> DataFrame:
