@@ -85,75 +85,99 @@ def lap_trace(telemetry: DataFrame, laps: DataFrame | None = None) -> DataFrame:
     )
 
 
+PAIR = ["season", "round", "driver_a", "lap_a", "driver_b", "lap_b"]
+CHANNELS = (*LINEAR, "brake", "drs")
+
+
+def shared_span(telemetry: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The distances both laps of a pair cover (one row per pair that overlaps)."""
+    extent = telemetry.groupBy(*LAP).agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
+
+    def of(side: str) -> DataFrame:
+        return extent.select(
+            *RACE,
+            F.col("abbreviation").alias(f"driver_{side}"),
+            F.col("lap_number").alias(f"lap_{side}"),
+            F.col("lo").alias(f"lo_{side}"),
+            F.col("hi").alias(f"hi_{side}"),
+        )
+
+    known = pairs.select(*PAIR).distinct()
+    for side in ("a", "b"):
+        known = known.join(of(side), [*RACE, f"driver_{side}", f"lap_{side}"])
+    span = known.select(
+        *PAIR, F.greatest("lo_a", "lo_b").alias("grid_lo"), F.least("hi_a", "hi_b").alias("grid_hi")
+    )
+    return span.where(F.col("grid_lo") <= F.col("grid_hi"))
+
+
 def paired_grids(
-    telemetry: DataFrame, pairs: DataFrame, n: int = 700, ties: Sequence[str] = ("telemetry_timestamp",)
+    telemetry: DataFrame,
+    pairs: DataFrame,
+    n: int = 700,
+    channels: Sequence[str] = CHANNELS,
+    ties: Sequence[str] = ("telemetry_timestamp",),
 ) -> DataFrame:
     """Both laps of every pair on the grid that spans the distance they share.
 
     ``pairs`` has (season, round, driver_a, lap_a, driver_b, lap_b); the result
     has one row per pair, side ("a" or "b") and grid point, with elapsed time.
     """
-    pair = [*RACE, "driver_a", "lap_a", "driver_b", "lap_b"]
-    sides = pairs.select(*pair).distinct().select(
-        *pair,
-        F.explode(
-            F.array(
-                F.struct(F.lit("a").alias("side"), F.col("driver_a").alias("d"), F.col("lap_a").alias("l")),
-                F.struct(F.lit("b").alias("side"), F.col("driver_b").alias("d"), F.col("lap_b").alias("l")),
-            )
-        ).alias("__s"),
-    ).select(*pair, "__s.side", F.col("__s.d").alias("abbreviation"), F.col("__s.l").alias("lap_number"))
-    wanted = sides.select(*LAP).distinct()
-    channels = [c for c in [*LINEAR, "brake", "drs", *ties] if c in telemetry.columns]
-    traces = telemetry.where(F.col("distance").isNotNull()).join(wanted, LAP, "left_semi").select(
-        *LAP, "distance", *channels
-    )
-    # extents are one small row per lap, and from them one per pair
-    extent = traces.groupBy(*LAP).agg(F.min("distance").alias("__min"), F.max("distance").alias("__max"))
-    overlap = (
-        sides.join(extent, LAP)
-        .groupBy(*pair)
-        .agg(
-            F.max("__min").alias("grid_lo"),
-            F.min("__max").alias("grid_hi"),
-            F.count(F.lit(1)).alias("__found"),
+    lap_of = {
+        side: F.struct(
+            F.lit(side).alias("side"),
+            F.col(f"driver_{side}").alias("abbreviation"),
+            F.col(f"lap_{side}").alias("lap_number"),
         )
-        .where((F.col("__found") == 2) & (F.col("grid_lo") <= F.col("grid_hi")))
-        .drop("__found")
+        for side in ("a", "b")
+    }
+    laps = (
+        shared_span(telemetry, pairs)
+        .withColumn("__lap", F.explode(F.array(*lap_of.values())))
+        .select(*PAIR, "grid_lo", "grid_hi", "__lap.*")
     )
-    runs = traces.join(sides.join(overlap, pair), LAP)
-    keys = [*pair, "side"]
-    return cumulative_time(resample(runs, keys, "grid_lo", "grid_hi", n, ties=ties), keys)
+    samples = telemetry.select(*LAP, "distance", *dict.fromkeys([*channels, "speed", *ties]))
+    keys = [*PAIR, "side"]
+    grid = resample(samples.join(laps, LAP), keys, "grid_lo", "grid_hi", n, ties=ties)
+    # two traces of ``n`` points to a pair; what follows needs no other shuffle
+    return cumulative_time(grid.repartition(*PAIR), keys)
 
 
 def compare_laps(
-    telemetry: DataFrame, pairs: DataFrame, n: int = 700, ties: Sequence[str] = ("telemetry_timestamp",)
+    telemetry: DataFrame,
+    pairs: DataFrame,
+    n: int = 700,
+    channels: Sequence[str] = CHANNELS,
+    ties: Sequence[str] = ("telemetry_timestamp",),
 ) -> DataFrame:
     """Two laps side by side on their shared grid, with speed and time deltas (A minus B)."""
-    point = [*RACE, "driver_a", "lap_a", "driver_b", "lap_b", "grid_idx"]
-    grids = paired_grids(telemetry, pairs, n, ties)
-    channels = [c for c in grids.columns if c not in (*point, "side", "distance")]
+    point = [*PAIR, "grid_idx"]
+    grids = paired_grids(telemetry, pairs, n, channels, ties)
+    values = F.struct(*[c for c in grids.columns if c not in (*point, "side", "distance")])
 
-    def of(side: str, c: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}_{side}")
+    def of(side: str) -> Column:
+        return F.any_value(F.when(F.col("side") == side, values), ignoreNulls=True).alias(f"__{side}")
 
     # exactly two rows per point
-    wide = grids.groupBy(*point).agg(
-        F.first("distance").alias("distance"), *[of(s, c) for c in channels for s in ("a", "b")]
-    )
-    return wide.withColumns(
-        {
-            "speed_delta": F.col("speed_a") - F.col("speed_b"),
-            "time_delta": F.col("elapsed_s_a") - F.col("elapsed_s_b"),
-        }
+    wide = grids.groupBy(*point).agg(F.any_value("distance").alias("distance"), of("a"), of("b"))
+    names = [c for c in grids.columns if c not in (*point, "side", "distance")]
+    return wide.select(
+        *point,
+        "distance",
+        *[F.col(f"__{side}.{c}").alias(f"{c}_{side}") for c in names for side in ("a", "b")],
+        (F.col("__a.speed") - F.col("__b.speed")).alias("speed_delta"),
+        (F.col("__a.elapsed_s") - F.col("__b.elapsed_s")).alias("time_delta"),
     )
 
 
 def delta_range(compared: DataFrame, percentile: float = 0.95) -> DataFrame:
-    """Colour range of a speed-delta map: a high percentile of its absolute value per pair."""
-    pair = [*RACE, "driver_a", "lap_a", "driver_b", "lap_b"]
-    size = compared.select(*pair, F.abs("speed_delta").alias("__size"))
-    return spread_percentiles(size, pair, "__size", {"abs_max": percentile})
+    """Colour range of a speed-delta map: a high percentile of its absolute value per pair.
+
+    A pair has as many values as the grid has points.
+    """
+    return compared.groupBy(*PAIR).agg(
+        F.percentile(F.abs("speed_delta"), F.lit(percentile)).alias("abs_max")
+    )
 
 
 def track_segments(
@@ -168,8 +192,16 @@ def track_segments(
     samples = samples.select(*LAP, "distance", "x", "y", channel, *[t for t in ties if t != channel])
     pieces = (
         segments(samples, LAP, ["x", "y"], ties=ties)
-        .where(F.col("next_distance").isNotNull())
-        .select(*LAP, "distance", "x", "y", "next_x", "next_y", F.col(channel).cast("double").alias("value"))
+        .where(F.col("following").isNotNull())
+        .select(
+            *LAP,
+            "distance",
+            "x",
+            "y",
+            F.col("following.x").alias("next_x"),
+            F.col("following.y").alias("next_y"),
+            F.col(channel).cast("double").alias("value"),
+        )
     )
     span = spread_percentiles(samples, LAP, channel, {"value_low": low, "value_high": high})
     return pieces.join(span, LAP, "left")

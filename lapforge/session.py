@@ -33,22 +33,32 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, name: str
     return spark
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
     """The folder shared by all executors that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="lapforge-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that several branches read (reliable checkpoint)."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=False)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="lapforge-")
+    return _OWN_FOLDERS[app]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    This cuts the lineage of a table that many queries read: they prune its
+    columns instead of building it again, and a lost executor costs a file read.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/lapforge/{spark.sparkContext.applicationId}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,6 +4,8 @@ The statements below run unchanged in Spark and in DuckDB.  They only shape
 inputs; everything under test happens in the library.  Fields stay small at any
 scale: a race has at most 20 drivers and a driver at most 53 laps per race, and
 more data means more seasons (every 80 suppliers or 120 users open new ones).
+Silver tables and marts are written to the session's shared folder when first
+needed, as in the layered store they stand for, and later queries read them.
 Table names are written in braces, which Spark binds to DataFrames.
 """
 
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lapforge.plans import marts
 from lapforge.plans.silver import CLEANERS
 from lapforge.plans.staging import staged
+from lapforge.session import written
 
 STATEMENTS = {
     "lines": """
@@ -261,6 +264,19 @@ ORDER = {
 }
 
 
+#: Marts: job, staged inputs, options (shares stay unrounded for the comparison).
+MARTS = {
+    "race_results": (marts.mart_race_results, ["results", "race_results", "race_schedule"], {}),
+    "driver_standings": (marts.mart_driver_standings, ["driver_standings"], {}),
+    "constructor_standings": (marts.mart_constructor_standings, ["constructor_standings"], {}),
+    "lap_times": (marts.mart_lap_times, ["laps", "results"], {}),
+    "pit_stops": (marts.mart_pit_stops, ["pit_stops", "laps", "results"], {}),
+    "tyre_strategy": (marts.mart_tyre_strategy, ["laps", "results"], {}),
+    "telemetry_stints": (marts.mart_telemetry_stints, ["telemetry", "laps", "results"], {"digits": None}),
+    "weather": (marts.mart_weather, ["weather", "race_schedule"], {}),
+}
+
+
 class Tables:
     """Lazy access to the derived tables of one data folder."""
 
@@ -304,52 +320,34 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.shaped(f"raw_{name}")
 
+    def cleaned(self, name: str) -> DataFrame:
+        """A cleaning job from the raw rows on."""
+        return CLEANERS[name](self.raw(name), order_cols=ORDER[name])
+
     def silver(self, name: str) -> DataFrame:
-        return self._once(f"silver_{name}", lambda: CLEANERS[name](self.raw(name), order_cols=ORDER[name]))
+        """A cleaned table, written once per session and read from there."""
+        return self._table(f"silver_{name}", lambda: self.cleaned(name))
 
     def staged(self, name: str) -> DataFrame:
         return self._once(f"staged_{name}", lambda: staged(self.silver(name), name))
 
-    @cached_property
-    def race_results(self) -> DataFrame:
-        return marts.mart_race_results(
-            self.staged("results"), self.staged("race_results"), self.staged("race_schedule")
-        )
-
-    @cached_property
-    def driver_standings(self) -> DataFrame:
-        return marts.mart_driver_standings(self.staged("driver_standings"))
+    def mart(self, name: str) -> DataFrame:
+        """A mart job from the silver tables on."""
+        build, inputs, options = MARTS[name]
+        return build(*[self.staged(i) for i in inputs], **options)
 
-    @cached_property
-    def constructor_standings(self) -> DataFrame:
-        return marts.mart_constructor_standings(self.staged("constructor_standings"))
+    def gold(self, name: str) -> DataFrame:
+        """A mart, written once per session and read from there."""
+        return self._table(f"gold_{name}", lambda: self.mart(name))
 
-    @cached_property
-    def lap_times(self) -> DataFrame:
-        return marts.mart_lap_times(self.staged("laps"), self.staged("results"))
-
-    @cached_property
-    def pit_stops(self) -> DataFrame:
-        return marts.mart_pit_stops(self.staged("pit_stops"), self.staged("laps"), self.staged("results"))
-
-    @cached_property
-    def tyre_strategy(self) -> DataFrame:
-        return marts.mart_tyre_strategy(self.staged("laps"), self.staged("results"))
-
-    @cached_property
-    def telemetry_stints(self) -> DataFrame:
-        return marts.mart_telemetry_stints(
-            self.staged("telemetry"), self.staged("laps"), self.staged("results"), digits=None
-        )
-
-    @cached_property
-    def weather(self) -> DataFrame:
-        return marts.mart_weather(self.staged("weather"), self.staged("race_schedule"))
+    def _table(self, key: str, make) -> DataFrame:
+        folder = self.folder.strip("/").replace("/", "_")
+        return self._once(key, lambda: written(make(), f"{folder}/{key}"))
 
     @cached_property
     def teammates(self) -> DataFrame:
         """Team-mates of every race: (season, round, driver_a, driver_b)."""
-        entry = self.race_results.select("season", "round", "team_id", "abbreviation")
+        entry = self.gold("race_results").select("season", "round", "team_id", "abbreviation")
         a = entry.withColumnRenamed("abbreviation", "driver_a")
         b = entry.withColumnRenamed("abbreviation", "driver_b")
         pairs = a.join(b, ["season", "round", "team_id"])

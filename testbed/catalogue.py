@@ -85,7 +85,7 @@ _SILVER_TEXTS = {
 }
 for _name, _floats in _SILVER_FLOATS.items():
     QUERIES[f"clean_{_name}"] = Query(
-        lambda t, n=_name: t.silver(n),
+        lambda t, n=_name: t.cleaned(n),
         f"select * replace ({LOADED}) from silver_{_name}",
         _floats,
         _SILVER_TEXTS.get(_name, ""),
@@ -146,16 +146,16 @@ for _name, _sql in _STAGED_SQL.items():
 
 # --- marts ------------------------------------------------------------------------------------
 QUERIES["mart_race_results"] = Query(
-    lambda t: t.race_results, "select * from mart_race_results", "race_time_seconds points", "race_date"
+    lambda t: t.mart("race_results"), "select * from mart_race_results", "race_time_seconds points", "race_date"
 )
 QUERIES["mart_driver_standings"] = Query(
-    lambda t: t.driver_standings,
+    lambda t: t.mart("driver_standings"),
     "select * from mart_driver_standings",
     "championship_points points_this_round",
     "driver_dob",
 )
 QUERIES["mart_constructor_standings"] = Query(
-    lambda t: t.constructor_standings,
+    lambda t: t.mart("constructor_standings"),
     "select * from mart_constructor_standings",
     "championship_points points_this_round",
 )
@@ -163,26 +163,26 @@ _LAP_FLOATS = (
     "lap_time_seconds sector1_time_seconds sector2_time_seconds sector3_time_seconds speed_i1 speed_i2 "
     "speed_fl speed_st pit_out_time_seconds pit_in_time_seconds"
 )
-QUERIES["mart_lap_times"] = Query(lambda t: t.lap_times, "select * from mart_lap_times", _LAP_FLOATS)
+QUERIES["mart_lap_times"] = Query(lambda t: t.mart("lap_times"), "select * from mart_lap_times", _LAP_FLOATS)
 QUERIES["mart_pit_stops"] = Query(
-    lambda t: t.pit_stops,
+    lambda t: t.mart("pit_stops"),
     "select * from mart_pit_stops",
     "pit_stop_duration_seconds pit_lap_time_seconds",
     "race_date",
 )
 QUERIES["mart_tyre_strategy"] = Query(
-    lambda t: t.tyre_strategy,
+    lambda t: t.mart("tyre_strategy"),
     "select * from mart_tyre_strategy",
     "avg_lap_time_seconds fastest_lap_seconds degradation_rate_seconds_per_lap",
 )
 QUERIES["mart_telemetry_stints"] = Query(
-    lambda t: t.telemetry_stints,
+    lambda t: t.mart("telemetry_stints"),
     "select * from mart_telemetry_stints",
     "avg_speed max_speed min_speed_on_throttle avg_throttle full_throttle_pct brake_pct drs_open_pct avg_gear "
     "max_distance_metres",
 )
 QUERIES["mart_weather"] = Query(
-    lambda t: t.weather,
+    lambda t: t.mart("weather"),
     "select * from mart_weather",
     "session_elapsed_seconds air_temp track_temp track_air_temp_delta humidity pressure wind_speed",
     "race_datetime",
@@ -190,22 +190,22 @@ QUERIES["mart_weather"] = Query(
 
 # --- results and standings --------------------------------------------------------------------
 QUERIES["loaded_rounds"] = Query(
-    lambda t: results.loaded_rounds(t.race_results), "select distinct season, round from mart_race_results"
+    lambda t: results.loaded_rounds(t.gold("race_results")), "select distinct season, round from mart_race_results"
 )
 QUERIES["latest_standings"] = Query(
-    lambda t: results.latest_standings(t.driver_standings, t.race_results),
+    lambda t: results.latest_standings(t.gold("driver_standings"), t.gold("race_results")),
     "select season, abbreviation, constructor, championship_points, championship_position, wins "
     "from mart_driver_standings join last_round using (season, round)",
     "championship_points",
 )
 QUERIES["points_progression"] = Query(
-    lambda t: results.points_progression(t.driver_standings),
+    lambda t: results.points_progression(t.gold("driver_standings")),
     "select season, round, abbreviation, constructor, championship_points from mart_driver_standings "
     "where season in (select season from mart_driver_standings group by season having count(distinct round) >= 2)",
     "championship_points",
 )
 QUERIES["racecraft"] = Query(
-    lambda t: results.racecraft(t.race_results, None),
+    lambda t: results.racecraft(t.gold("race_results"), None),
     "select season, abbreviation, constructor, count(*) as races, "
     "cast(sum(grid_position - finish_position) as bigint) as total_positions_gained, "
     "avg(finish_position) as avg_finish, avg(grid_position) as avg_grid from mart_race_results "
@@ -213,13 +213,13 @@ QUERIES["racecraft"] = Query(
     "avg_finish avg_grid",
 )
 QUERIES["grid_vs_finish"] = Query(
-    lambda t: results.grid_vs_finish(t.race_results),
+    lambda t: results.grid_vs_finish(t.gold("race_results")),
     "select season, round, abbreviation, constructor, grid_position, finish_position, "
     "grid_position - finish_position as positions_gained from mart_race_results "
     "where grid_position is not null and finish_position is not null",
 )
 QUERIES["head_to_head"] = Query(
-    lambda t: results.head_to_head(t.race_results),
+    lambda t: results.head_to_head(t.gold("race_results")),
     "select season, constructor, driver_a, driver_b, winner, count(*) as rounds_ahead from ("
     "select a.season, a.constructor, a.abbreviation as driver_a, b.abbreviation as driver_b, "
     "case when a.finish_position < b.finish_position then a.abbreviation else b.abbreviation end as winner "
@@ -228,7 +228,7 @@ QUERIES["head_to_head"] = Query(
     "where a.finish_position is not null and b.finish_position is not null) group by all",
 )
 QUERIES["scorecard"] = Query(
-    lambda t: results.scorecard(t.race_results, t.driver_standings, t.lap_times, None),
+    lambda t: results.scorecard(t.gold("race_results"), t.gold("driver_standings"), t.gold("lap_times"), None),
     """
     with race_summary as (
       select season, abbreviation, constructor, count(*) as races,
@@ -253,24 +253,24 @@ QUERIES["scorecard"] = Query(
 
 # --- pace -------------------------------------------------------------------------------------
 QUERIES["pace_summary"] = Query(
-    lambda t: pace.pace_summary(t.lap_times, None),
+    lambda t: pace.pace_summary(t.gold("lap_times"), None),
     "select * from pace",
     "median_lap_s std_lap_s delta_to_fastest_s",
 )
 QUERIES["pace_vs_consistency"] = Query(
-    lambda t: pace.pace_vs_consistency(t.lap_times, None),
+    lambda t: pace.pace_vs_consistency(t.gold("lap_times"), None),
     "select season, round, abbreviation, team_id, median_lap_s, std_lap_s from pace",
     "median_lap_s std_lap_s",
 )
 QUERIES["lap_distribution"] = Query(
-    lambda t: pace.lap_distribution(t.lap_times),
+    lambda t: pace.lap_distribution(t.gold("lap_times")),
     "select season, round, abbreviation, team_id, lap_number, lap_time_seconds, "
     "median(lap_time_seconds) over (partition by season, round, abbreviation) as driver_median "
     "from racing where lap_time_seconds is not null",
     "lap_time_seconds driver_median",
 )
 QUERIES["lap_boxes"] = Query(
-    lambda t: pace.lap_boxes(t.lap_times),
+    lambda t: pace.lap_boxes(t.gold("lap_times")),
     """
     with timed as (select * from racing where lap_time_seconds is not null),
     quart as (select season, round, abbreviation, quantile_cont(lap_time_seconds, 0.25) as q1,
@@ -288,7 +288,7 @@ QUERIES["lap_boxes"] = Query(
     "q1 median q3 whisker_low whisker_high",
 )
 QUERIES["pace_evolution"] = Query(
-    lambda t: pace.pace_evolution(t.lap_times, t.race_results, chunk_laps=16),
+    lambda t: pace.pace_evolution(t.gold("lap_times"), t.gold("race_results"), chunk_laps=16),
     """
     select l.season, l.round, l.abbreviation, l.team_id, l.lap_number, l.lap_time_seconds,
       avg(l.lap_time_seconds) over (partition by l.season, l.round, l.abbreviation order by l.lap_number
@@ -299,7 +299,7 @@ QUERIES["pace_evolution"] = Query(
     "lap_time_seconds rolling_avg",
 )
 QUERIES["teammate_pace"] = Query(
-    lambda t: pace.teammate_pace(t.lap_times, t.race_results, None),
+    lambda t: pace.teammate_pace(t.gold("lap_times"), t.gold("race_results"), None),
     """
     with team as (select distinct season, round, abbreviation, constructor from mart_race_results),
     p as (select l.season, l.round, l.abbreviation, c.constructor, median(l.lap_time_seconds) as m
@@ -348,7 +348,7 @@ QUERIES["best_lap"] = Query(
     "lap_time",
 )
 QUERIES["fastest_lap"] = Query(
-    lambda t: telemetry.fastest_lap(t.lap_times),
+    lambda t: telemetry.fastest_lap(t.gold("lap_times")),
     """
     select season, round, abbreviation, lap_number, lap_time_seconds as lap_time from (
       select *, row_number() over (partition by season, round, abbreviation
@@ -426,7 +426,9 @@ QUERIES["compare_laps"] = Query(
     + " ".join(f"{c}_a {c}_b" for c in _CHANNELS if c not in ("brake", "drs")),
 )
 QUERIES["delta_range"] = Query(
-    lambda t: telemetry.delta_range(telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID)),
+    lambda t: telemetry.delta_range(
+        telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, channels=("speed",))
+    ),
     _GRID_SQL
     + f"select {_PAIR}, quantile_cont(abs(a.speed - b.speed), 0.95) as abs_max from "
     + f"(select * from timed where side = 'a') a join (select * from timed where side = 'b') b using ({_PAIR}, grid_idx) "
@@ -486,13 +488,13 @@ QUERIES["throttle_bands"] = Query(
 
 # --- dashboards -------------------------------------------------------------------------------
 QUERIES["get_seasons"] = Query(
-    lambda t: dashboards.get_seasons(t.race_results), "select distinct season from mart_race_results"
+    lambda t: dashboards.get_seasons(t.gold("race_results")), "select distinct season from mart_race_results"
 )
 QUERIES["get_rounds"] = Query(
-    lambda t: dashboards.get_rounds(t.race_results), "select distinct season, round, race_name from mart_race_results"
+    lambda t: dashboards.get_rounds(t.gold("race_results")), "select distinct season, round, race_name from mart_race_results"
 )
 QUERIES["get_race_results"] = Query(
-    lambda t: dashboards.get_race_results(t.race_results),
+    lambda t: dashboards.get_race_results(t.gold("race_results")),
     "select season, round, abbreviation, finish_position, team_name, team_color from mart_race_results",
 )
 _STRATEGY = """
@@ -505,26 +507,26 @@ _STRATEGY = """
       and p.driver_abbreviation = t.abbreviation and p.stint_ending = t.stint
 """
 QUERIES["get_tyre_strategy"] = Query(
-    lambda t: dashboards.get_tyre_strategy(t.tyre_strategy, t.pit_stops), _STRATEGY, "pit_stop_duration_seconds"
+    lambda t: dashboards.get_tyre_strategy(t.gold("tyre_strategy"), t.gold("pit_stops")), _STRATEGY, "pit_stop_duration_seconds"
 )
 _GREEN = "select * from racing where track_status = '1' and lap_time_seconds is not null"
 QUERIES["get_race_pace"] = Query(
-    lambda t: dashboards.get_race_pace(t.lap_times),
+    lambda t: dashboards.get_race_pace(t.gold("lap_times")),
     f"select season, round, abbreviation, team_color, lap_time_seconds from ({_GREEN})",
     "lap_time_seconds",
 )
 QUERIES["get_position_by_lap"] = Query(
-    lambda t: dashboards.get_position_by_lap(t.lap_times),
+    lambda t: dashboards.get_position_by_lap(t.gold("lap_times")),
     "select season, round, abbreviation, lap_number, track_position, team_color from mart_lap_times "
     "where track_position is not null",
 )
 QUERIES["get_weather"] = Query(
-    lambda t: dashboards.get_weather(t.weather),
+    lambda t: dashboards.get_weather(t.gold("weather")),
     "select season, round, session_elapsed_seconds, air_temp, track_temp, humidity, rainfall from mart_weather",
     "session_elapsed_seconds air_temp track_temp humidity",
 )
 QUERIES["get_drivers_for_round"] = Query(
-    lambda t: dashboards.get_drivers_for_round(t.race_results),
+    lambda t: dashboards.get_drivers_for_round(t.gold("race_results")),
     "select distinct season, round, abbreviation from mart_race_results where (season, round) in ("
     "select (season, round) from mart_race_results group by season, round having count(distinct abbreviation) >= 2)",
 )
@@ -539,37 +541,37 @@ _IN_MATES = (
     "union all select (season, round, driver_b) from mates)"
 )
 QUERIES["get_lap_times_for_drivers"] = Query(
-    lambda t: dashboards.get_lap_times_for_drivers(t.lap_times, _mates_as_drivers(t)),
+    lambda t: dashboards.get_lap_times_for_drivers(t.gold("lap_times"), _mates_as_drivers(t)),
     "select season, round, abbreviation, lap_number, lap_time_seconds, compound from mart_lap_times "
     f"where {_IN_MATES}",
     "lap_time_seconds",
 )
 QUERIES["get_sector_averages"] = Query(
-    lambda t: dashboards.get_sector_averages(t.lap_times, _mates_as_drivers(t)),
+    lambda t: dashboards.get_sector_averages(t.gold("lap_times"), _mates_as_drivers(t)),
     "select season, round, abbreviation, avg(sector1_time_seconds) as avg_s1, avg(sector2_time_seconds) as avg_s2, "
     f"avg(sector3_time_seconds) as avg_s3 from mart_lap_times where {_IN_MATES} group by all",
     "avg_s1 avg_s2 avg_s3",
 )
 QUERIES["get_telemetry_metrics"] = Query(
-    lambda t: dashboards.get_telemetry_metrics(t.telemetry_stints),
+    lambda t: dashboards.get_telemetry_metrics(t.gold("telemetry_stints")),
     "select season, round, abbreviation, sum(full_throttle_pct * stint_laps) / sum(stint_laps) as full_throttle_pct, "
     "sum(brake_pct * stint_laps) / sum(stint_laps) as brake_pct, max(max_speed) as max_speed "
     "from mart_telemetry_stints group by all",
     "full_throttle_pct brake_pct max_speed",
 )
 QUERIES["get_pit_stops_for_race"] = Query(
-    lambda t: dashboards.get_pit_stops_for_race(t.pit_stops),
+    lambda t: dashboards.get_pit_stops_for_race(t.gold("pit_stops")),
     "select season, round, driver_abbreviation as abbreviation, lap_pitted, pit_stop_duration_seconds from mart_pit_stops",
     "pit_stop_duration_seconds",
 )
 QUERIES["get_tyre_degradation_all"] = Query(
-    lambda t: dashboards.get_tyre_degradation_all(t.lap_times),
+    lambda t: dashboards.get_tyre_degradation_all(t.gold("lap_times")),
     "select season, round, abbreviation, team_name, stint, compound, tyre_life, lap_number, lap_time_seconds "
     "from mart_lap_times where lap_time_seconds is not null",
     "lap_time_seconds",
 )
 QUERIES["race_pace"] = Query(
-    lambda t: dashboards.race_pace(t.lap_times, t.race_results),
+    lambda t: dashboards.race_pace(t.gold("lap_times"), t.gold("race_results")),
     f"""
     with m as (select season, round, abbreviation, min(team_color) as team_color,
         median(lap_time_seconds) as median_lap_s from ({_GREEN}) group by season, round, abbreviation)
@@ -583,7 +585,7 @@ QUERIES["race_pace"] = Query(
     "median_lap_s axis_min axis_max",
 )
 QUERIES["pair_colours"] = Query(
-    lambda t: dashboards.pair_colours(t.race_results, t.teammates),
+    lambda t: dashboards.pair_colours(t.gold("race_results"), t.teammates),
     """
     select m.season, m.round, m.driver_a, m.driver_b, a.team_color as color_a,
       case when lower(a.team_color) = lower(b.team_color) then '#FFFFFF' else b.team_color end as color_b
@@ -595,7 +597,7 @@ QUERIES["pair_colours"] = Query(
     """,
 )
 QUERIES["driver_delta"] = Query(
-    lambda t: dashboards.driver_delta(t.lap_times, t.teammates),
+    lambda t: dashboards.driver_delta(t.gold("lap_times"), t.teammates),
     """
     with d as (select season, round, abbreviation, median(lap_time_seconds) as m, avg(sector1_time_seconds) as s1,
         avg(sector2_time_seconds) as s2, avg(sector3_time_seconds) as s3 from mart_lap_times group by all)
@@ -609,7 +611,7 @@ QUERIES["driver_delta"] = Query(
     "median_delta_s s1_delta s2_delta s3_delta",
 )
 QUERIES["best_lap_card"] = Query(
-    lambda t: dashboards.best_lap_card(t.lap_times),
+    lambda t: dashboards.best_lap_card(t.gold("lap_times")),
     """
     with s as (select season, round, abbreviation, stddev(lap_time_seconds) as std_dev from mart_lap_times
                where lap_time_seconds is not null group by all),
@@ -644,26 +646,26 @@ _FIT = (
 """
 )
 QUERIES["degradation_deltas"] = Query(
-    lambda t: dashboards.degradation_deltas(t.lap_times),
+    lambda t: dashboards.degradation_deltas(t.gold("lap_times")),
     f"with {_DELTAS} select * from deltas",
     "lap_time_seconds delta",
 )
 QUERIES["degradation_curve"] = Query(
-    lambda t: dashboards.degradation_curve(t.lap_times), f"with {_CURVE} select * from curve", "median"
+    lambda t: dashboards.degradation_curve(t.gold("lap_times")), f"with {_CURVE} select * from curve", "median"
 )
 QUERIES["degradation_fit"] = Query(
-    lambda t: dashboards.degradation_fit(dashboards.degradation_curve(t.lap_times)),
+    lambda t: dashboards.degradation_fit(dashboards.degradation_curve(t.gold("lap_times"))),
     f"with {_FIT} select * from fit",
     "slope intercept",
 )
 QUERIES["trend_line"] = Query(
-    lambda t: dashboards.trend_line(dashboards.degradation_fit(dashboards.degradation_curve(t.lap_times))),
+    lambda t: dashboards.trend_line(dashboards.degradation_fit(dashboards.degradation_curve(t.gold("lap_times")))),
     f"with {_FIT} select season, round, compound, i, x_min + i * ((x_max - x_min) / 49e0) as x, "
     "intercept + slope * (x_min + i * ((x_max - x_min) / 49e0)) as y from fit, range(0, 50) r(i)",
     "x y",
 )
 QUERIES["weather_summary"] = Query(
-    lambda t: dashboards.weather_summary(t.weather),
+    lambda t: dashboards.weather_summary(t.gold("weather")),
     """
     with r as (select *, row_number() over (partition by season, round order by session_elapsed_seconds desc) as rn
                from mart_weather),
@@ -675,7 +677,7 @@ QUERIES["weather_summary"] = Query(
     "air_temp track_temp humidity air_min air_max track_min track_max",
 )
 QUERIES["display_order"] = Query(
-    lambda t: dashboards.display_order(t.race_results),
+    lambda t: dashboards.display_order(t.gold("race_results")),
     """
     with best as (select season, round, team_name, min(finish_position) as p,
         arg_min(abbreviation, (finish_position, abbreviation)) as who
@@ -690,7 +692,7 @@ QUERIES["display_order"] = Query(
     """,
 )
 QUERIES["strategy_order"] = Query(
-    lambda t: dashboards.strategy_order(t.tyre_strategy, t.race_results),
+    lambda t: dashboards.strategy_order(t.gold("tyre_strategy"), t.gold("race_results")),
     """
     with extra as (select distinct s.season, s.round, s.abbreviation from mart_tyre_strategy s
         where not exists (select 1 from mart_race_results r where r.season = s.season and r.round = s.round
@@ -703,7 +705,7 @@ QUERIES["strategy_order"] = Query(
     """,
 )
 QUERIES["compound_order"] = Query(
-    lambda t: dashboards.compound_order(t.tyre_strategy),
+    lambda t: dashboards.compound_order(t.gold("tyre_strategy")),
     """
     select season, round, compound, row_number() over (partition by season, round order by
       case compound when 'SOFT' then 0 when 'MEDIUM' then 1 when 'HARD' then 2 when 'INTER' then 3 when 'WET' then 4
@@ -728,17 +730,25 @@ _MART_KEYS = {
 def _not_null_all(t: Tables) -> DataFrame:
     return catalog.union_all(
         [
-            quality.not_null(getattr(t, m), cols).select(F.lit(f"mart_{m}").alias("model"), "column", "failures")
+            quality.not_null(t.gold(m), cols).select(F.lit(f"mart_{m}").alias("model"), "column", "failures")
             for m, cols in _MART_KEYS.items()
         ]
     )
 
 
+_UNIQUE = {m: [cols[:1]] for m, cols in _MART_KEYS.items()}
+# combinations that do repeat
+_UNIQUE["lap_times"].append(["season", "round", "abbreviation", "stint"])
+_UNIQUE["race_results"].append(["season", "round", "finish_position"])
+
+
 def _unique_all(t: Tables) -> DataFrame:
     parts = []
-    for m, cols in _MART_KEYS.items():
-        doubled = quality.unique(getattr(t, m), cols[:1])
-        parts.append(doubled.select(F.lit(f"mart_{m}").alias("model"), F.col(cols[0]).alias("value"), "count"))
+    for m, checks in _UNIQUE.items():
+        for cols in checks:
+            value = F.concat_ws("-", *[F.col(c).cast("string") for c in cols])
+            doubled = quality.unique(t.gold(m), cols)
+            parts.append(doubled.select(F.lit(f"mart_{m}").alias("model"), value.alias("value"), "count"))
     return catalog.union_all(parts)
 
 
@@ -753,19 +763,20 @@ QUERIES["dq_not_null"] = Query(
 QUERIES["dq_unique"] = Query(
     _unique_all,
     " union all ".join(
-        f"select 'mart_{m}' as model, {cols[0]} as value, count(*) as count from mart_{m} "
-        f"where {cols[0]} is not null group by {cols[0]} having count(*) > 1"
-        for m, cols in _MART_KEYS.items()
+        f"select 'mart_{m}' as model, concat_ws('-', {', '.join(cols)}) as value, count(*) as count from mart_{m} "
+        f"where {' and '.join(c + ' is not null' for c in cols)} group by {', '.join(cols)} having count(*) > 1"
+        for m, checks in _UNIQUE.items()
+        for cols in checks
     ),
 )
 QUERIES["dq_pit_stop_range"] = Query(
-    lambda t: quality.implausible_pit_stops(t.pit_stops, 20.0, 60.0),
+    lambda t: quality.implausible_pit_stops(t.gold("pit_stops"), 20.0, 60.0),
     "select pit_stop_id, season, round, driver_id, pit_stop_number, pit_stop_duration_seconds from mart_pit_stops "
     "where pit_stop_duration_seconds < 20 or pit_stop_duration_seconds > 60",
     "pit_stop_duration_seconds",
 )
 QUERIES["dq_degradation_outliers"] = Query(
-    lambda t: quality.degradation_outliers(t.tyre_strategy),
+    lambda t: quality.degradation_outliers(t.gold("tyre_strategy")),
     "select season, round, abbreviation, stint, compound, stint_length_laps, degradation_rate_seconds_per_lap "
     "from mart_tyre_strategy where degradation_rate_seconds_per_lap is not null "
     "and (degradation_rate_seconds_per_lap < -2 or degradation_rate_seconds_per_lap > 5)",
