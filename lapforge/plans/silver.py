@@ -91,8 +91,9 @@ def clean_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFra
     return keep_last(slim, SILVER_KEYS["results"], order_cols)
 
 
-def clean_telemetry(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    typed = (
+def typed_telemetry(df: DataFrame) -> DataFrame:
+    """The row-by-row part of telemetry cleaning; samples without a distance are dropped."""
+    return (
         df.withColumns(
             {
                 "date": fn.utc_timestamp("date"),
@@ -108,7 +109,10 @@ def clean_telemetry(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataF
         .drop("session_time", "time")
         .dropna(subset=["distance"])
     )
-    return keep_last(typed, SILVER_KEYS["telemetry"], order_cols)
+
+
+def clean_telemetry(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
+    return keep_last(typed_telemetry(df), SILVER_KEYS["telemetry"], order_cols)
 
 
 def clean_weather(

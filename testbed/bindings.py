@@ -19,6 +19,7 @@ from lapforge.plans import marts
 from lapforge.plans.silver import CLEANERS
 from lapforge.plans.staging import staged
 from lapforge.session import written
+from lapforge.sources.bronze import spread
 
 STATEMENTS = {
     "lines": """
@@ -300,7 +301,7 @@ class Tables:
 
     def source(self, name: str) -> DataFrame:
         """A test table as generated."""
-        return self._once(f"source_{name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        return self._once(f"source_{name}", lambda: spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet")))
 
     def _once(self, key: str, make) -> DataFrame:
         if key not in self._made:
