@@ -15,7 +15,9 @@ SILVER_SOURCES = {name: f"silver.{name}" for name in RAW_TABLES}
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"show tables in {database}").select("namespace", "tableName")
+    """Stored tables of a database (no temporary views)."""
+    found = spark.sql(f"show tables in {database}")
+    return found.where(~F.col("isTemporary")).select("namespace", "tableName")
 
 
 def list_columns(df: DataFrame) -> DataFrame:

@@ -72,13 +72,16 @@ def merge_into(
     """A ``foreachBatch`` function that merges a micro-batch into a partitioned table.
 
     Only the races in the batch are read and rewritten; of equal keys the last
-    one stays, so a batch that is delivered twice changes nothing.
+    one stays, so a batch that is delivered twice changes nothing.  A session
+    that has read the table before must refresh it to see the merge.
     """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         merged = batch
         if spark.catalog.tableExists(table):
+            # another session may have rewritten it since this one listed its files
+            spark.catalog.refreshTable(table)
             touched = batch.select(*RACE).distinct()
             merged = spark.table(table).join(touched, RACE, "left_semi").unionByName(batch)
         # a table cannot be overwritten while it is read: the merged rows are parked first
