@@ -117,6 +117,7 @@ def paired_grids(
     n: int = 700,
     channels: Sequence[str] = CHANNELS,
     ties: Sequence[str] = ("telemetry_timestamp",),
+    chunk_metres: float = 1000.0,
 ) -> DataFrame:
     """Both laps of every pair on the grid that spans the distance they share.
 
@@ -138,7 +139,9 @@ def paired_grids(
     )
     samples = telemetry.select(*LAP, "distance", *dict.fromkeys([*channels, "speed", *ties]))
     keys = [*PAIR, "side"]
-    grid = resample(samples.join(laps, LAP), keys, "grid_lo", "grid_hi", n, ties=ties)
+    grid = resample(
+        samples.join(laps, LAP), keys, "grid_lo", "grid_hi", n, chunk_metres=chunk_metres, ties=ties
+    )
     # two traces of ``n`` points to a pair; what follows needs no other shuffle
     return cumulative_time(grid.repartition(*PAIR), keys)
 
@@ -149,10 +152,11 @@ def compare_laps(
     n: int = 700,
     channels: Sequence[str] = CHANNELS,
     ties: Sequence[str] = ("telemetry_timestamp",),
+    chunk_metres: float = 1000.0,
 ) -> DataFrame:
     """Two laps side by side on their shared grid, with speed and time deltas (A minus B)."""
     point = [*PAIR, "grid_idx"]
-    grids = paired_grids(telemetry, pairs, n, channels, ties)
+    grids = paired_grids(telemetry, pairs, n, channels, ties, chunk_metres)
     values = F.struct(*[c for c in grids.columns if c not in (*point, "side", "distance")])
 
     def of(side: str) -> Column:
@@ -186,12 +190,13 @@ def track_segments(
     ties: Sequence[str] = ("telemetry_timestamp",),
     low: float = 0.02,
     high: float = 0.98,
+    chunk_metres: float = 1000.0,
 ) -> DataFrame:
     """Line pieces of every lap with the channel value at their start and the lap's colour range."""
     samples = telemetry.where(F.col("lap_number").isNotNull() & F.col("distance").isNotNull())
     samples = samples.select(*LAP, "distance", "x", "y", channel, *[t for t in ties if t != channel])
     pieces = (
-        segments(samples, LAP, ["x", "y"], ties=ties)
+        segments(samples, LAP, ["x", "y"], ties=ties, chunk_metres=chunk_metres)
         .where(F.col("following").isNotNull())
         .select(
             *LAP,

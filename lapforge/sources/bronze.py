@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lapforge.functions import load_stamp, ns_to_timestamp
 from lapforge.schemas import RAW_TABLES
+from lapforge.sources.sinks import spread_by
 
 #: Raw columns that may be stored with nanosecond precision.
 NANOSECOND_COLUMNS = {"telemetry": ["date"], "laps": ["lap_start_date"]}
@@ -73,13 +74,9 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
 
 
 def land_raw(df: DataFrame, source: str, root: str, table: str) -> None:
-    """Add lineage and write to the landing zone, replacing only the races at hand.
-
-    Rows are spread inside a race as well, so a large race is written by several tasks.
-    """
+    """Add lineage and write to the landing zone, replacing only the races at hand."""
     (
-        with_lineage(df, source)
-        .repartition("season", "round", F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        spread_by(with_lineage(df, source), ["season", "round"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("season", "round")

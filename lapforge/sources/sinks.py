@@ -16,33 +16,39 @@ def create_empty(spark: SparkSession, schema: str, table: str, partition_by: Seq
         spark.createDataFrame([], schema).write.partitionBy(*partition_by).saveAsTable(table)
 
 
+def spread_by(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a table partition together for writing.
+
+    AQE merges small partitions and splits large ones to its target size, so a
+    race that holds a third of all rows is written by many tasks.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
 def full_refresh(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table by ``df``."""
+    if partition_by:
+        df = spread_by(df, partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str] = RACE, spread: int = 16) -> None:
+def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str] = RACE) -> None:
     """Replace exactly the (season, round) partitions that occur in ``df``.
 
-    Running it twice gives the same table.  Columns are matched by name, and a
-    partition is written by up to ``spread`` tasks so that a large race does
-    not hang on one.
+    Running it twice gives the same table.  Columns are matched by name.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         df.limit(0).write.partitionBy(*partition_by).saveAsTable(table)
-    columns = spark.table(table).columns
-    spread_out = df.select(*columns).repartition(
-        *partition_by, F.pmod(F.xxhash64(*columns), F.lit(spread))
-    )
+    rows = spread_by(df.select(*spark.table(table).columns), partition_by)
     # insertInto honours the dynamic mode only as a session setting
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
     try:
-        spread_out.write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(key, before)

@@ -11,6 +11,7 @@ Table names are written in braces, which Spark binds to DataFrames.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -341,6 +342,12 @@ class Tables:
         """A mart, written once per session and read from there."""
         return self._table(f"gold_{name}", lambda: self.mart(name))
 
+    def publish(self, at_once: int = 4) -> None:
+        """Write all silver tables, then all marts; several jobs share the executors."""
+        with ThreadPoolExecutor(at_once) as jobs:
+            list(jobs.map(self.silver, ORDER))
+            list(jobs.map(self.gold, MARTS))
+
     def _table(self, key: str, make) -> DataFrame:
         folder = self.folder.strip("/").replace("/", "_")
         return self._once(key, lambda: written(make(), f"{folder}/{key}"))

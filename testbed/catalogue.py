@@ -2,7 +2,7 @@
 
 ``floats`` and ``texts`` name the floating-point and the date/time columns;
 both engines round the former to 8 digits and print the latter, so that a
-comparison by value is fair.
+comparison by value is fair.  ``ints`` are 32-bit in Spark and 64-bit in DuckDB.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ class Query:
     sql: str | None = None
     floats: str = ""
     texts: str = ""
+    ints: str = ""
 
     def frame(self, t: Tables) -> DataFrame:
         df = self.build(t)
@@ -51,6 +52,7 @@ class Query:
             return None
         fixed = [f"round({c} + {OFF_TIE}, {DIGITS}) + 0e0 as {c}" for c in self.floats.split()]
         fixed += [f"cast({c} as varchar) as {c}" for c in self.texts.split()]
+        fixed += [f"cast({c} as int) as {c}" for c in self.ints.split()]
         if not fixed:
             return oracle.sql(self.sql)
         return oracle.sql(f"select * replace ({', '.join(fixed)}) from ({self.sql})")
@@ -286,6 +288,7 @@ QUERIES["lap_boxes"] = Query(
     select *, row_number() over (partition by season, round order by median, abbreviation) as order_idx from boxes
     """,
     "q1 median q3 whisker_low whisker_high",
+    ints="order_idx",
 )
 QUERIES["pace_evolution"] = Query(
     lambda t: pace.pace_evolution(t.gold("lap_times"), t.gold("race_results"), chunk_laps=16),
@@ -317,6 +320,7 @@ QUERIES["teammate_pace"] = Query(
 
 # --- telemetry --------------------------------------------------------------------------------
 _TEL = "silver_telemetry"
+TEST_CHUNK = 9600.0  # the test laps are 28.8 km long
 QUERIES["assign_lap"] = Query(
     lambda t: telemetry.assign_lap(
         t.silver("telemetry").select(
@@ -416,7 +420,7 @@ _CHANNELS = [
     "speed", "throttle", "rpm", "n_gear", "distance_to_driver_ahead", "x", "y", "z", "brake", "drs", "elapsed_s",
 ]
 QUERIES["compare_laps"] = Query(
-    lambda t: telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID),
+    lambda t: telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, chunk_metres=TEST_CHUNK),
     _GRID_SQL
     + f"select {_PAIR}, grid_idx, a.distance, "
     + ", ".join(f"a.{c} as {c}_a, b.{c} as {c}_b" for c in _CHANNELS)
@@ -424,10 +428,11 @@ QUERIES["compare_laps"] = Query(
     + f"from (select * from timed where side = 'a') a join (select * from timed where side = 'b') b using ({_PAIR}, grid_idx)",
     "distance speed_delta time_delta "
     + " ".join(f"{c}_a {c}_b" for c in _CHANNELS if c not in ("brake", "drs")),
+    ints="grid_idx",
 )
 QUERIES["delta_range"] = Query(
     lambda t: telemetry.delta_range(
-        telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, channels=("speed",))
+        telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, channels=("speed",), chunk_metres=TEST_CHUNK)
     ),
     _GRID_SQL
     + f"select {_PAIR}, quantile_cont(abs(a.speed - b.speed), 0.95) as abs_max from "
@@ -436,7 +441,7 @@ QUERIES["delta_range"] = Query(
     "abs_max",
 )
 QUERIES["track_segments"] = Query(
-    lambda t: telemetry.track_segments(t.staged("telemetry")),
+    lambda t: telemetry.track_segments(t.staged("telemetry"), chunk_metres=TEST_CHUNK),
     f"""
     with seg as (select season, round, abbreviation, lap_number, distance, x, y, lead(x) over w as next_x,
         lead(y) over w as next_y, lead(distance) over w as nd, speed as value
@@ -583,6 +588,7 @@ QUERIES["race_pace"] = Query(
     window f as (partition by season, round)
     """,
     "median_lap_s axis_min axis_max",
+    ints="order_idx",
 )
 QUERIES["pair_colours"] = Query(
     lambda t: dashboards.pair_colours(t.gold("race_results"), t.teammates),
@@ -663,6 +669,7 @@ QUERIES["trend_line"] = Query(
     f"with {_FIT} select season, round, compound, i, x_min + i * ((x_max - x_min) / 49e0) as x, "
     "intercept + slope * (x_min + i * ((x_max - x_min) / 49e0)) as y from fit, range(0, 50) r(i)",
     "x y",
+    ints="i",
 )
 QUERIES["weather_summary"] = Query(
     lambda t: dashboards.weather_summary(t.gold("weather")),
@@ -690,6 +697,7 @@ QUERIES["display_order"] = Query(
     select season, round, abbreviation, team_name, finish_position, order_idx,
       coalesce(before <> team_name, false) as team_boundary from listed
     """,
+    ints="order_idx",
 )
 QUERIES["strategy_order"] = Query(
     lambda t: dashboards.strategy_order(t.gold("tyre_strategy"), t.gold("race_results")),
@@ -703,6 +711,7 @@ QUERIES["strategy_order"] = Query(
     select *, row_number() over (partition by season, round order by finish_position nulls first, abbreviation)
       as order_idx from listed
     """,
+    ints="order_idx",
 )
 QUERIES["compound_order"] = Query(
     lambda t: dashboards.compound_order(t.gold("tyre_strategy")),
@@ -712,6 +721,7 @@ QUERIES["compound_order"] = Query(
         else 9 end, compound) as order_idx
     from (select distinct season, round, compound from mart_tyre_strategy where compound is not null)
     """,
+    ints="order_idx",
 )
 
 # --- quality and reports ----------------------------------------------------------------------

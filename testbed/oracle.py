@@ -256,7 +256,8 @@ CTES.update(
         """,
         # --- telemetry --------------------------------------------------------------------
         "lap_pairs": """
-            select a.season, a.round, a.abbreviation driver_a, 1 lap_a, a.abbreviation driver_b, 2 lap_b
+            select a.season, a.round, a.abbreviation driver_a, cast(1 as bigint) lap_a, a.abbreviation driver_b,
+              cast(2 as bigint) lap_b
             from (select distinct season, round, abbreviation from silver_telemetry where lap_number = 1) a
             join (select distinct season, round, abbreviation from silver_telemetry where lap_number = 2) b
               using (season, round, abbreviation)

@@ -28,6 +28,17 @@ def test_replace_partitions_is_idempotent_and_touches_only_its_races(spark, data
         assert rows(spark.table(table), "round", "d", "v") == [(1, "a", 1), (2, "c", 3), (2, "d", 4)]
 
 
+def test_a_hot_race_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(200_000).selectExpr("2026 as season", "1 as round", "id", "sha2(cast(id as string), 256) as pad")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        sinks.spread_by(df, ["season", "round"]).write.partitionBy("season", "round").parquet(str(tmp_path / "hot"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(str(tmp_path / "hot"))
+    assert back.count() == 200_000 and len(back.inputFiles()) > 3
+
+
 def test_full_refresh_and_create_empty(spark, database):
     table = f"{database}.t"
     sinks.create_empty(spark, "season int, round int, v int", table)
