@@ -190,6 +190,22 @@ def rolling_mean(
     return own_rows(widened.withColumn(out, F.avg(col).over(w)))
 
 
+def carried_forward(
+    base: DataFrame, keys: Sequence[str], order_cols: Sequence[str], cols: Sequence[str]
+) -> DataFrame:
+    """For every (key, chunk) one row with the last non-NULL values of all chunks before it."""
+    lasts = base.groupBy(*keys, CHUNK).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), rank_value(order_cols))).alias(c) for c in cols]
+    )
+    earlier = _along_chunks(keys).rowsBetween(Window.unboundedPreceding, -1)
+    return lasts.select(
+        *keys,
+        CHUNK,
+        *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in cols],
+        F.lit(BEFORE).alias(SIDE),
+    )
+
+
 def forward_fill(
     df: DataFrame,
     keys: Sequence[str],
@@ -199,21 +215,9 @@ def forward_fill(
 ) -> DataFrame:
     """Replace NULLs by the last value before them within the key; leading NULLs stay."""
     base = df.withColumn(CHUNK, chunk)
-    lasts = base.groupBy(*keys, CHUNK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), rank_value(order_cols))).alias(c) for c in cols]
-    )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(CHUNK).asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = lasts.select(
-        *keys,
-        CHUNK,
-        *[F.last(c, ignorenulls=True).over(earlier).alias(c) for c in cols],
-        F.lit(BEFORE).alias(SIDE),
+    rows = base.withColumn(SIDE, F.lit(OWN)).unionByName(
+        carried_forward(base, keys, order_cols, cols), allowMissingColumns=True
     )
-    rows = base.withColumn(SIDE, F.lit(OWN)).unionByName(carried, allowMissingColumns=True)
     so_far = chunk_window(keys, order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in cols})
     return own_rows(filled).select(*df.columns)

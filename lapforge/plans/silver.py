@@ -122,16 +122,24 @@ def clean_weather(
     typed = df.withColumns({"time_seconds": fn.ns_to_seconds("time"), "ingested_at": _loaded()}).drop("time")
     # NaN is a gap as well
     typed = typed.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("air_temp", "track_temp")})
-    ties = [c for c in typed.columns if c not in order_cols and c not in ("season", "round", "time_seconds")]
+    key, temperatures = SILVER_KEYS["weather"], ["air_temp", "track_temp"]
+    ties = [c for c in typed.columns if c not in order_cols and c not in key]
+    order = F.struct(*order_cols, *ties)
+    # Readings at one time become one before anything is ordered, so copies never pile up: the last
+    # reading is kept, with the last temperature known by then.
+    kept = [c for c in typed.columns if c not in key and c not in temperatures]
+    readings = (
+        typed.groupBy(*key)
+        .agg(
+            F.max_by(F.struct(*kept), order).alias("__last"),
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in temperatures],
+        )
+        .select(*key, *temperatures, "__last.*")
+    )
     filled = forward_fill(
-        typed.withColumns({"__order": F.struct(*order_cols, *ties)}),
-        ["season", "round"],
-        ["time_seconds", "__order"],
-        ["air_temp", "track_temp"],
-        chunk_of("time_seconds", chunk_seconds),
+        readings, ["season", "round"], ["time_seconds"], temperatures, chunk_of("time_seconds", chunk_seconds)
     )
-    # the same order decides which of several readings at one time is kept
-    return keep_last(filled, SILVER_KEYS["weather"], ["__order"]).drop("__order")
+    return filled.select(*typed.columns)
 
 
 def clean_race_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:

@@ -855,7 +855,7 @@ QUERIES["drop_report"] = Query(
 )
 
 # --- nested pages -----------------------------------------------------------------------------
-PAGE_ROWS = 5  # drivers per page: a page is bounded, a race spans several
+PAGE_ROWS = 5  # drivers per page, with at most three raw rows each; a race spans several pages
 
 
 def _paged(t: Tables, raw: str, keys: list[str], item: F.Column, outer, table: str, group: str) -> DataFrame:
@@ -913,9 +913,11 @@ def _stop_pages(t: Tables) -> DataFrame:
         F.col("race_name").alias("raceName"),
         F.col("date").alias("date"),
         F.struct(F.col("circuit").alias("circuitName")).alias("Circuit"),
-        F.col("items").alias("PitStops"),
+        F.array(item).alias("PitStops"),
     )
-    return _paged(t, "pit_stops", [*RACE, "race_name", "circuit", "date"], item, race, "RaceTable", "Races")
+    # raw stops have no bound per race, so a page holds one
+    page = F.struct(F.struct(F.struct(F.array(race).alias("Races")).alias("RaceTable")).alias("MRData"))
+    return t.raw("pit_stops").select(F.to_json(page).alias("page"))
 
 
 def _schedule_pages(t: Tables) -> DataFrame:

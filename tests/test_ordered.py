@@ -106,6 +106,19 @@ def test_asof_edges(spark):
     }
 
 
+def test_asof_with_a_third_of_all_rows_being_copies(spark):
+    copies = spark.range(0, 3000, 1, 6).selectExpr("'A' as d", "15.0d as t", "1 as copy")
+    others = spark.range(0, 6000, 1, 6).selectExpr("concat('K', id % 50) as d", "id / 10.0d as t", "0 as copy")
+    events = spark.range(0, 60, 1, 3).selectExpr("if(id % 3 = 0, 'A', concat('K', id % 50)) as d", "id * 10.0d as s", "id as lap")
+    got = asof_join(copies.union(others), events, ["d"], "t", "s", ["lap"], chunk_width=50)
+    assert got.count() == 9000
+    assert {r["lap"] for r in got.where("copy = 1").select("lap").distinct().collect()} == {0}
+    from lapforge.operators.asof import SALT
+
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert SALT in plan and "Cartesian" not in plan
+
+
 def test_delta_from_first(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, 90.0), (1, 3, 91.0), (2, 1, None)], "s int, lap int, v double")
     got = ordered.delta_from_first(df, ["s"], ["lap"], "v", "d")

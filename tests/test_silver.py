@@ -219,7 +219,13 @@ def test_weather_fill(spark):
         return [g["air_temp"] for g in got]
 
     assert temps((2026, 1, 0, 20.0), (2026, 1, 60, None), (2026, 1, 120, 22.0)) == [20.0, 20.0, 22.0]
+    assert temps((2026, 1, 0, 20.0), (2026, 1, 60, None), (2026, 1, 60, None)) == [20.0, 20.0]
     assert temps((2026, 1, 0, 20.0), (2026, 2, 60, None)) == [20.0, None]
     assert temps((2025, 1, 0, 20.0), (2026, 1, 60, None)) == [20.0, None]
     assert temps((2026, 1, 0, None), (2026, 1, 60, 21.0)) == [None, 21.0]
+    # of two readings at one time the last is kept, with the temperature known by then
+    for stamps in ((STAMP, LATER), (LATER, STAMP)):
+        pair = cleaned(spark, "weather", {"air_temp": 30.0, "humidity": 1.0}, {"air_temp": None, "humidity": 2.0}, stamps=stamps)
+        got = pair.collect()
+        assert [(g["air_temp"], g["humidity"]) for g in got] == [(30.0, 2.0 if stamps[1] == LATER else 1.0)]
     assert temps((2026, 1, 0, 20.0), (2026, 1, 90000, None), (2026, 1, 180000, float("nan"))) == [20.0] * 3
