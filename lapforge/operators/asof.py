@@ -28,7 +28,7 @@ def asof_join(
     event_time: str,
     values: Sequence[str],
     chunk_width: float = 600.0,
-    salts: int = 16,
+    salts: int = 8,
 ) -> DataFrame:
     """Give every sample the ``values`` of the last event with ``event_time <= sample_time``.
 
