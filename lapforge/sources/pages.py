@@ -66,10 +66,19 @@ def parse_pages(texts: DataFrame, endpoint: str, column: str = "page") -> DataFr
     return texts.select(F.from_json(column, PAGES[endpoint]).alias("__page")).select("__page.*")
 
 
+def _each(df: DataFrame, path: str, name: str, *kept: str) -> DataFrame:
+    """One row per element of an array; rows without elements go.
+
+    Written as an outer explode and a filter, because Spark would put a check of
+    the array in front of a plain one and so parse the page text once more.
+    """
+    return df.select(*kept, F.explode_outer(path).alias(name)).where(F.col(name).isNotNull())
+
+
 def _race_rows(pages: DataFrame, *inner: str) -> DataFrame:
-    races = pages.select(F.explode("MRData.RaceTable.Races").alias("race"))
+    races = _each(pages, "MRData.RaceTable.Races", "race")
     for field in inner:
-        races = races.select("race", F.explode(f"race.{field}").alias("item"))
+        races = _each(races, f"race.{field}", "item", "race")
     return races
 
 
@@ -131,8 +140,8 @@ def flatten_race_schedule(pages: DataFrame) -> DataFrame:
 
 
 def _standing_rows(pages: DataFrame, field: str) -> DataFrame:
-    lists = pages.select(F.explode("MRData.StandingsTable.StandingsLists").alias("list"))
-    return lists.select("list", F.explode(f"list.{field}").alias("item"))
+    lists = _each(pages, "MRData.StandingsTable.StandingsLists", "list")
+    return _each(lists, f"list.{field}", "item", "list")
 
 
 def _list_keys() -> list[Column]:
