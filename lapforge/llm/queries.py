@@ -5,17 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import op8
+from . import op2, op8, op9, sql
 from .tables import table
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = op2.scan(table(spark, folder, "documents"), path="doc_id")
+    spans = F.col("spans")
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[op2.count(spans, rule.kind).alias(f"n_{rule.kind}") for rule in op2.BASE],
+        F.sha2(op2.digest(spans, base_only=True).cast("binary"), 256).alias("base_sha256"),
+        op2.digest(spans, base_only=False).alias("spans"),
+    )
+
+
+def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = op9.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op8.near_duplicates(table(spark, folder, "documents"), k=4, share=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_scan": op2_secret_scan,
+    "op9_mixture": op9_mixture,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_secret_scan": sql.secrets(),
+    "op9_mixture": sql.mixing(),
+}
