@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2, op8, op9, sql
-from .tables import table
+from . import op2, op3, op8, op9, sql
+from .tables import bucket_of, table
 
 
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    train = bucket_of(F.col("doc_id"), 5) != 0
+    scored, _ = op3.score(table(spark, folder, "documents"), table(spark, folder, "labels"), train)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op8.near_duplicates(table(spark, folder, "documents"), k=4, share=85)
 
@@ -34,6 +42,7 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op9_mixture": op9_mixture,
+    "op3_quality_rules": op3_quality_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
