@@ -1,4 +1,12 @@
-"""A training-corpus pipeline over ``documents``: stages that each read what their predecessor wrote."""
+"""A training-corpus pipeline over ``documents``: stages that each read what their predecessor wrote.
+
+Columns of the documents pass through all stages but the last unchanged, except that secrets are masked in ``text`` (and
+``n_chars`` follows where it exists).  The last stage adds ``size``, ``source_size``, ``target`` and ``taken`` and leaves
+out the text of the rows it weighs.
+
+Rows without ``doc_id`` cannot be told apart, so stages that decide by id drop them; rows that share an id are one
+document, of which the near-duplicate stage keeps one row.  Empty tables pass through.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +15,62 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.llm import op8
-from lapforge.llm.tables import parked, table
+from lapforge.llm import op2, op3, op6, op8, op9
+from lapforge.llm.tables import bucket_of, parked, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents below this score are rejected.
+QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drop the documents that the quality classifier rejects."""
+    train = bucket_of(F.col("doc_id"), 5) != 0
+    scored, _ = op3.score(docs, table(spark, folder, "labels"), train)
+    good = scored.where(F.col("score") >= QUALITY).select("doc_id").distinct()
+    return docs.join(good, "doc_id", "left_semi").select(docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep one document of each group of near copies: the one with the smallest id."""
     groups = op8.near_duplicates(docs)
     leaders = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(leaders, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drop the documents that hold a benchmark passage."""
+    found = op6.leaks(docs, table(spark, folder, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def masked(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Replace every secret by a mark; documents without any stay as they are."""
+    found, _ = op2.scan(docs, path="doc_id")
+    hits = found.where(F.size("spans") > 0).select(F.col("path").alias("doc_id"), F.col("spans").alias("__spans"))
+    hits = hits.dropDuplicates(["doc_id"])
+    joined = docs.join(hits, "doc_id", "left")
+    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(op2.redacted(F.col("text"), F.col("__spans")))
+    joined = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+        joined = joined.withColumn("n_chars", length)
+    return joined.select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Words taken of every document so that the sources reach their targets."""
+    return op9.mix(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("secrets", masked),
+    ("mixing", mixed),
 ]
 
 #: Models and similarity groups have no SQL form; the stages are tested against brute force.

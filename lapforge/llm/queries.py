@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2, op3, op8, op9, sql
+from . import op2, op3, op6, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -35,6 +35,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return op6.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op8.near_duplicates(table(spark, folder, "documents"), k=4, share=85)
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op9_mixture": op9_mixture,
     "op3_quality_rules": op3_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 
