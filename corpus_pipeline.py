@@ -47,10 +47,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def masked(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Replace every secret by a mark; documents without any stay as they are."""
-    found, _ = op2.scan(docs, path="doc_id")
-    hits = found.where(F.size("spans") > 0).select(F.col("path").alias("doc_id"), F.col("spans").alias("__spans"))
-    hits = hits.dropDuplicates(["doc_id"])
-    joined = docs.join(hits, "doc_id", "left")
+    _, ledger = op2.scan(docs, path="doc_id")
+    hits = ledger.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    joined = docs.withColumn("__blob", op2.blob_of(F.col("text"))).join(hits, "__blob", "left")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(op2.redacted(F.col("text"), F.col("__spans")))
     joined = joined.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -94,6 +94,11 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES, version: str =
     return hits.groupBy("blob").agg(F.lit(version).alias("rules"), F.array_sort(F.collect_list(span)).alias("spans"))
 
 
+def blob_of(text: Column) -> Column:
+    """The content address of a text."""
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
 def scan(
     versions: DataFrame,
     path: str = "path",
@@ -103,8 +108,8 @@ def scan(
     version: str = VERSION,
 ) -> tuple[DataFrame, DataFrame]:
     """((path, blob, spans) of every row of ``versions``, the ledger rows that this scan adds)."""
-    content = F.coalesce(F.col(text), F.lit(""))
-    named = versions.select(F.col(path).alias("path"), F.sha2(content.cast("binary"), 256).alias("blob"), content.alias("text"))
+    content = F.coalesce(F.col(text), F.lit("")).alias("text")
+    named = versions.select(F.col(path).alias("path"), blob_of(F.col(text)).alias("blob"), content)
     unseen = named.select("blob", "text")
     if ledger is not None:
         known = ledger.where(F.col("rules") == version)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2, op3, op6, op8, op9, sql
+from . import op2, op3, op5, op6, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -35,6 +35,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return op5.score(table(spark, folder, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return op6.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op9_mixture": op9_mixture,
     "op3_quality_rules": op3_quality_rules,
+    "op5_maxent_scores": op5_maxent_scores,
     "op6_decontamination": op6_decontamination,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
