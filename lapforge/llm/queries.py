@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2, op3, op5, op6, op8, op9, sql
+from . import op10, op2, op3, op5, op6, op7, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -22,6 +22,10 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return op10.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op9_mixture(spark: SparkSession, folder: str) -> DataFrame:
     mixed = op9.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,16 +47,25 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return op6.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op7_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    train = bucket_of(F.col("doc_id"), 5) != 0
+    scored = op7.score(table(spark, folder, "documents"), table(spark, folder, "labels"), train)
+    earlier = [F.col(name).alias(f"p_{name}") for name, _ in op7.CATEGORIES]
+    return scored.select("doc_id", *earlier, F.col("toxic").alias("score"), (F.col("toxic") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op8.near_duplicates(table(spark, folder, "documents"), k=4, share=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op10_learned_partitions": op10_learned_partitions,
     "op9_mixture": op9_mixture,
     "op3_quality_rules": op3_quality_rules,
     "op5_maxent_scores": op5_maxent_scores,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 

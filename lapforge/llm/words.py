@@ -57,6 +57,12 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     data: np.ndarray
+    sums: np.ndarray
+
+    def prefix(self, k: int) -> np.ndarray:
+        """Numbers of the first k bytes of each word (of the whole word if it is shorter)."""
+        stop = np.minimum(self.end, self.start + k)
+        return mix((self.sums[stop] - self.sums[self.start]) * _powers(len(self.data))[1][self.start])
 
     def text(self, i: int) -> str:
         """The word at position i, lowered."""
@@ -92,7 +98,7 @@ def _cut(data: np.ndarray, offsets: np.ndarray, first: int) -> Words:
     n = len(offsets) - 1
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(first, n, np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), none, none, data)
+        return Words(first, n, np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), none, none, data, np.zeros(1, np.uint64))
     inside = _IS_WORD[data]
     before = np.empty_like(inside)
     before[0] = False
@@ -111,7 +117,7 @@ def _cut(data: np.ndarray, offsets: np.ndarray, first: int) -> Words:
     sums[0] = 0
     np.cumsum(_VALUE[data] * up[: len(data)], out=sums[1:])
     code = mix((sums[end] - sums[start]) * down[start])
-    return Words(first, n, code, np.searchsorted(start, offsets), start, end, data)
+    return Words(first, n, code, np.searchsorted(start, offsets), start, end, data, sums)
 
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
