@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op10, op2, op3, op5, op6, op7, op8, op9, sql
+from . import op1, op10, op2, op3, op5, op6, op7, op8, op9, sql
 from .tables import bucket_of, table
 
 
+#: The key of the registered query; production passes its own, from a secret store.
+KEY = "check-key"
+
+
+def op1_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    counts = [f"n_{kind}" for kind in op1.KINDS]
+    return op1.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), KEY).select("doc_id", "text", *counts)
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = op2.scan(table(spark, folder, "documents"), path="doc_id")
     spans = F.col("spans")
@@ -59,6 +68,7 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_feistel_pseudonyms": op1_feistel_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
     "op10_learned_partitions": op10_learned_partitions,
     "op9_mixture": op9_mixture,
