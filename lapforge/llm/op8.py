@@ -14,9 +14,10 @@ key stands for five or six shingles at once, so passages that many texts share d
 bitmaps differ bound the shingles that only one set has from below, hence the overlap from above.  Pairs that the bound
 excludes never meet; the rest is decided by the intersection of the sorted arrays.
 
-*Groups of copies.*  Equal sets are one class from the start.  A tile first offers only one pair per member; the
-verified links make components, and only members of different components of one tile are compared after that: first
-the closest pair of two components, then all that remain, in blocks of ``BLOCK`` members.
+*Groups of copies.*  Equal sets are one class from the start.  Tiles are compared in blocks of about ``BLOCK`` members.  In
+each round every component offers one pair, the closest by bitmap that one of its members has in another component;
+verified links join components.  When a round finds no link, the last one takes all pairs between components that the
+bitmaps still admit.  So large groups of near copies cost a pair per component and round, not all their pairs.
 
 Every case has a defined result: a null or empty text has an empty set, links with nothing and is its own component; a
 text of fewer than k words is one shingle; repeated rows are rows of their own that link with each other; ties do not
@@ -29,7 +30,6 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -183,7 +183,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, arrays: DataFrame, share: int) ->
     return near.where(overlap(F.size(F.array_intersect("x_a", "x_b")))).select("a", "b")
 
 
-def _across(tiles: DataFrame, share: int, closest: bool) -> DataFrame:
+def _across(tiles: DataFrame, share: int, nearest: bool) -> DataFrame:
     """Pairs (a, b) within tiles that the bitmaps admit and whose components differ.
 
     ``tiles`` has (tile, class, root, n, sketch).  A tile is compared block against block, each pair of blocks being
@@ -198,32 +198,70 @@ def _across(tiles: DataFrame, share: int, closest: bool) -> DataFrame:
         )
     )
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = part["lo"].iloc[0], part["hi"].iloc[0]
-        left, right = part[part["block"] == lo], part[part["block"] == hi]
-        bits_l = np.stack(left["sketch"].to_list()).view(np.uint64)
-        bits_r = np.stack(right["sketch"].to_list()).view(np.uint64)
-        n_r, root_r, class_r = right["n"].to_numpy(), right["root"].to_numpy(), right["class"].to_numpy()
-        found = []
-        for i, (c, root, n) in enumerate(zip(left["class"], left["root"], left["n"], strict=True)):
-            apart = np.bitwise_count(bits_r ^ bits_l[i]).sum(axis=1, dtype=np.int64)
-            sizes = n_r + n
-            ok = ((100 + share) * (sizes - apart) >= 2 * share * sizes) & (root_r != root)
+    def compare(lo: int, hi: int, block: np.ndarray, named: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray) -> list[tuple]:
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        found, best, to = [], np.full(len(right), np.inf), np.zeros(len(right), np.int64)
+        for i in left:
+            apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            sizes = n[right] + n[i]
+            ok = ((100 + share) * (sizes - apart) >= 2 * share * sizes) & (root[right] != root[i])
             if lo == hi:
-                ok &= class_r > c
-            hit = np.flatnonzero(ok)
-            if closest and len(hit):  # the closest member of each other component
-                hit = hit[np.argsort(apart[hit], kind="stable")]
-                hit = hit[np.unique(root_r[hit], return_index=True)[1]]
-            for j in hit:
-                found.append((min(root, root_r[j]), max(root, root_r[j]), min(c, class_r[j]), max(c, class_r[j]), apart[j] / sizes[j]))
-        out = pd.DataFrame(found, columns=["ra", "rb", "a", "b", "apart"])
-        return out.sort_values("apart").drop_duplicates(["ra", "rb"]) if closest and len(out) else out
-
-    pairs = dealt.groupBy("tile", "lo", "hi").applyInPandas(compare, "ra long, rb long, a long, b long, apart double")
-    if closest:
-        return pairs.groupBy("ra", "rb").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
-    return pairs.select("a", "b").distinct()
+                ok &= named[right] > named[i]
+            if not ok.any():
+                continue
+            far = np.where(ok, apart / sizes, np.inf)
+            if nearest:
+                nearer = far < best
+                best[nearer], to[nearer] = far[nearer], i
+                j = int(np.argmin(far))
+                found.append((root[i], named[i], named[right[j]], far[j]))
+            else:
+                found += [(root[i], named[i], named[right[j]], far[j]) for j in np.flatnonzero(ok)]
+        if nearest:
+            found += [(root[right[j]], named[right[j]], named[to[j]], best[j]) for j in np.flatnonzero(np.isfinite(best))]
+        return found
+
+    columns = ["tile", "lo", "hi", "block", "class", "root", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            values = [table.column(c).to_numpy() for c in columns]
+            bits = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
+            tile, lo, hi = values[:3]
+            new = np.concatenate([[True], (tile[1:] != tile[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+            starts = np.flatnonzero(new)
+            found = []
+            for a, b in zip(starts, np.append(starts[1:], len(tile)), strict=True):
+                if b - a > 1:
+                    found += compare(lo[a], hi[a], *[v[a:b] for v in values[3:]], bits[a:b])
+            lists = list(zip(*found, strict=True)) if found else [[]] * 4
+            kinds = [pa.int64()] * 3 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds, strict=True)], ["root", "a", "b", "apart"])
+
+    key = ["tile", "lo", "hi"]
+    pairs = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "root long, a long, b long, apart double")
+    if nearest:
+        pairs = pairs.groupBy("root").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of the sorted rows that end where a (tile, lo, hi) ends."""
+    key, held = ["tile", "lo", "hi"], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        columns = [table.column(c).to_numpy() for c in key]
+        same = np.all([c == c[-1] for c in columns], axis=0)
+        cut = int(np.argmax(same))  # the last group starts here: rows are sorted
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut)
+    if held is not None:
+        yield held
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, share: int = 85) -> DataFrame:
@@ -249,7 +287,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .where("lo < hi")
     )
     # tiles with the same members are one tile
-    tiles = parked(shared.groupBy("tile", "class", "lo").agg(F.count(F.lit(1)).alias("times")), "tiles")
+    tiles = parked(shared.select("tile", "class").distinct(), "tiles")
 
     named = tiles.select("class").distinct()
     sets_in = parked(classes.join(named, "class"), "classes")
@@ -257,22 +295,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         shingle_arrays(docs.join(sets_in.select("id"), "id", "left_semi"), k).dropDuplicates(["class"]), "arrays"
     )
 
-    # one pair per member: with the first member of the tile it shares most buckets with
-    offers = tiles.where("class <> lo").groupBy("class", "lo").agg(F.sum("times").alias("times"))
-    offers = offers.groupBy("class").agg(F.max_by("lo", F.struct("times", "lo")).alias("b")).select(F.col("class").alias("a"), "b")
-    links = parked(_linked(offers, sets_in, arrays, share), "links")
-    for closest in (True, False):
-        roots = components(links)
-        rooted = (
-            tiles.select("tile", "class")
-            .join(roots.withColumnRenamed("v", "class"), "class", "left")
-            .withColumn("root", F.coalesce("root", "class"))
-        )
-        mixed = rooted.groupBy("tile").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
-        open_tiles = rooted.join(mixed.select("tile"), "tile")
-        members = parked(open_tiles.join(sets_in.select("class", "n", "sketch"), "class"), "open")
-        more = _linked(_across(members, share, closest), sets_in, arrays, share)
-        links = parked(links.unionByName(more), "links")
+    links, nearest = None, True
+    while True:
+        own = tiles.withColumn("root", F.col("class"))
+        if links is not None:
+            roots = components(links).withColumnRenamed("v", "class")
+            own = parked(tiles.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
+        mixed = own.groupBy("tile").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
+        members = own.join(mixed.select("tile"), "tile").join(sets_in.select("class", "n", "sketch"), "class")
+        found = parked(_linked(_across(parked(members, "open"), share, nearest), sets_in, arrays, share), "links")
+        links = found if links is None else links.unionByName(found)
+        if not nearest:
+            break
+        nearest = found.limit(1).count() > 0
     roots = components(links)
 
     grouped = classes.select("class", "id").join(roots.withColumnRenamed("v", "class"), "class", "left")
