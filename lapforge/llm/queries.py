@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1, op10, op2, op3, op5, op6, op7, op8, op9, sql
+from . import op1, op10, op2, op3, op4, op5, op6, op7, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -48,6 +48,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_template_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return op4.main_text(table(spark, folder, "pages"))
+
+
 def op5_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
     return op5.score(table(spark, folder, "documents"), bucket_of(F.col("doc_id"), 7) == 2)
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_learned_partitions": op10_learned_partitions,
     "op9_mixture": op9_mixture,
     "op3_quality_rules": op3_quality_rules,
+    "op4_template_removal": op4_template_removal,
     "op5_maxent_scores": op5_maxent_scores,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity_chain": op7_toxicity_chain,
