@@ -16,8 +16,8 @@
 A benchmark of any size works: it is taken in slices of ``SLICE`` passages in the order of their ids, each of which is
 a pass of its own, so what tasks hold is bounded.  A benchmark item longer than ``PASSAGE`` words is cut into passages.
 
-Null or empty texts have no words and match nothing, nor do benchmark items without words; a document without id
-is not reported; repeated rows of a document are one result; of equal scores the smallest id of the passage counts; empty
+Null or empty texts have no words and match nothing, nor do benchmark items without words; documents and
+items without id are not used; repeated rows of a document are one result; of equal scores the smallest id of the passage counts; empty
 tables give no rows; other columns are not read.
 """
 
@@ -262,11 +262,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id
     """(doc_id, item_id, cosine, common, answer): the benchmark items that each document holds."""
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
-    bench = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null")
+    bench = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     out = spark.createDataFrame([], "id long, item long, cosine double, common double, answer double")
     last = None
     while True:
-        rest = bench if last is None else bench.where(F.struct("id", "text") > F.struct(F.lit(last[0]), F.lit(last[1])))
+        rest = bench if last is None else bench.where((F.col("id") > last[0]) | ((F.col("id") == last[0]) & (F.col("text") > last[1])))
         rows = [tuple(r) for r in rest.dropDuplicates().orderBy("id", "text").limit(SLICE).collect()]  # a bounded slice
         if not rows:
             break
