@@ -11,7 +11,7 @@
    per leading digits of the md5 value, twice, and ordering only the documents of the one slice that holds it.
 
 A null or empty text has size 0 and is never taken; a null source is a source of its own, last in order; repeated rows
-count each; ties of the order are broken by size (rows equal in both are interchangeable); an empty table gives no rows.
+count each; columns named like those that are added are replaced; ties of the order are broken by size (rows equal in both are interchangeable); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from .tables import WORD, parked
 
 SEED = "mix-1"
 DIGITS = 3
+_NEW = ("size", "source_size", "target", "taken")
 
 
 def targets(sizes: list[int], weights: list[float], budget: float = 1.5, repeats: int = 2) -> list[float]:
@@ -114,7 +115,8 @@ def mix(
     pattern = F.array_sort(F.array_distinct(sources if sources is not None else F.array("source")))
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
-    own = F.struct(*[F.col(c) for c in docs.columns if c != text])
+    kept = [c for c in docs.columns if c != text and c.lower() not in _NEW]
+    own = F.struct(*[F.col(f"`{c}`") for c in kept])
     rows = parked(docs.select(own.alias("row"), pattern.alias("pattern"), size.alias("size"), digest.alias("digest")), "sized")
 
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size")).collect()  # a row per membership pattern
@@ -164,7 +166,7 @@ def mix(
     return (
         sure.unionByName(inside)
         .withColumn("taken", F.col("size") * (F.col("passes") + F.col("more").cast("long")))
-        .select("row.*", *[c for c in ("size", "source_size", "target", "taken")])
+        .select("row.*", *_NEW)
     )
 
 
