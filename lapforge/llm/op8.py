@@ -16,8 +16,8 @@ excludes never meet; the rest is decided by the intersection of the sorted array
 
 *Groups of copies.*  Equal sets are one class from the start.  Tiles are compared in blocks of about ``BLOCK`` members.  In
 each round every component offers one pair, the closest by bitmap that one of its members has in another component;
-verified links join components.  When a round finds no link, the last one takes all pairs between components that the
-bitmaps still admit.  So large groups of near copies cost a pair per component and round, not all their pairs.
+verified links join components.  When a round finds few new links, the last one takes all pairs between components that
+the bitmaps still admit.  So large groups of near copies cost a pair per component and round, not all their pairs.
 
 Every case has a defined result: a null or empty text has an empty set, links with nothing and is its own component; a
 text of fewer than k words is one shingle; repeated rows are rows of their own that link with each other; ties do not
@@ -41,6 +41,8 @@ from .tables import parked
 
 BITS = 1024
 BLOCK = 1024
+#: Rounds of closest pairs end when one finds less than this share of the links of the best one; the last round takes all pairs.
+ENOUGH = 0.1
 
 
 @cache
@@ -170,17 +172,12 @@ def shingle_arrays(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "class long, shingles array<long>")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, arrays: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b) that link: bitmap bound first, then the exact overlap."""
-    side = lambda c: sets.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    apart = F.expr("aggregate(zip_with(s_a, s_b, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)")
-    overlap = lambda o: F.lit(100 + share) * o >= F.lit(share) * (F.col("n_a") + F.col("n_b"))
-    near = (
-        pairs.join(side("a"), "a").join(side("b"), "b").where(overlap((F.col("n_a") + F.col("n_b") - apart) / 2))
-    ).select("a", "b", "n_a", "n_b")
+def _linked(pairs: DataFrame, arrays: DataFrame, share: int) -> DataFrame:
+    """The pairs (a, b), admitted by their bitmaps, whose exact overlap links them."""
     for c in ("a", "b"):
-        near = near.join(arrays.select(F.col("class").alias(c), F.col("shingles").alias(f"x_{c}")), c)
-    return near.where(overlap(F.size(F.array_intersect("x_a", "x_b")))).select("a", "b")
+        pairs = pairs.join(arrays.select(F.col("class").alias(c), F.col("shingles").alias(f"x_{c}")), c)
+    common = F.size(F.array_intersect("x_a", "x_b"))
+    return pairs.where(F.lit(100 + share) * common >= F.lit(share) * (F.size("x_a") + F.size("x_b"))).select("a", "b")
 
 
 def _across(tiles: DataFrame, share: int, nearest: bool) -> DataFrame:
@@ -240,8 +237,8 @@ def _across(tiles: DataFrame, share: int, nearest: bool) -> DataFrame:
 
     key = ["tile", "lo", "hi"]
     pairs = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "root long, a long, b long, apart double")
-    if nearest:
-        pairs = pairs.groupBy("root").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
+    if nearest:  # two components may choose each other: their pair is then decided twice
+        return pairs.groupBy("root").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -295,7 +292,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         shingle_arrays(docs.join(sets_in.select("id"), "id", "left_semi"), k).dropDuplicates(["class"]), "arrays"
     )
 
-    links, nearest = None, True
+    links, most, nearest = None, 0, True
     while True:
         own = tiles.withColumn("root", F.col("class"))
         if links is not None:
@@ -303,11 +300,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             own = parked(tiles.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
         mixed = own.groupBy("tile").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
         members = own.join(mixed.select("tile"), "tile").join(sets_in.select("class", "n", "sketch"), "class")
-        found = parked(_linked(_across(parked(members, "open"), share, nearest), sets_in, arrays, share), "links")
+        found = parked(_linked(_across(parked(members, "open"), share, nearest), arrays, share), "links")
         links = found if links is None else links.unionByName(found)
         if not nearest:
             break
-        nearest = found.limit(1).count() > 0
+        here = found.count()
+        most = max(most, here)
+        nearest = here > most * ENOUGH
     roots = components(links)
 
     grouped = classes.select("class", "id").join(roots.withColumnRenamed("v", "class"), "class", "left")
