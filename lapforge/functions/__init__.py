@@ -9,6 +9,7 @@ from lapforge.functions.text import (
     label_or,
     numeric,
     pair_label,
+    rounded,
     slugify,
     snake_case,
     snake_case_columns,
@@ -39,6 +40,7 @@ __all__ = [
     "ns_to_timestamp",
     "numeric",
     "pair_label",
+    "rounded",
     "slugify",
     "snake_case",
     "snake_case_columns",

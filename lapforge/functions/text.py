@@ -40,8 +40,17 @@ def numeric(c: ColumnOrName) -> Column:
 
 
 def whole_number(c: ColumnOrName) -> Column:
-    """64-bit integer, or NULL where the value is not a number."""
-    return as_column(c).try_cast("double").try_cast("bigint")
+    """64-bit integer, or NULL where the value is not a whole number ("9d", "2.7" and infinity give NULL)."""
+    value = numeric(c)
+    return F.when(value == F.floor(value), value.try_cast("bigint"))
+
+
+def rounded(c: ColumnOrName, digits: int | None) -> Column:
+    """Rounded half up, as written with ten decimals, so that the last bit of a sum does not decide; None: as it is."""
+    value = as_column(c)
+    if digits is None:
+        return value
+    return F.coalesce(F.round(value.try_cast("decimal(38,10)"), digits).cast("double"), F.round(value, digits))
 
 
 def digits_to_int(c: ColumnOrName) -> Column:

@@ -4,7 +4,7 @@
 the shuffle.  That is small where values are coarse (lap times come in whole
 milliseconds), however many rows a group has.  For groups with an unbounded
 number of distinct values use :func:`spread_percentiles`, which never brings
-more of a group together than one slice of its value range.
+more of a group together than one narrow slice of its value range.
 """
 
 from __future__ import annotations
@@ -25,14 +25,17 @@ def spread_percentiles(
     value: str,
     probs: Mapping[str, float],
     slices: int = 1024,
+    rounds: int = 2,
 ) -> DataFrame:
     """Exact, interpolated percentiles per key: one output column per entry of ``probs``.
 
     1. equal values are counted (combined before the shuffle, which is on key
        *and* value, so a hot key spreads over all tasks);
-    2. the value range of a key is cut into equal slices and the slice totals
-       tell which slice holds each wanted rank;
-    3. only those slices are ranked value by value.
+    2. the range around each wanted rank is cut into equal slices, whose totals
+       tell which slice holds the rank; the next round cuts that slice between the
+       smallest and the largest value that really occur in it, so a few outliers
+       only cost a round;
+    3. only the last slices are ranked value by value.
     """
     keys = list(keys)
     counted = (
@@ -43,56 +46,55 @@ def spread_percentiles(
     extent = counted.groupBy(*keys).agg(
         F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("__total")
     )
-    span = F.col("__hi") - F.col("__lo")
-    place = F.floor(F.try_divide(F.col("__v") - F.col("__lo"), span) * F.lit(float(slices))).cast("int")
-    sliced = counted.join(extent, keys).withColumn(
-        "__slice", F.when(span > 0, F.least(place, F.lit(slices - 1))).otherwise(F.lit(0))
-    )
-
-    # one row per key and slice: at most ``slices`` rows per key in this window
-    by_slice = Window.partitionBy(*keys).orderBy("__slice")
-    totals = (
-        sliced.groupBy(*keys, "__slice")
-        .agg(F.sum("__n").alias("__in"), F.first("__total").alias("__total"))
-        .withColumn("__upto", F.sum("__in").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("__from", F.col("__upto") - F.col("__in"))
-    )
     ranks = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("__total") - 1)
         low = F.floor(at)
         ranks.append(F.struct(F.lit(name).alias("name"), low.alias("k"), (F.lit(1.0) - (at - low)).alias("w")))
         ranks.append(F.struct(F.lit(name).alias("name"), (low + 1).alias("k"), (at - low).alias("w")))
-    inside = F.filter(
-        F.array(*ranks),
-        lambda r: (r["k"] >= F.col("__from")) & (r["k"] < F.col("__upto")) & (r["w"] > 0),
-    )
-    wanted = (
-        totals.withColumn("__ranks", inside)
-        .where(F.size("__ranks") > 0)
-        .select(*keys, "__slice", "__from", "__ranks")
-    )
+    wanted = extent.select(*keys, "__lo", "__hi", F.lit(0).cast("bigint").alias("__from"), F.explode(F.array(*ranks)).alias("__r"))
+    wanted = wanted.where(F.col("__r.w") > 0)
+    for _ in range(rounds):
+        wanted = _narrowed(counted, wanted, keys, slices)
 
-    in_slice = Window.partitionBy(*keys, "__slice").orderBy("__v")
+    in_slice = Window.partitionBy(*keys, "__lo").orderBy("__v")
     upto = F.col("__from") + F.sum("__n").over(in_slice.rowsBetween(Window.unboundedPreceding, 0))
-    picked = (
-        sliced.join(wanted, [*keys, "__slice"])
-        .withColumn("__end", upto)
-        .withColumn(
-            "__hit",
-            F.filter(
-                "__ranks",
-                lambda r: (r["k"] >= F.col("__end") - F.col("__n")) & (r["k"] < F.col("__end")),
-            ),
-        )
-        .where(F.size("__hit") > 0)
-        .select(*keys, "__v", F.explode("__hit").alias("__r"))
+    ranked = _inside(counted, wanted, keys).withColumn("__end", upto).withColumn("__start", F.col("__end") - F.col("__n"))
+    picked = ranked.join(wanted.select(*keys, "__lo", "__r"), [*keys, "__lo"]).where(
+        (F.col("__r.k") >= F.col("__start")) & (F.col("__r.k") < F.col("__end"))
     )
     return picked.groupBy(*keys).agg(
         *[F.sum(F.when(F.col("__r.name") == name, F.col("__v") * F.col("__r.w"))).alias(name) for name in probs]
     )
 
 
+def _inside(counted: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The counted values within the ranges that hold wanted ranks, once per range."""
+    ranges = wanted.select(*keys, "__lo", "__hi", "__from").distinct()
+    return counted.join(ranges, keys).where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
+
+
+def _narrowed(counted: DataFrame, wanted: DataFrame, keys: list[str], slices: int) -> DataFrame:
+    """``wanted`` with each range replaced by the slice of it that holds the rank."""
+    # halves keep the difference of huge values finite
+    width = F.col("__hi") / 2 - F.col("__lo") / 2
+    place = F.floor(F.try_divide(F.col("__v") / 2 - F.col("__lo") / 2, width) * F.lit(float(slices))).cast("int")
+    place = F.when(width > 0, F.least(place, F.lit(slices - 1))).otherwise(F.lit(0))
+    # one row per range and slice: at most ``slices`` rows per range in this window
+    by_slice = Window.partitionBy(*keys, "__lo").orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)
+    totals = (
+        _inside(counted, wanted, keys)
+        .groupBy(*keys, "__lo", "__from", place.alias("__slice"))
+        .agg(F.sum("__n").alias("__in"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+        .withColumn("__upto", F.col("__from") + F.sum("__in").over(by_slice))
+        .withColumn("__start", F.col("__upto") - F.col("__in"))
+        .drop("__from")
+    )
+    held = wanted.drop("__hi", "__from").join(totals, [*keys, "__lo"])
+    held = held.where((F.col("__r.k") >= F.col("__start")) & (F.col("__r.k") < F.col("__upto")))
+    return held.select(*keys, F.col("__low").alias("__lo"), F.col("__high").alias("__hi"), F.col("__start").alias("__from"), "__r")
+
+
 def box_statistics(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Box-plot figures: quartiles, whiskers (last value within 1.5 IQR) and outlier count.
 

@@ -141,7 +141,7 @@ def get_tyre_degradation_all(lap_times: DataFrame, season: int | None = None, ro
 
 
 def race_pace(lap_times: DataFrame, race_results: DataFrame, pad: float = 0.15) -> DataFrame:
-    """Median green-flag pace per driver with finish order and the padded axis range of the race."""
+    """Median green-flag pace per driver with finish order and the axis range of the race, padded less on the fast side."""
     laps = get_race_pace(lap_times)
     medians = laps.groupBy(*ENTRY).agg(
         median("lap_time_seconds").alias("median_lap_s"), F.min("team_color").alias("team_color")
@@ -156,7 +156,7 @@ def race_pace(lap_times: DataFrame, race_results: DataFrame, pad: float = 0.15)
         "median_lap_s",
         "finish_position",
         F.row_number().over(order).alias("order_idx"),
-        (low - (high - low) * F.lit(pad)).alias("axis_min"),
+        (low - F.lit(0.5) * ((high - low) * F.lit(pad))).alias("axis_min"),
         (high + (high - low) * F.lit(pad)).alias("axis_max"),
     )
 
@@ -228,10 +228,12 @@ def degradation_deltas(lap_times: DataFrame) -> DataFrame:
 def degradation_curve(lap_times: DataFrame) -> DataFrame:
     """Median delta and number of laps per race, compound and tyre age.
 
-    A group spans the whole field.  Deltas of lap times lie on the millisecond
-    grid, so the exact median keeps few counters however many laps there are.
+    A group spans the whole field.  Lap times lie on the millisecond grid; their
+    differences do so only after rounding, which the exact median needs to keep
+    few counters however many laps there are.
     """
     deltas = degradation_deltas(lap_times).where(F.col("compound").isNotNull() & F.col("tyre_life").isNotNull())
+    deltas = deltas.withColumn("delta", F.round("delta", 3))
     curve = deltas.groupBy(*RACE, "compound", "tyre_life").agg(
         median("delta").alias("median"), F.count("delta").alias("count")
     )

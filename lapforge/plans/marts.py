@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapforge.functions import surrogate_key
+from lapforge.functions import rounded, surrogate_key
 from lapforge.operators.ordered import chunk_of, shift
 
 RACE = ["season", "round"]
@@ -17,10 +17,6 @@ ENTRY = ["season", "round", "abbreviation"]
 DRS_OPEN = (10, 12, 14)
 
 
-def _rounded(c: Column, digits: int | None) -> Column:
-    return c if digits is None else F.round(c, digits)
-
-
 def driver_info(results: DataFrame) -> DataFrame:
     """Who drove for which team: one row per (season, round, driver)."""
     return results.select(
@@ -286,10 +282,10 @@ def telemetry_stints(
     )
 
     def mean(c: str) -> Column:
-        return _rounded(F.try_divide(F.sum(f"__sum_{c}"), F.sum(f"__n_{c}")), digits)
+        return rounded(F.try_divide(F.sum(f"__sum_{c}"), F.sum(f"__n_{c}")), digits)
 
     def percent(c: str) -> Column:
-        return _rounded(F.sum(c) / F.sum("__n") * F.lit(100.0), digits)
+        return rounded(F.sum(c) / F.sum("__n") * F.lit(100.0), digits)
 
     return (
         per_lap.join(context, [*ENTRY, "lap_number"])
@@ -300,7 +296,7 @@ def telemetry_stints(
             F.max("tyre_life").alias("tyre_age_end"),
             mean("speed").alias("avg_speed"),
             F.max("__max_speed").alias("max_speed"),
-            _rounded(F.min("__min_speed"), digits).alias("min_speed_on_throttle"),
+            rounded(F.min("__min_speed"), digits).alias("min_speed_on_throttle"),
             mean("throttle").alias("avg_throttle"),
             percent("__full").alias("full_throttle_pct"),
             percent("__brake").alias("brake_pct"),
@@ -326,8 +322,7 @@ def mart_telemetry_stints(
 def mart_weather(weather: DataFrame, schedule: DataFrame) -> DataFrame:
     race = schedule.select(*RACE, "race_name", "circuit", "race_datetime", "is_sprint_weekend")
     return weather.join(race, RACE, "left").select(
-        # a fixed-point text keeps the key independent of how doubles print
-        surrogate_key(*RACE, F.col("session_elapsed_seconds").cast("decimal(18,3)")).alias("weather_id"),
+        surrogate_key(*RACE, F.col("session_elapsed_seconds").cast("string")).alias("weather_id"),
         *RACE,
         "race_name",
         "circuit",

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapforge.functions import pair_label
+from lapforge.functions import pair_label, rounded
 from lapforge.operators.ordered import chunk_of, rolling_mean
 from lapforge.operators.quantiles import box_statistics, median
 
 RACE = ["season", "round"]
 
 
-def _rounded(c: Column, digits: int | None) -> Column:
-    return c if digits is None else F.round(c, digits)
-
-
 def racing_laps(laps: DataFrame) -> DataFrame:
     """Laps at racing speed: not the first lap, not out of the pits."""
     return laps.where((F.col("lap_number") > 1) & F.col("pit_out_time_seconds").isNull())
@@ -51,10 +47,10 @@ def pace_summary(lap_times: DataFrame, digits: int | None = 3) -> DataFrame:
         *RACE,
         "abbreviation",
         "team_id",
-        _rounded(F.col("median_lap_s"), digits).alias("median_lap_s"),
-        _rounded(F.col("std_lap_s"), digits).alias("std_lap_s"),
+        rounded(F.col("median_lap_s"), digits).alias("median_lap_s"),
+        rounded(F.col("std_lap_s"), digits).alias("std_lap_s"),
         "lap_count",
-        _rounded(F.col("delta_to_fastest_s"), digits).alias("delta_to_fastest_s"),
+        rounded(F.col("delta_to_fastest_s"), digits).alias("delta_to_fastest_s"),
     )
 
 
@@ -120,9 +116,9 @@ def teammate_pace(lap_times: DataFrame, race_results: DataFrame, digits: int | N
         "driver_a",
         "driver_b",
         pair_label("driver_a", "driver_b").alias("matchup"),
-        _rounded(F.col("__a"), digits).alias("pace_a"),
-        _rounded(F.col("__b"), digits).alias("pace_b"),
-        _rounded(F.abs(F.col("__a") - F.col("__b")), digits).alias("pace_delta_s"),
+        rounded(F.col("__a"), digits).alias("pace_a"),
+        rounded(F.col("__b"), digits).alias("pace_b"),
+        rounded(F.abs(F.col("__a") - F.col("__b")), digits).alias("pace_delta_s"),
         F.when(F.col("__a") < F.col("__b"), F.col("driver_a")).otherwise(F.col("driver_b")).alias("faster_driver"),
     )
 
@@ -132,7 +128,7 @@ def season_pace(lap_times: DataFrame, digits: tuple[int, int] | None = (2, 3)) -
     two, three = digits or (None, None)
     races = _with_gap(driver_pace(lap_times))
     return races.groupBy("season", "abbreviation").agg(
-        _rounded(F.avg("median_lap_s"), two).alias("avg_median_pace_s"),
-        _rounded(F.avg("std_lap_s"), two).alias("avg_consistency_s"),
-        _rounded(F.avg("delta_to_fastest_s"), three).alias("avg_delta_to_fastest_s"),
+        rounded(F.avg("median_lap_s"), two).alias("avg_median_pace_s"),
+        rounded(F.avg("std_lap_s"), two).alias("avg_consistency_s"),
+        rounded(F.avg("delta_to_fastest_s"), three).alias("avg_delta_to_fastest_s"),
     )

@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapforge.functions import rounded
 from lapforge.plans.pace import RACE, season_pace
 
 
-def _rounded(c: Column, digits: int | None) -> Column:
-    return c if digits is None else F.round(c, digits)
-
-
 def loaded_rounds(df: DataFrame) -> DataFrame:
     """Seasons and rounds that are present."""
     return df.select(*RACE).distinct()
@@ -64,8 +61,8 @@ def racecraft(race_results: DataFrame, digits: int | None = 2) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("races"),
             F.sum(F.col("grid_position") - F.col("finish_position")).alias("total_positions_gained"),
-            _rounded(F.avg("finish_position"), digits).alias("avg_finish"),
-            _rounded(F.avg("grid_position"), digits).alias("avg_grid"),
+            rounded(F.avg("finish_position"), digits).alias("avg_finish"),
+            rounded(F.avg("grid_position"), digits).alias("avg_grid"),
         )
     )
 
@@ -116,8 +113,8 @@ def scorecard(
             F.count(F.lit(1)).alias("races"),
             F.count_if(finish == 1).alias("wins"),
             F.count_if(finish <= 3).alias("podiums"),
-            _rounded(F.avg(finish), two).alias("avg_finish"),
-            _rounded(F.avg(grid), two).alias("avg_grid"),
+            rounded(F.avg(finish), two).alias("avg_finish"),
+            rounded(F.avg(grid), two).alias("avg_grid"),
             F.sum(grid - finish).alias("net_positions_gained"),
         )
     )

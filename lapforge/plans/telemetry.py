@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapforge.functions import band_label
+from lapforge.functions import band_label, rounded
 from lapforge.operators.asof import asof_join
-from lapforge.operators.quantiles import spread_percentiles
 from lapforge.operators.resample import LINEAR, cumulative_time, resample, segments
 
 RACE = ["season", "round"]
@@ -17,10 +16,6 @@ ENTRY = ["season", "round", "abbreviation"]
 LAP = [*ENTRY, "lap_number"]
 
 
-def _rounded(c: Column, digits: int | None) -> Column:
-    return c if digits is None else F.round(c, digits)
-
-
 def assign_lap(
     samples: DataFrame,
     lap_starts: DataFrame,
@@ -29,7 +24,12 @@ def assign_lap(
     start_time: str = "lap_start_time_seconds",
     chunk_seconds: float = 600.0,
 ) -> DataFrame:
-    """Give every sample the lap that was running; ``lap_number`` becomes the last column."""
+    """Give every sample the lap that was running; ``lap_number`` becomes the last column.
+
+    Samples of keys without any valid lap start are left out.
+    """
+    timed = lap_starts.where(F.col(start_time).isNotNull()).select(*keys).distinct()
+    samples = samples.join(timed, list(keys), "left_semi")
     return asof_join(samples, lap_starts, list(keys), sample_time, start_time, ["lap_number"], chunk_seconds)
 
 
@@ -208,7 +208,9 @@ def track_segments(
             F.col(channel).cast("double").alias("value"),
         )
     )
-    span = spread_percentiles(samples, LAP, channel, {"value_low": low, "value_high": high})
+    # a lap has a bounded number of samples
+    span = samples.groupBy(*LAP).agg(F.percentile(F.col(channel).cast("double"), F.array(F.lit(low), F.lit(high))).alias("__q"))
+    span = span.select(*LAP, F.get("__q", F.lit(0)).alias("value_low"), F.get("__q", F.lit(1)).alias("value_high"))
     return pieces.join(span, LAP, "left")
 
 
@@ -228,15 +230,15 @@ def range_share(telemetry: DataFrame, max_gap: float = 1.0, digits: int | None =
     gap = F.col("distance_to_driver_ahead")
     close = F.count_if((gap > 0) & (gap <= max_gap))
     return telemetry.groupBy(*LAP).agg(
-        _rounded(F.lit(100.0) * close / F.count(F.lit(1)), digits).alias("pct_within_drs_range")
+        rounded(F.lit(100.0) * close / F.count(F.lit(1)), digits).alias("pct_within_drs_range")
     )
 
 
 def speed_by_gear(telemetry: DataFrame, digits: int | None = 1) -> DataFrame:
     moving = telemetry.where((F.col("n_gear") > 0) & (F.col("speed") > 0))
     return moving.groupBy(*ENTRY, "n_gear").agg(
-        _rounded(F.avg("speed"), digits).alias("avg_speed"),
-        _rounded(F.max("speed"), digits).alias("max_speed"),
+        rounded(F.avg("speed"), digits).alias("avg_speed"),
+        rounded(F.max("speed"), digits).alias("max_speed"),
         F.count(F.lit(1)).alias("samples"),
     )
 
@@ -248,7 +250,7 @@ def throttle_bands(
     throttle = F.col("throttle")
 
     def share(condition: Column) -> Column:
-        return _rounded(F.lit(100.0) * F.count_if(condition) / F.count(F.lit(1)), digits)
+        return rounded(F.lit(100.0) * F.count_if(condition) / F.count(F.lit(1)), digits)
 
     wide = telemetry.groupBy(*ENTRY).agg(
         share(throttle >= full).alias("full_throttle_pct"),

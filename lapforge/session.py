@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that change results or protect against skew; a cluster may add more.
 SETTINGS = {
@@ -33,32 +34,31 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, name: str
     return spark
 
 
-_OWN_FOLDERS: dict[str, str] = {}
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
+    return folder.rstrip("/")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder shared by all executors that the cluster names in ``spark.checkpoint.dir``.
+def _path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/lapforge/{spark.sparkContext.applicationId}/{name}"
 
-    Only a local session without that setting (a test) gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_FOLDERS:
-        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="lapforge-")
-    return _OWN_FOLDERS[app]
+
+def dropped(spark: SparkSession, name: str) -> None:
+    """Remove a frame that :func:`written` has stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_path(spark, name))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     This cuts the lineage of a table that many queries read: they prune its
-    columns instead of building it again, and a lost executor costs a file read.
+    columns and partitions instead of building it again, and a lost executor
+    costs a file read.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lapforge/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = _path(spark, name)
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -42,15 +42,6 @@ def read_files(spark: SparkSession, path: str, table: str | None = None, pattern
     return reader.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores if the files give fewer splits than there are cores.
-
-    Only small inputs are moved; a large dataset has more splits than that and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_nanosecond_files(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Raw files with nanosecond timestamps, which Spark reads only as integers.
 

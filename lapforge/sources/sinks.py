@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,11 +45,17 @@ def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str] =
     if not spark.catalog.tableExists(table):
         df.limit(0).write.partitionBy(*partition_by).saveAsTable(table)
     rows = spread_by(df.select(*spark.table(table).columns), partition_by)
-    # insertInto honours the dynamic mode only as a session setting
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    # insertInto honours the dynamic mode only as a session setting: a session of its own keeps it away
+    # from other writers, whatever their mode is and in whatever order they finish
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    view = f"replace_{uuid.uuid4().hex}"
+    rows.createGlobalTempView(view)
     try:
-        rows.write.insertInto(table, overwrite=True)
+        own.table(f"global_temp.{view}").write.insertInto(table, overwrite=True)
     finally:
-        spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)  # this session may have listed the files before

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from lapforge.operators.ordered import keep_last
 from lapforge.plans.marts import DRS_OPEN
 from lapforge.plans.silver import typed_telemetry
 from lapforge.schemas import SILVER_KEYS, TELEMETRY
-from lapforge.session import written
+from lapforge.session import dropped, written
 from lapforge.sources.sinks import replace_partitions
 
 RACE = ["season", "round"]
@@ -66,26 +67,38 @@ def with_lap_context(samples: DataFrame, laps: DataFrame) -> DataFrame:
     return samples.join(context, [*RACE, "abbreviation", "lap_number"], "left")
 
 
-def merge_into(
-    table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges a micro-batch into a partitioned table.
+def merge_into(table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds a micro-batch to a partitioned table.
 
-    Only the races in the batch are read and rewritten; of equal keys the last
-    one stays, so a batch that is delivered twice changes nothing.  A session
-    that has read the table before must refresh it to see the merge.
+    The cost of a batch depends on the batch alone: its rows (the last of equal
+    keys) are appended.  :func:`current` shows the table with the last row of
+    equal keys, so a batch that is delivered twice changes nothing there;
+    :func:`compact` removes the older rows as a job of its own.  A session that has
+    read the table before must refresh it to see new batches.
     """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        merged = batch
-        if spark.catalog.tableExists(table):
-            # another session may have rewritten it since this one listed its files
-            spark.catalog.refreshTable(table)
-            touched = batch.select(*RACE).distinct()
-            merged = spark.table(table).join(touched, RACE, "left_semi").unionByName(batch)
-        # a table cannot be overwritten while it is read: the merged rows are parked first
-        parked = written(keep_last(merged, keys, order_cols), f"merge/{table}/{epoch}")
-        replace_partitions(parked, table)
+        rows = keep_last(batch, keys, order_cols)
+        if not spark.catalog.tableExists(table):
+            rows.limit(0).write.partitionBy(*RACE).saveAsTable(table)
+        rows.select(*spark.table(table).columns).write.insertInto(table)
 
     return merge
+
+
+def current(spark: SparkSession, table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> DataFrame:
+    """The table with the last row of equal keys."""
+    return keep_last(spark.table(table), keys, order_cols)
+
+
+def compact(spark: SparkSession, table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> None:
+    """Rewrite the races of the table that hold rows with equal keys, without the older ones."""
+    spark.catalog.refreshTable(table)
+    rows = spark.table(table)
+    doubled = rows.groupBy(*keys).count().where("count > 1").select(*RACE).distinct()
+    touched = keep_last(rows.join(doubled, RACE, "left_semi"), keys, order_cols)
+    # a table cannot be overwritten while it is read: its rows are parked while the job runs
+    name = f"compact/{uuid.uuid4().hex}"
+    replace_partitions(written(touched, name), table)
+    dropped(spark, name)

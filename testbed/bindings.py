@@ -16,11 +16,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapforge.plans import marts
+from lapforge.plans import marts, telemetry
 from lapforge.plans.silver import CLEANERS
 from lapforge.plans.staging import staged
 from lapforge.session import written
-from lapforge.sources.bronze import spread
 
 STATEMENTS = {
     "lines": """
@@ -107,7 +106,7 @@ STATEMENTS = {
         select season, round, concat('Race ', cast(round as string)) as race_name,
                concat('Circuit ', cast(round as string)) as circuit,
                concat(cast(cal_year as string), '-', lpad(cast(round as string), 2, '0'), '-01') as date,
-               concat('Drv ', cast(dn as string), '  ') as driver_id,
+               concat(case when (dn + round) % 10 = 9 then 'Else ' else 'Drv ' end, cast(dn as string), '  ') as driver_id,
                case when dn % 10 = 9 then null else concat('D', cast(dn as string)) end as driver_code,
                case when dn % 10 = 8 then null else concat('Driver ', cast(dn as string)) end as driver_name,
                concat('Team ', cast(cast(floor(dn / 2) as bigint) as string)) as constructor,
@@ -118,8 +117,9 @@ STATEMENTS = {
                case when n % 3 = 0 then null else '+1 Lap' end as status,
                case when n % 5 = 0 then null else cast(1 + dn as double) end as fastest_lap_rank,
                'A' as source,
-               case flag when 'A' then '2024-01-01T00:00:00+00:00' else '2024-01-02T00:00:00+00:00' end as ingested_at
-        from {entries} where flag <> 'R'
+               case flag when 'A' then '2024-01-01T00:00:00+00:00' when 'N' then '2024-01-02T00:00:00+00:00'
+                    else '2024-01-03T00:00:00+00:00' end as ingested_at
+        from {entries}
     """,
     "raw_driver_standings": """
         select season, round, concat(' Drv ', cast(dn as string)) as driver_id,
@@ -149,23 +149,35 @@ STATEMENTS = {
         from {entries}
         group by season, round, floor(dn / 2), flag
     """,
+    "stops": """
+        select cast(year(o_orderdate) + 10 * floor(o_custkey / 1200) as int) as season,
+               cast(year(o_orderdate) as int) as cal_year,
+               cast(month(o_orderdate) as int) as round,
+               cast(floor(o_custkey / 60) % 20 as int) as dn,
+               cast(12 + 12 * (o_orderkey % 4) as bigint) as lap,
+               concat(cast(cast(o_orderdate as date) as string), 'T06:00:00+00:00') as ingested_at,
+               cast(round(o_totalprice * 100) as bigint) as cents, o_orderkey, o_custkey
+        from {orders}
+    """,
     "raw_pit_stops": """
         select season, round, concat('Race ', cast(round as string)) as race_name,
                concat('Circuit ', cast(round as string)) as circuit,
                concat(cast(cal_year as string), '-', lpad(cast(round as string), 2, '0'), '-01') as date,
-               concat(' Drv ', cast(case when l_linenumber = 5 then 99 else dn end as string)) as driver_id,
-               cast(lap - 1 as string) as lap_pitted,
-               cast(cast(floor((lap - 1) / 12) as bigint) as string) as stop_num,
-               concat(lpad(cast(l_partkey % 26 as string), 2, '0'), ':16:', lpad(cast(l_orderkey % 60 as string), 2, '0'))
+               concat(' Drv ', cast(case when cents % 7 = 5 then 99 else dn end as string)) as driver_id,
+               cast(lap as string) as lap_pitted,
+               cast(cast(floor(lap / 12) as bigint) as string) as stop_num,
+               concat(lpad(cast(cents % 26 as string), 2, '0'), ':16:', lpad(cast(o_orderkey % 60 as string), 2, '0'))
                    as pit_in_time,
-               case when l_partkey % 11 = 0 then 'DNF'
-                    when l_partkey % 11 = 1 then '   '
-                    when l_partkey % 11 = 2 then concat('1:', cast(10 + l_orderkey % 50 as string), '.500')
-                    when l_partkey % 11 = 3 then cast(20 + l_orderkey % 20 as string)
-                    else concat(' ', cast(18 + l_orderkey % 20 as string), '.', cast(100 + l_partkey % 900 as string))
+               case when cents % 11 = 0 then 'DNF'
+                    when cents % 11 = 1 then '   '
+                    when cents % 11 = 2 then concat('1:', cast(10 + o_orderkey % 50 as string), '.500')
+                    when cents % 11 = 3 then cast(20 + o_orderkey % 20 as string)
+                    when cents % 11 = 4 then concat('0.', cast(100 + cents % 900 as string))
+                    when cents % 11 = 5 then concat('25:', cast(10 + o_orderkey % 50 as string), '.250')
+                    else concat(' ', cast(18 + o_orderkey % 20 as string), '.', cast(100 + cents % 900 as string))
                     end as pit_stop_duration,
                'A' as source, ingested_at
-        from {lines} where (lap - 1) % 12 = 0 and lap > 1
+        from {stops}
     """,
     "raw_race_schedule": """
         select season, round,
@@ -224,9 +236,9 @@ STATEMENTS = {
     """,
     "lap_starts": """
         select distinct season, round, concat('D', cast(dn as string)) as driver, lap as lap_number,
-               cast((lap - 1) * 28800 as double) as lap_start_time_seconds
+               case when (lap = 1 and dn % 2 = 0) or (lap = 3 and dn % 5 = 0) or dn % 7 = 6 then null
+                    else cast((lap - 1) * 28800 as double) end as lap_start_time_seconds
         from {samples}
-        where not (lap = 1 and dn % 2 = 0) and not (dn % 5 = 0 and lap = 3)
     """,
     "raw_weather": """
         select cast(hour(ts) * 3600 + minute(ts) * 60 as bigint) * 1000000000 as time,
@@ -302,7 +314,7 @@ class Tables:
 
     def source(self, name: str) -> DataFrame:
         """A test table as generated."""
-        return self._once(f"source_{name}", lambda: spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet")))
+        return self._once(f"source_{name}", lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def _once(self, key: str, make) -> DataFrame:
         if key not in self._made:
@@ -316,7 +328,7 @@ class Tables:
     def _bind(self, name: str) -> DataFrame:
         text = STATEMENTS[name]
         used = {t: self.shaped(t) for t in STATEMENTS if f"{{{t}}}" in text}
-        used.update({t: self.source(t) for t in ("lineitem", "events") if f"{{{t}}}" in text})
+        used.update({t: self.source(t) for t in ("lineitem", "orders", "events") if f"{{{t}}}" in text})
         return self.spark.sql(text, **used)
 
     def raw(self, name: str) -> DataFrame:
@@ -333,10 +345,10 @@ class Tables:
     def staged(self, name: str) -> DataFrame:
         return self._once(f"staged_{name}", lambda: staged(self.silver(name), name))
 
-    def mart(self, name: str) -> DataFrame:
+    def mart(self, name: str, **changed) -> DataFrame:
         """A mart job from the silver tables on."""
         build, inputs, options = MARTS[name]
-        return build(*[self.staged(i) for i in inputs], **options)
+        return build(*[self.staged(i) for i in inputs], **options | changed)
 
     def gold(self, name: str) -> DataFrame:
         """A mart, written once per session and read from there."""
@@ -350,7 +362,7 @@ class Tables:
 
     def _table(self, key: str, make) -> DataFrame:
         folder = self.folder.strip("/").replace("/", "_")
-        return self._once(key, lambda: written(make(), f"{folder}/{key}"))
+        return self._once(key, lambda: written(make(), f"{folder}/{key}", ["season"]))
 
     @cached_property
     def teammates(self) -> DataFrame:
@@ -363,10 +375,12 @@ class Tables:
 
     @cached_property
     def lap_pairs(self) -> DataFrame:
-        """Each driver's first lap against the same driver's second: one pair per entry."""
-        laps = self.staged("telemetry").select("season", "round", "abbreviation", "lap_number").distinct()
-        a = laps.where("lap_number = 1").selectExpr("season", "round", "abbreviation as driver_a", "lap_number as lap_a")
-        b = laps.where("lap_number = 2").selectExpr("season", "round", "abbreviation as driver_a", "lap_number as lap_b")
-        return a.join(b, ["season", "round", "driver_a"]).selectExpr(
-            "season", "round", "driver_a", "lap_a", "driver_a as driver_b", "lap_b"
+        """The best laps of the two drivers of a team in a race, as (driver_a, lap_a, driver_b, lap_b)."""
+        samples = self.staged("telemetry")
+        teams = telemetry.driver_inventory(samples).select("season", "round", "team", "abbreviation").distinct()
+        best = telemetry.best_lap(samples).join(teams, ["season", "round", "abbreviation"])
+        a, b = (
+            best.selectExpr("season", "round", "team", f"abbreviation as driver_{x}", f"lap_number as lap_{x}") for x in "ab"
         )
+        pairs = a.join(b, ["season", "round", "team"]).where("driver_a < driver_b")
+        return pairs.select("season", "round", "driver_a", "lap_a", "driver_b", "lap_b")

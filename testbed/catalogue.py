@@ -36,13 +36,14 @@ class Query:
     floats: str = ""
     texts: str = ""
     ints: str = ""
+    digits: int = DIGITS
 
     def frame(self, t: Tables) -> DataFrame:
         df = self.build(t)
         fixed = {}
         for field in df.schema.fields:
             if isinstance(field.dataType, T.DoubleType):
-                fixed[field.name] = F.round(F.col(field.name) + F.lit(OFF_TIE), DIGITS) + F.lit(0.0)
+                fixed[field.name] = F.round(F.col(field.name) + F.lit(OFF_TIE), self.digits) + F.lit(0.0)
             elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
                 fixed[field.name] = F.col(field.name).cast("string")
         return df.withColumns(fixed) if fixed else df
@@ -50,7 +51,7 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        fixed = [f"round({c} + {OFF_TIE}, {DIGITS}) + 0e0 as {c}" for c in self.floats.split()]
+        fixed = [f"round({c} + {OFF_TIE}, {self.digits}) + 0e0 as {c}" for c in self.floats.split()]
         fixed += [f"cast({c} as varchar) as {c}" for c in self.texts.split()]
         fixed += [f"cast({c} as int) as {c}" for c in self.ints.split()]
         if not fixed:
@@ -331,9 +332,11 @@ QUERIES["assign_lap"] = Query(
     ),
     f"""
     select e.season, e.round, e.driver, e.relative_distance, e.session_time_seconds, e.lap_number as known_lap,
-      s.lap_number from {_TEL} e asof left join lap_starts s
+      s.lap_number from {_TEL} e asof left join (select * from lap_starts where lap_start_time_seconds is not null) s
       on e.season = s.season and e.round = s.round and e.driver = s.driver
       and e.session_time_seconds >= s.lap_start_time_seconds
+    where (e.season, e.round, e.driver) in (
+      select (season, round, driver) from lap_starts where lap_start_time_seconds is not null)
     """,
     "relative_distance session_time_seconds",
 )
@@ -373,7 +376,7 @@ QUERIES["lap_trace"] = Query(
     """,
     "distance speed throttle rpm x y z distance_to_driver_ahead",
 )
-N_GRID = 25
+N_GRID = 700
 _PAIR = "season, round, driver_a, lap_a, driver_b, lap_b"
 
 
@@ -429,6 +432,7 @@ QUERIES["compare_laps"] = Query(
     "distance speed_delta time_delta "
     + " ".join(f"{c}_a {c}_b" for c in _CHANNELS if c not in ("brake", "drs")),
     ints="grid_idx",
+    digits=5,  # sums of 700 steps
 )
 QUERIES["delta_range"] = Query(
     lambda t: telemetry.delta_range(
@@ -582,7 +586,7 @@ QUERIES["race_pace"] = Query(
         median(lap_time_seconds) as median_lap_s from ({_GREEN}) group by season, round, abbreviation)
     select m.*, r.finish_position,
       row_number() over (partition by season, round order by r.finish_position nulls last, abbreviation) as order_idx,
-      min(median_lap_s) over f - (max(median_lap_s) over f - min(median_lap_s) over f) * 0.15e0 as axis_min,
+      min(median_lap_s) over f - 0.5e0 * ((max(median_lap_s) over f - min(median_lap_s) over f) * 0.15e0) as axis_min,
       max(median_lap_s) over f + (max(median_lap_s) over f - min(median_lap_s) over f) * 0.15e0 as axis_max
     from m left join mart_race_results r using (season, round, abbreviation)
     window f as (partition by season, round)
@@ -780,9 +784,9 @@ QUERIES["dq_unique"] = Query(
     ),
 )
 QUERIES["dq_pit_stop_range"] = Query(
-    lambda t: quality.implausible_pit_stops(t.gold("pit_stops"), 20.0, 60.0),
+    lambda t: quality.implausible_pit_stops(t.gold("pit_stops")),
     "select pit_stop_id, season, round, driver_id, pit_stop_number, pit_stop_duration_seconds from mart_pit_stops "
-    "where pit_stop_duration_seconds < 20 or pit_stop_duration_seconds > 60",
+    "where pit_stop_duration_seconds < 1.5 or pit_stop_duration_seconds > 1200",
     "pit_stop_duration_seconds",
 )
 QUERIES["dq_degradation_outliers"] = Query(
@@ -1059,3 +1063,39 @@ QUERIES["spread_percentiles"] = Query(
     "from lineitem group by all",
     "p02 p50 p95",
 )
+
+
+# --- published rounding -----------------------------------------------------------------------
+# The queries above leave these figures unrounded; here they come as published, rounded half up.
+_ROUNDED: dict[str, tuple[Callable[[Tables], DataFrame], dict[str, int]]] = {
+    "racecraft": (lambda t: results.racecraft(t.gold("race_results")), {"avg_finish": 2, "avg_grid": 2}),
+    "scorecard": (
+        lambda t: results.scorecard(t.gold("race_results"), t.gold("driver_standings"), t.gold("lap_times")),
+        {"avg_finish": 2, "avg_grid": 2, "avg_median_pace_s": 2, "avg_consistency_s": 2, "avg_delta_to_fastest_s": 3},
+    ),
+    "pace_summary": (
+        lambda t: pace.pace_summary(t.gold("lap_times")), {"median_lap_s": 3, "std_lap_s": 3, "delta_to_fastest_s": 3}
+    ),
+    "pace_vs_consistency": (
+        lambda t: pace.pace_vs_consistency(t.gold("lap_times")), {"median_lap_s": 3, "std_lap_s": 3}
+    ),
+    "teammate_pace": (
+        lambda t: pace.teammate_pace(t.gold("lap_times"), t.gold("race_results")),
+        {"pace_a": 3, "pace_b": 3, "pace_delta_s": 3},
+    ),
+    "range_share": (lambda t: telemetry.range_share(t.staged("telemetry")), {"pct_within_drs_range": 1}),
+    "speed_by_gear": (lambda t: telemetry.speed_by_gear(t.staged("telemetry")), {"avg_speed": 1, "max_speed": 1}),
+    "throttle_bands": (lambda t: telemetry.throttle_bands(t.staged("telemetry")), {"pct": 1}),
+    "mart_telemetry_stints": (
+        lambda t: t.mart("telemetry_stints", digits=3),
+        dict.fromkeys(
+            "avg_speed min_speed_on_throttle avg_throttle full_throttle_pct brake_pct drs_open_pct avg_gear".split(), 3
+        ),
+    ),
+}
+for _name, (_build, _digits) in _ROUNDED.items():
+    _half_up = ", ".join(f"cast(round(cast({c} as decimal(38, 10)), {d}) as double) as {c}" for c, d in _digits.items())
+    _plain = QUERIES[_name]
+    QUERIES[f"{_name}_rounded"] = Query(
+        _build, f"select * replace ({_half_up}) from ({_plain.sql})", _plain.floats, _plain.texts, _plain.ints
+    )

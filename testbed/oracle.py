@@ -232,7 +232,7 @@ CTES.update(
             left join driver_info d using (season, round, abbreviation)
         """,
         "mart_weather": f"""
-            select {_key('w.season', 'w.round', 'cast(w.time_seconds as decimal(18,3))')} weather_id, w.season, w.round,
+            select {_key('w.season', 'w.round', 'w.time_seconds')} weather_id, w.season, w.round,
               s.race_name, s.circuit, s.race_datetime, s.sprint_qualy_datetime is not null is_sprint_weekend,
               w.time_seconds session_elapsed_seconds, w.air_temp, w.track_temp,
               w.track_temp - w.air_temp track_air_temp_delta, w.humidity, w.pressure, w.rainfall, w.wind_speed,
@@ -256,11 +256,14 @@ CTES.update(
         """,
         # --- telemetry --------------------------------------------------------------------
         "lap_pairs": """
-            select a.season, a.round, a.abbreviation driver_a, cast(1 as bigint) lap_a, a.abbreviation driver_b,
-              cast(2 as bigint) lap_b
-            from (select distinct season, round, abbreviation from silver_telemetry where lap_number = 1) a
-            join (select distinct season, round, abbreviation from silver_telemetry where lap_number = 2) b
-              using (season, round, abbreviation)
+            with best as (
+              select season, round, team, abbreviation, lap_number from (
+                select *, row_number() over (partition by season, round, abbreviation order by lap_time, lap_number) rn from (
+                  select season, round, abbreviation, team, lap_number, min(lap_time_seconds) lap_time from silver_telemetry
+                  where lap_time_seconds > 0 and lap_number is not null group by all)) where rn = 1)
+            select a.season, a.round, a.abbreviation driver_a, a.lap_number lap_a, b.abbreviation driver_b, b.lap_number lap_b
+            from best a join best b on a.season = b.season and a.round = b.round and a.team = b.team
+              and a.abbreviation < b.abbreviation
         """,
         "pair_sides": """
             select *, 'a' side, driver_a drv, lap_a lap from lap_pairs

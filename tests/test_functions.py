@@ -61,7 +61,9 @@ def test_digits_to_int(spark, text, number):
 
 def test_whole_number(spark):
     assert one(spark, fn.whole_number, "9") == 9
-    assert one(spark, fn.whole_number, "x") is None
+    for bad in ("x", "9d", "12f", "2.7", "inf", "", None):
+        assert one(spark, fn.whole_number, bad) is None
+    assert one(spark, fn.whole_number, "-3.0") == -3
     assert one(spark, fn.whole_number, 4.0, "double") == 4
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from lapforge.operators import quantiles
 from lapforge.operators.quantiles import box_statistics, spread_percentiles
 
 PROBS = {"p00": 0.0, "p02": 0.02, "p50": 0.5, "p95": 0.95, "p100": 1.0}
@@ -44,3 +45,19 @@ def test_box_statistics(spark):
     row = box_statistics(df, ["k"], "v").collect()[0]
     assert (row["q1"], row["median"], row["q3"]) == tuple(np.percentile(values[:-1], [25, 50, 75]))
     assert (row["whisker_low"], row["whisker_high"], row["outliers"]) == (1.0, 5.0, 1)
+
+
+def test_outliers_do_not_gather_a_key(spark):
+    """One huge value must not leave all others of its key in one slice."""
+    df = spark.range(20_000).selectExpr("'k' as k", "if(id = 0, 1e12, id / 20000.0) as v")
+    got = quantiles.spread_percentiles(df, ["k"], "v", {"p50": 0.5, "p95": 0.95}).first()
+    values = np.array([1e12, *(i / 20000.0 for i in range(1, 20_000))])
+    assert (got["p50"], got["p95"]) == pytest.approx(tuple(np.percentile(values, [50, 95])))
+    counted = df.selectExpr("k", "v as __v", "1L as __n")
+    wanted = spark.createDataFrame(
+        [("k", float(values.min()), 1e12, 0, ("p50", 9_999, 1.0))],
+        "k string, __lo double, __hi double, __from long, __r struct<name: string, k: long, w: double>",
+    )
+    for _ in range(2):
+        wanted = quantiles._narrowed(counted, wanted, ["k"], 1024)
+    assert quantiles._inside(counted, wanted, ["k"]).count() <= 40

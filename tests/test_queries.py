@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_points  # noqa: E402
+from testbed.catalogue import QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -29,7 +30,7 @@ def table(columns, data):
     return sorted(columns), sorted(tuple("~" if r[i] is None else str(r[i]) for i in order) for r in data)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     df = entry_points.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()

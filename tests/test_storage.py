@@ -1,6 +1,7 @@
 """Sources, sinks, catalog, and the streaming path."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -9,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
-from test_silver import BASE, STAMP
+from test_silver import BASE, LATER, STAMP
 
 from lapforge import schemas
 from lapforge.plans.silver import clean_telemetry, typed_telemetry
@@ -70,7 +71,7 @@ def test_landing_and_partition_pruning(spark, tmp_path):
     df = spark.createDataFrame(data, ddl)
     for _ in range(2):
         bronze.land_raw(df, "B", str(tmp_path), "weather")
-    back = bronze.read_bronze(spark, str(tmp_path), "weather", 2026, 2)
+    back = bronze.read_bronze(spark, str(tmp_path), "weather", BASE["weather"]["season"], 2)
     assert back.count() == 3
     assert back.select("source").distinct().collect()[0][0] == "B"
     plan = back._jdf.queryExecution().executedPlan().toString()
@@ -135,7 +136,7 @@ def landed(spark, folder, batches):
     for batch in batches:
         data = []
         for driver, second, speed, stamp in batch:
-            when = pd.Timestamp("2026-03-08 04:00:00") + pd.Timedelta(seconds=second)
+            when = pd.Timestamp("2031-07-20 04:00:00") + pd.Timedelta(seconds=second)
             row = {**BASE["telemetry"], "source": "B", "ingested_at": stamp, "driver": driver, "speed": float(speed),
                    "date": when.to_pydatetime(), "lap_number": 1 + second // 100}
             data.append(tuple(row[c] for c in columns))
@@ -155,7 +156,7 @@ def landing(spark, tmp_path):
     landed(
         spark, folder,
         [[("A", s, s, STAMP) for s in range(0, 180, 20)] + [("B", 5, 1, STAMP)],
-         [("A", s, s + 1, "2026-03-10T00:00:00+00:00") for s in range(100, 260, 20)]],
+         [("A", s, s + 1, LATER) for s in range(100, 260, 20)]],
     )
     return folder
 
@@ -194,12 +195,46 @@ def test_stream_merge_equals_batch_clean(spark, landing, database, tmp_path):
         batch = clean_telemetry(spark.read.schema(schemas.TELEMETRY).parquet(landing))
         columns = ["driver", "lap_number", "date", "speed"]
         spark.catalog.refreshTable(table)
-        assert rows(spark.table(table), *columns) == rows(batch, *columns)
+        assert rows(live.current(spark, table, schemas.SILVER_KEYS["telemetry"]), *columns) == rows(batch, *columns)
+    assert spark.table(table).count() > batch.count()
+    live.compact(spark, table, schemas.SILVER_KEYS["telemetry"])
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table), *columns) == rows(batch, *columns)
+
+
+def test_cost_of_a_batch_follows_the_batch(spark, database):
+    """Many small batches add small files only; nothing is parked."""
+    table, keys = f"{database}.many", ["season", "round", "k"]
+    add = live.merge_into(table, keys, ["v"])
+    for epoch in range(6):
+        add(spark.createDataFrame([(2031, 7, k, epoch) for k in (epoch, 0)], "season int, round int, k int, v int").coalesce(1), epoch)
+    files = spark.table(table).inputFiles()
+    assert len(files) <= 12 and live.current(spark, table, keys, ["v"]).count() == 6
+    live.compact(spark, table, keys, ["v"])
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table), "k", "v") == [(0, 5), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
+def test_writers_at_once_keep_each_others_partitions(spark, database):
+    """With a static default, two replacements that overlap in time touch their own partitions only."""
+    table = f"{database}.two"
+    sinks.replace_partitions(spark.createDataFrame([(1, r, 0) for r in range(6)], "season int, round int, v int"), table)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        with ThreadPoolExecutor(2) as jobs:
+            frames = [spark.createDataFrame([(1, r, 9)], "season int, round int, v int") for r in (1, 2)]
+            list(jobs.map(lambda df: sinks.replace_partitions(df, table), frames))
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table), "round", "v") == [(0, 0), (1, 9), (2, 9), (3, 0), (4, 0), (5, 0)]
 
 
 def test_stream_lap_context(spark, landing, tmp_path):
     laps = spark.createDataFrame(
-        [(2026, 1, "A", 1, 1, "SOFT", 1, True)],
+        [(2031, 7, "A", 1, 1, "SOFT", 1, True)],
         "season int, round int, abbreviation string, lap_number long, stint long, compound string, tyre_life long, fresh_tyre boolean",
     )
     stream = live.with_lap_context(typed_telemetry(live.telemetry_stream(spark, landing)), laps)
