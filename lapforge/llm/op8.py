@@ -296,7 +296,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     while True:
         own = tiles.withColumn("root", F.col("class"))
         if links is not None:
-            roots = components(links).withColumnRenamed("v", "class")
+            # rounds of closest pairs may do with parts of components, the last one may not
+            roots = components(links, 2 if nearest else None).withColumnRenamed("v", "class")
             own = parked(tiles.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
         mixed = own.groupBy("tile").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
         members = own.join(mixed.select("tile"), "tile").join(sets_in.select("class", "n", "sketch"), "class")
