@@ -67,10 +67,11 @@ def expected_rounds(tables: Mapping[str, tuple[DataFrame, str]], expected: Mappi
 
     parts = []
     for name, (df, key) in tables.items():
-        checked = df.groupBy("season").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct("round").alias("rounds"),
-            F.count_if(F.col(key).isNull()).alias("key_nulls"),
+        races = df.groupBy("season", "round").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("empty")
+        )
+        checked = races.groupBy("season").agg(
+            F.sum("n").alias("rows"), F.count("round").alias("rounds"), F.sum("empty").alias("key_nulls")
         )
         passed = (F.col("rounds") == expected[name]) & (F.col("key_nulls") == 0)
         parts.append(
@@ -83,12 +84,14 @@ def lap_sanity(laps: DataFrame) -> DataFrame:
     """Accurate laps per race: how many, by how many drivers, fastest and slowest."""
     return (
         laps.where(F.col("is_accurate"))
+        .groupBy("season", "round", "abbreviation")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("lap_time_seconds").alias("low"), F.max("lap_time_seconds").alias("high"))
         .groupBy("season", "round")
         .agg(
-            F.count(F.lit(1)).alias("total_laps"),
-            F.count_distinct("abbreviation").alias("drivers"),
-            F.min("lap_time_seconds").alias("fastest_lap"),
-            F.max("lap_time_seconds").alias("slowest_lap"),
+            F.sum("n").alias("total_laps"),
+            F.count("abbreviation").alias("drivers"),
+            F.min("low").alias("fastest_lap"),
+            F.max("high").alias("slowest_lap"),
         )
     )
 
@@ -98,11 +101,14 @@ def telemetry_sanity(telemetry: DataFrame, required: Sequence[str] = ("speed", "
     empty = F.lit(True)
     for c in required:
         empty = empty & F.col(c).isNull()
-    return telemetry.groupBy("season", "round").agg(
-        F.count(F.lit(1)).alias("total_rows"),
+    laps = telemetry.groupBy("season", "round", "abbreviation", "lap_number").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(empty).alias("empty")
+    )
+    return laps.groupBy("season", "round").agg(
+        F.sum("n").alias("total_rows"),
         F.count_distinct("abbreviation").alias("drivers"),
         F.count_distinct("lap_number").alias("laps"),
-        F.count_if(empty).alias("empty_rows"),
+        F.sum("empty").alias("empty_rows"),
     )
 
 

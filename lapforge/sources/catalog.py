@@ -42,12 +42,16 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def load_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, distinct rounds and seasons of every table."""
+    # counted per race first, so only those few rows are expanded for the distinct counts
     parts = [
-        df.agg(
-            F.count(F.lit(1)).alias("rows"),
+        df.groupBy("season", "round")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             F.count_distinct("round").alias("rounds"),
             F.count_distinct("season").alias("seasons"),
-        ).select(F.lit(name).alias("table"), "rows", "rounds", "seasons")
+        )
+        .select(F.lit(name).alias("table"), "rows", "rounds", "seasons")
         for name, df in tables.items()
     ]
     return union_all(parts)

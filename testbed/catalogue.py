@@ -7,6 +7,7 @@ comparison by value is fair.  ``ints`` are 32-bit in Spark and 64-bit in DuckDB.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,7 +19,8 @@ from lapforge import functions as fn
 from lapforge.operators import quality
 from lapforge.operators.quantiles import spread_percentiles
 from lapforge.plans import dashboards, pace, results, telemetry
-from lapforge.sources import catalog, pages
+from lapforge.session import shared_folder
+from lapforge.sources import bronze, catalog, pages, sinks
 from testbed import oracle
 from testbed.bindings import Tables
 
@@ -741,6 +743,39 @@ _MART_KEYS = {
 }
 
 
+# The columns of the staging tables that must not be empty.
+_STAGED_KEYS = {
+    "race_results": "season round driver_id abbreviation constructor",
+    "driver_standings": "season round driver_id constructor championship_position championship_points wins",
+    "constructor_standings": "season round constructor_id constructor championship_position championship_points wins",
+    "pit_stops": "season round driver_id pit_stop_number lap_pitted pit_stop_duration_seconds",
+    "race_schedule": "season round race_name circuit race_datetime is_sprint_weekend",
+    "results": "season round driver_id team_id",
+    "laps": "season round abbreviation lap_number",
+    "weather": "season round session_elapsed_seconds",
+    "telemetry": "season round abbreviation lap_number telemetry_timestamp",
+}
+
+
+def _staged_not_null(t: Tables) -> DataFrame:
+    return catalog.union_all(
+        [
+            quality.not_null(t.staged(m), cols.split()).select(F.lit(f"staging_{m}").alias("model"), "column", "failures")
+            for m, cols in _STAGED_KEYS.items()
+        ]
+    )
+
+
+QUERIES["dq_staging_not_null"] = Query(
+    _staged_not_null,
+    " union all ".join(
+        f"select 'staging_{m}' as model, '{c}' as \"column\", count(*) filter (where {c} is null) as failures from ({_STAGED_SQL[m]})"
+        for m, cols in _STAGED_KEYS.items()
+        for c in cols.split()
+    ),
+)
+
+
 def _not_null_all(t: Tables) -> DataFrame:
     return catalog.union_all(
         [
@@ -917,11 +952,12 @@ def _stop_pages(t: Tables) -> DataFrame:
         F.col("race_name").alias("raceName"),
         F.col("date").alias("date"),
         F.struct(F.col("circuit").alias("circuitName")).alias("Circuit"),
-        F.array(item).alias("PitStops"),
+        F.col("items").alias("PitStops"),
     )
-    # raw stops have no bound per race, so a page holds one
+    # a page holds the stops of one driver in one race, which are few
     page = F.struct(F.struct(F.struct(F.array(race).alias("Races")).alias("RaceTable")).alias("MRData"))
-    return t.raw("pit_stops").select(F.to_json(page).alias("page"))
+    keys = [*RACE, "race_name", "circuit", "date", "driver_id"]
+    return t.raw("pit_stops").groupBy(*keys).agg(F.collect_list(item).alias("items")).select(F.to_json(page).alias("page"))
 
 
 def _schedule_pages(t: Tables) -> DataFrame:
@@ -991,12 +1027,14 @@ def _team_standing_pages(t: Tables) -> DataFrame:
     entry = F.struct(
         F.col("season").cast("string").alias("season"),
         F.col("round").cast("string").alias("round"),
-        F.array(item).alias("ConstructorStandings"),
+        F.col("items").alias("ConstructorStandings"),
     )
     page = F.struct(
         F.struct(F.struct(F.array(entry).alias("StandingsLists")).alias("StandingsTable")).alias("MRData")
     )
-    return t.raw("constructor_standings").select(F.to_json(page).alias("page"))
+    # a race has at most ten teams
+    teams = t.raw("constructor_standings").groupBy(*RACE).agg(F.collect_list(item).alias("items"))
+    return teams.select(F.to_json(page).alias("page"))
 
 
 def _flat(endpoint: str, make: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -1099,3 +1137,63 @@ for _name, (_build, _digits) in _ROUNDED.items():
     QUERIES[f"{_name}_rounded"] = Query(
         _build, f"select * replace ({_half_up}) from ({_plain.sql})", _plain.floats, _plain.texts, _plain.ints
     )
+
+
+# --- sources and sinks: written and read back -------------------------------------------------
+_WEATHER = "season, round, time, air_temp, humidity, pressure, rainfall, track_temp, wind_direction, wind_speed"
+
+
+def _landed(t: Tables, name: str) -> str:
+    """The landing zone of this run with one raw table, and its folder."""
+    root = f"{shared_folder(t.spark)}/lapforge/landing-{uuid.uuid4().hex}"
+    bronze.land_raw(t.raw(name).drop("source", "ingested_at"), "B", root, name)
+    return root
+
+
+def _columns(df: DataFrame) -> DataFrame:
+    return df.select(*[c.strip() for c in _WEATHER.split(",")])
+
+
+def _stored(t: Tables, changed: DataFrame | None = None) -> DataFrame:
+    """The silver results as a table of the catalog, some races replaced after that."""
+    name = f"results_{uuid.uuid4().hex}"
+    sinks.create_empty(t.spark, t.silver("results").schema.simpleString()[7:-1], name)
+    sinks.replace_partitions(t.silver("results"), name)
+    for _ in range(2 if changed is not None else 0):  # twice, with the same result
+        sinks.replace_partitions(changed, name)
+    return t.spark.table(name).select("season", "round", "driver_id", "points", "laps")
+
+
+def _refreshed(t: Tables) -> DataFrame:
+    name = f"standings_{uuid.uuid4().hex}"
+    for frame in (t.silver("driver_standings").limit(3), t.silver("driver_standings")):
+        sinks.full_refresh(frame, name, ["season"])
+    return t.spark.table(name).select("season", "round", "driver_id", "points", "wins")
+
+
+QUERIES["landed_files"] = Query(
+    lambda t: _columns(bronze.read_bronze(t.spark, _landed(t, "weather"), "weather")),
+    f"select {_WEATHER} from raw_weather",
+    "air_temp humidity pressure track_temp wind_speed",
+)
+QUERIES["landed_round"] = Query(
+    lambda t: _columns(bronze.read_bronze(t.spark, _landed(t, "weather"), "weather", 1996, 3)),
+    f"select {_WEATHER} from raw_weather where season = 1996 and round = 3",
+    "air_temp humidity pressure track_temp wind_speed",
+)
+QUERIES["stored_table"] = Query(
+    _stored, "select season, round, driver_id, points, laps from silver_results", "points"
+)
+QUERIES["replaced_partitions"] = Query(
+    lambda t: _stored(t, t.silver("results").where("round <= 2").withColumn("points", F.col("points") + 100)),
+    "select season, round, driver_id, points + case when round <= 2 then 100 else 0 end as points, laps from silver_results",
+    "points",
+)
+QUERIES["refreshed_table"] = Query(
+    _refreshed, "select season, round, driver_id, points, wins from silver_driver_standings", "points"
+)
+QUERIES["results_of_a_race"] = Query(
+    lambda t: dashboards.for_race(t.gold("race_results"), 1995, 4).select("season", "round", "abbreviation", "points"),
+    "select season, round, abbreviation, points from mart_race_results where season = 1995 and round = 4",
+    "points",
+)
