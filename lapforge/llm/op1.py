@@ -32,8 +32,8 @@ _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-_CARD = r"(?<![0-9])(?:[0-9][\x20-]?){12,18}[0-9](?![0-9])"
-_IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+_CARD = r"(?<![0-9A-Za-z])(?:[0-9][\x20-]?){12,18}[0-9](?![0-9A-Za-z])"
+_IP = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 _PHONE = (
     r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9])\([2-9][0-9]{2}\)\x20?[0-9]{3}-[0-9]{4}(?![0-9])"
