@@ -332,7 +332,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("more_known")
     )
     rare = rare.groupBy("text_key").agg(F.min(F.struct("task", "more", "more_known")).alias("x"))
-    rare = rare.select("text_key", "x.more", "x.more_known")
+    # written out, so that the join below is one that AQE can split at a text with very many copies
+    rare = parked(rare.select("text_key", "x.more", "x.more_known"), "rare")
     more = F.coalesce("more", F.lit(0.0))
     least = float(np.log10(tokens + types + 1.0))
     return (
