@@ -10,7 +10,7 @@ of their ending (last three bytes, hashed to ``ENDINGS``), endings being cluster
 before it (a skip), and both together.  Training takes ``ROUNDS`` gradient updates; each uses another part of the
 training texts, so that together they cover all of them.  Tasks sum gradient and curvature over their texts, Spark adds
 them up, the weights (a fixed number) are updated and sent out again.
-*Scoring.*  Words beyond the ``TOP`` most frequent are looked up by a join: a text names each of its rare words once.
+*Scoring.*  Words beyond the (at most) ``TOP`` most frequent are looked up by a join: a text names each of its rare words once.
 
 Words are compared by 64-bit hashes of their lowered bytes; two of the 10**7 words of a corpus share one with a
 probability below 10**-5, and the effect would be one wrong count.
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -205,6 +206,20 @@ def _gradient(docs: DataFrame, shared) -> tuple[np.ndarray, np.ndarray]:
     return tuple(out.reshape(2, 3 * BINS, CLASSES))
 
 
+def _frequent(counts: DataFrame) -> pd.DataFrame:
+    """The most frequent tokens, at most ``TOP``, in order of frequency.
+
+    A histogram over fine steps of the frequency (some thousand rows at most) gives the least frequency, so that
+    only the tokens wanted leave the tasks.
+    """
+    step = F.floor(F.log2("n") * 64)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).toPandas().sort_values("step", ascending=False)
+    fits = sizes["step"][sizes["words"].cumsum() <= TOP]
+    if not len(fits):
+        return counts.limit(0).toPandas()
+    return counts.where(step >= int(fits.min())).toPandas().sort_values(["n", "code"], ascending=[False, True], ignore_index=True)
+
+
 def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
     """(model, token counts, tokens, distinct tokens) of the training texts ``docs`` (text, part)."""
     spark = docs.sparkSession
@@ -215,7 +230,7 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
         pairs[code] = n
     per_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     tokens, types = int(per_ending["n"].sum()), int(per_ending["v"].sum())
-    top = counts.orderBy(F.col("n").desc(), "code").limit(TOP).toPandas()
+    top = _frequent(counts)
 
     cluster = _clusters(pairs.reshape(ENDINGS, ENDINGS), CLUSTERS)
     code, n, ending = top["code"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(), top["ending"].to_numpy(np.int64)
