@@ -30,6 +30,8 @@ from . import words as W
 from .op6 import Lexicon
 
 FIT_ROWS, FEATURES, FOLDS, LEAST_ROWS = 10_000, 1024, 4, 5
+#: Labels (16 bytes each) sent to all tasks at most.
+SENT_LABELS = 1_000_000
 PREFIXES = (4, 5)
 
 # English words of the weak categories.
@@ -197,6 +199,9 @@ def score(
     """(doc_id, train, one probability per category) of every row; learns from the labelled rows where ``train`` holds."""
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), train.alias("train"))
     known = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    # up to a checked size the labels go to the texts; beyond it both sides are shuffled
+    if known.limit(SENT_LABELS + 1).count() <= SENT_LABELS:
+        known = F.broadcast(known)
     chain = fit(docs.where("train").join(known, "id").select("id", "text", "label"), categories)
     sent = docs.sparkSession.sparkContext.broadcast(chain)
     names = chain.names
