@@ -7,14 +7,17 @@
 3. *Candidates.*  Every document is cut into blocks of ``BLOCK`` words; windows of ``SPAN`` blocks move by one block.  A
    window's latent vector is the sum of its terms' vectors, so all windows of a document come from sums of neighbouring
    blocks.  Windows whose cosine with a passage reaches ``COSINE`` are candidates; each passage is compared with each
-   window in blocks, only hits are kept.
+   window in blocks, only hits are kept.  The rank is the number of passages of a slice, so nothing is truncated.
+   A second key makes candidates safe whatever the cosine: of a passage's m words the decision wants ``t`` in common,
+   so at least ``c`` of its ``m - t + c`` rarest ones; stretches with that many are candidates too.
 4. *Decision.*  The longest common subsequence of the passage and the best stretch of text nearby that is half as long
    again, as a share of the passage.  From
    ``SURE`` on it is a leak; from ``LIKELY`` on only if the answer, the last third of the passage, is there too
    (subsequence share ``ANSWER``).
 
 A benchmark of any size works: it is taken in slices of ``SLICE`` passages in the order of their ids, each of which is
-a pass of its own, so what tasks hold is bounded.  A benchmark item longer than ``PASSAGE`` words is cut into passages.
+a pass of its own, so what tasks hold is bounded.  A benchmark item longer than ``PASSAGE`` words is cut into passages,
+which may lie in several slices.
 
 Null or empty texts have no words and match nothing, nor do benchmark items without words; documents and
 items without id are not used; repeated rows of a document are one result; of equal scores the smallest id of the passage counts; empty
@@ -23,6 +26,7 @@ tables give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,8 +38,10 @@ from pyspark.sql import functions as F
 from . import words as W
 
 BLOCK, SPAN, PASSAGE, SLICE = 16, 4, 64, 256
-RANK, EXTRA, COSINE = 192, 16, 0.3
+COSINE = 0.3
 SURE, LIKELY, ANSWER = 0.75, 0.65, 0.7
+#: Words of the stretch of text in which a passage of so many words is looked for.
+STRETCH = np.arange(PASSAGE + 1) + np.arange(PASSAGE + 1) // 2 + 8
 #: Terms in more than this share of the passages say nothing about one of them.
 COMMON = 0.2
 _SLOTS = 1 << 20
@@ -74,7 +80,10 @@ class Lexicon:
 
 @dataclass
 class Passages:
-    """One slice of the benchmark: its terms and the passages as sequences of term numbers."""
+    """One slice of the benchmark: its terms and the passages as sequences of term numbers.
+
+    Anchors by term: term t is one of passages ``anchored[first[t]:first[t + 1]]``, of which passage k needs ``needed[k]``.
+    """
 
     items: list[int]
     sequences: list[np.ndarray]
@@ -82,9 +91,13 @@ class Passages:
     weight: np.ndarray | None = None
     terms: np.ndarray | None = None
     latent: np.ndarray | None = None
+    first: np.ndarray | None = None
+    anchored: np.ndarray | None = None
+    needed: np.ndarray | None = None
 
 
-def _passages(rows: list[tuple[int, str]]) -> Passages | None:
+def _passages(rows: list[tuple[int, str]]) -> Iterator[Passages]:
+    """Slices of at most ``SLICE`` passages."""
     items, codes = [], []
     for piece in W.pieces(pa.array([t for _, t in rows], pa.large_string())):
         for i in range(piece.n):
@@ -94,11 +107,52 @@ def _passages(rows: list[tuple[int, str]]) -> Passages | None:
                 if len(part):
                     items.append(rows[piece.first + i][0])
                     codes.append(part)
-    if not codes:
-        return None
-    known = np.unique(np.concatenate(codes))
-    lexicon = Lexicon(known)
-    return Passages(items, [lexicon.find(c) for c in codes], lexicon)
+    for at in range(0, len(codes), SLICE):
+        own = codes[at : at + SLICE]
+        lexicon = Lexicon(np.unique(np.concatenate(own)))
+        yield Passages(items[at : at + SLICE], [lexicon.find(c) for c in own], lexicon)
+
+
+def _least(m: int) -> int:
+    """Fewest common words with which the decision may accept a passage of m words."""
+    return max(1, math.ceil(LIKELY * m - 1e-9))
+
+
+def _anchor(p: Passages, counts: np.ndarray) -> None:
+    """Choose the rarest words of each passage as its anchors."""
+    terms, passages, needed = [], [], []
+    for k, seq in enumerate(p.sequences):
+        least = _least(len(seq))
+        needed.append(max(1, least // 8))
+        rarest = np.unique(seq[np.argsort(counts[seq], kind="stable")[: len(seq) - least + needed[-1]]])
+        terms.append(rarest)
+        passages.append(np.full(len(rarest), k))
+    term, passage = np.concatenate(terms), np.concatenate(passages)
+    p.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(counts)))])
+    p.anchored, p.needed = passage[np.argsort(term, kind="stable")], np.array(needed)
+
+
+def _anchored(p: Passages, term: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(text, passage, from, to): all words near enough anchors of a passage for the decision to accept it there."""
+    hit = np.flatnonzero(term >= 0)
+    fan = np.diff(p.first)[term[hit]]
+    hit, fan = hit[fan > 0], fan[fan > 0]
+    at = np.repeat(hit, fan)
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(fan) - fan, fan)
+    k = p.anchored[p.first[term[at]] + nth]
+    text = np.searchsorted(bounds, at, side="right") - 1
+    order = np.lexsort((at, k, text))
+    at, k, text = at[order], k[order], text[order]
+    size = STRETCH[np.array([len(s) for s in p.sequences])][k]
+    # a stretch needs as many anchors: the last one it needs lies in it as well
+    last = np.arange(len(at)) + p.needed[k] - 1
+    far = np.minimum(last, len(at) - 1)
+    use = np.flatnonzero((last < len(at)) & (text[far] == text) & (k[far] == k) & (at[far] - at < size))
+    at, k, text, size = at[use], k[use], text[use], size[use]
+    lo, hi = np.maximum(bounds[text], at - size), np.minimum(bounds[text + 1], at + size)
+    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (k[1:] != k[:-1]) | (lo[1:] > hi[:-1])]))[: len(at)]
+    for a, b in zip(new.tolist(), np.append(new[1:], len(at)).tolist(), strict=False):
+        yield int(text[a]), int(k[a]), int(lo[a]), int(hi[b - 1])
 
 
 def _document_counts(docs: DataFrame, shared) -> np.ndarray:
@@ -127,7 +181,7 @@ def _document_counts(docs: DataFrame, shared) -> np.ndarray:
 def _factors(spark: SparkSession, p: Passages) -> np.ndarray:
     """Terms by rank: right singular vectors of the TF-IDF matrix, by random projection and one power step."""
     terms, rng = len(p.weight), np.random.default_rng(7)
-    width = min(RANK + EXTRA, len(p.items), terms)
+    width = min(len(p.items), terms)
     rows = spark.createDataFrame([(s.tolist(),) for s in p.sequences], "terms array<int>")
 
     def times(basis: np.ndarray) -> np.ndarray:
@@ -155,7 +209,7 @@ def _factors(spark: SparkSession, p: Passages) -> np.ndarray:
     q, _ = np.linalg.qr(times(q))
     image = times(q)
     values, turn = np.linalg.eigh(q.T @ image)
-    return (q @ turn)[:, np.argsort(-values)[:RANK]]
+    return (q @ turn)[:, np.argsort(-values)]
 
 
 def _subsequence(masks: dict[int, int], size: int, text: list[int]) -> int:
@@ -183,7 +237,7 @@ def _held(passage: tuple[dict[int, int], int], end: tuple[dict[int, int], int],
     best = _subsequence(masks, m, text)
     if best < LIKELY * m:
         return best / m, 0.0
-    best, size = 0, m + m // 2 + 8
+    best, size = 0, int(STRETCH[m])
     stretch = text
     for start in range(0, max(1, len(text) - size + max(1, m // 4)), max(1, m // 4)):
         common = _subsequence(masks, m, text[start : start + size])
@@ -201,6 +255,9 @@ def _matches(docs: DataFrame, shared) -> DataFrame:
         tails = [s[len(s) - max(1, len(s) // 3) :] for s in p.sequences]
         ends = [(_masks(s), len(s)) for s in tails]
         squared = p.weight**2
+        member = np.zeros((len(whole), len(squared) + 1), bool)  # the last column stands for unknown words
+        for i, s in enumerate(p.sequences):
+            member[i, s] = True
         for batch in batches:
             ids = batch.column("id")
             found: list[tuple] = []
@@ -228,6 +285,7 @@ def _matches(docs: DataFrame, shared) -> DataFrame:
                 window = sum(vector[j : n + j] for j in range(SPAN))
                 size = np.sqrt(sum(norm[j : n + j] for j in range(SPAN)))
                 rows = np.flatnonzero(size > 0)
+                whole_in: set[tuple[int, int]] = set()
                 for part in np.array_split(rows, max(1, len(rows) // 4096)):
                     cosine = (window[part] @ p.latent.T) / size[part, None]
                     w, k = np.nonzero(cosine >= COSINE)
@@ -249,6 +307,20 @@ def _matches(docs: DataFrame, shared) -> DataFrame:
                         common, answer = _held(whole[item], ends[item], text)
                         if common >= SURE or (common >= LIKELY and answer >= ANSWER):
                             found.append((ids[piece.first + d].as_py(), p.items[item], float(cosine[w[j], k[j]]), common, answer))
+                            if common == 1:
+                                whole_in.add((d, item))
+                for d, item, lo, hi in _anchored(p, term, piece.bounds):
+                    words = term[lo:hi]
+                    m = whole[item][1]
+                    inside = np.concatenate([[0], np.cumsum(member[item][words])])
+                    most = np.max(inside[STRETCH[m] :] - inside[: -STRETCH[m]], initial=0) if len(words) > STRETCH[m] else inside[-1]
+                    if (d, item) in whole_in or most < _least(m):
+                        continue
+                    common, answer = _held(whole[item], ends[item], words.tolist())
+                    if common >= SURE or (common >= LIKELY and answer >= ANSWER):
+                        near = base[d] + np.arange(max(0, (lo - piece.bounds[d]) // BLOCK - SPAN + 1), (hi - 1 - piece.bounds[d]) // BLOCK + 1)
+                        cosine = float(np.max(window[near] @ p.latent[item] / np.maximum(size[near], 1e-9)))
+                        found.append((ids[piece.first + d].as_py(), p.items[item], cosine, common, answer))
             columns = list(zip(*found, strict=True)) if found else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
@@ -271,8 +343,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id
         if not rows:
             break
         last = rows[-1]
-        passages = _passages(rows)
-        if passages is not None:
+        for passages in _passages(rows):
             out = out.unionByName(_slice_leaks(spark, docs, passages))
         if len(rows) < SLICE:
             break
@@ -288,6 +359,7 @@ def _slice_leaks(spark: SparkSession, docs: DataFrame, p: Passages) -> DataFrame
     idf = np.log((counts[-1] + 1) / (counts[:-1] + 1)) + 1e-3
     own = np.bincount(np.concatenate([np.unique(s) for s in p.sequences]), minlength=len(idf))
     p.weight = np.where(own > max(1, COMMON * len(p.items)), 0.0, np.maximum(idf, 0))
+    _anchor(p, counts[:-1])
     basis = _factors(spark, p)
     p.terms = (p.weight[:, None] * basis).astype(np.float32)
     latent = np.stack([p.terms[np.unique(s)].sum(axis=0) for s in p.sequences])

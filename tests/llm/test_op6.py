@@ -47,6 +47,28 @@ def test_changed_passages(spark, monkeypatch):
     assert not any(a >= 1000 or a % 10 == 3 or a // 10 != i for a, i in got)
 
 
+def test_copies_of_many_long_items(spark):
+    r = random.Random(8)
+    bench = [(i, words(r, 600)) for i in range(60)]
+    rich = [w for _, b in bench for w in b]
+    docs = [(i, " ".join(r.sample(rich, 150) + b[120:180] + r.sample(rich, 150))) for i, b in bench]  # the third passage of ten
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in bench], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.common for x in op6.leaks(d, b).collect()}
+    assert got == {(i, i): 1.0 for i, _ in bench}
+
+
+def test_short_items_among_words_of_others(spark):
+    r = random.Random(9)
+    bench = [(i, words(r, 3 + i % 3)) for i in range(100)]
+    rich = [w for _, b in bench for w in b]
+    docs = [(i, " ".join(r.sample(rich, 60) + b + r.sample(rich, 60))) for i, b in bench]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in bench], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.common for x in op6.leaks(d, b).collect()}
+    assert all(got.get((i, i)) == 1 for i, _ in bench)
+
+
 def test_subsequence_against_a_table():
     r = np.random.default_rng(0)
     for _ in range(50):
