@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep one document of each group of near copies: the one with the smallest id."""
-    groups = op8.near_duplicates(docs)
+    groups = op8.near_duplicates(docs, k=5, share=80)
     leaders = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 

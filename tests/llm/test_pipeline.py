@@ -44,6 +44,18 @@ def test_near_duplicates(steps):
     assert set(by_id(steps[2])) == {c for _, _, c in brute(docs)}
 
 
+def test_near_duplicates_of_five_words_and_four_fifths(spark):
+    """Copies whose similarity is 0.80 to 0.85 go, those below 0.8 stay."""
+    base = [f"w{i}" for i in range(100)]
+    changed = lambda at: [f"x{i}" if i in at else w for i, w in enumerate(base)]
+    docs = [(i, " ".join(w)) for i, w in enumerate([base, changed({20, 50}), changed({20, 50, 80})])]
+    alone = lambda i, k, share: dict((d, c) for d, _, c in brute([docs[0], docs[i]], k, share))[i] == i
+    assert not alone(1, 5, 80) and alone(1, 5, 85) and alone(2, 5, 80)
+    for i, left in ((1, {0}), (2, {0, 2})):
+        df = spark.createDataFrame([docs[0], docs[i]], "doc_id long, text string")
+        assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, FOLDER).collect()} == left
+
+
 def test_decontamination(spark, steps):
     items = [" " + " ".join(plain(r.text)) + " " for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     holds = lambda t: any(i in " " + " ".join(plain(t)) + " " for i in items)
