@@ -42,8 +42,6 @@ COSINE = 0.3
 SURE, LIKELY, ANSWER = 0.75, 0.65, 0.7
 #: Words of the stretch of text in which a passage of so many words is looked for.
 STRETCH = np.arange(PASSAGE + 1) + np.arange(PASSAGE + 1) // 2 + 8
-#: Terms in more than this share of the passages say nothing about one of them.
-COMMON = 0.2
 _SLOTS = 1 << 20
 
 
@@ -271,7 +269,7 @@ def _matches(docs: DataFrame, shared) -> DataFrame:
                 blocks = -(-sizes // BLOCK) + SPAN - 1
                 base = np.concatenate([[0], np.cumsum(blocks)])
                 block = base[owner] + (np.arange(len(term)) - piece.bounds[owner]) // BLOCK
-                use = np.flatnonzero((term >= 0) & (p.weight[np.maximum(term, 0)] > 0))
+                use = np.flatnonzero(term >= 0)
                 if not len(use):
                     continue
                 pair = np.unique(block[use] * len(squared) + term[use])
@@ -357,8 +355,7 @@ def _slice_leaks(spark: SparkSession, docs: DataFrame, p: Passages) -> DataFrame
     send = spark.sparkContext.broadcast
     counts = _document_counts(docs, send(p))
     idf = np.log((counts[-1] + 1) / (counts[:-1] + 1)) + 1e-3
-    own = np.bincount(np.concatenate([np.unique(s) for s in p.sequences]), minlength=len(idf))
-    p.weight = np.where(own > max(1, COMMON * len(p.items)), 0.0, np.maximum(idf, 0))
+    p.weight = idf  # of the documents alone: the same in every slice, and never 0
     _anchor(p, counts[:-1])
     basis = _factors(spark, p)
     p.terms = (p.weight[:, None] * basis).astype(np.float32)

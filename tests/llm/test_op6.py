@@ -69,6 +69,20 @@ def test_short_items_among_words_of_others(spark):
     assert all(got.get((i, i)) == 1 for i, _ in bench)
 
 
+@pytest.mark.parametrize("size", [256, 2])
+def test_items_with_the_same_words(spark, monkeypatch, size):
+    """Repeated items and variants of a question are found in small slices as well."""
+    r = random.Random(10)
+    first, second = words(r, 20), words(r, 20)
+    bench = [(1, first), (2, first), (3, second), (4, [*second[:-1], "other"])]
+    docs = [(i, " ".join(words(r, 30) + w + words(r, 30))) for i, w in enumerate([first, second])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in bench], "item_id long, text string")
+    monkeypatch.setattr(op6, "SLICE", size)
+    got = {(x.doc_id, x.item_id): x.cosine for x in op6.leaks(d, b).collect()}
+    assert set(got) == {(0, 1), (0, 2), (1, 3), (1, 4)} and min(got.values()) > op6.COSINE
+
+
 def test_subsequence_against_a_table():
     r = np.random.default_rng(0)
     for _ in range(50):
