@@ -9,7 +9,8 @@ values never get one pseudonym, and why the same value gets the same one in ever
 The keyed function is SHA-256 over key, kind, size, round and half.  ``restore`` runs the rounds backwards.
 
 * numbers: the digits are halved; separators and group lengths stay;
-* cards keep their first digit and get a new check digit, IBANs keep country and letters and get new check digits;
+* cards keep their first digit and get a new check digit (next to further digits the value takes, if need be, a later one
+  of its cycle, by which ``restore`` stays exact), IBANs keep country and letters and get new check digits;
 * North American numbers keep the country code, and area and exchange stay in 2xx-9xx;
 * dates stay in their century (of 36 524 = 92 * 397 or 36 525 = 75 * 487 days) and keep their notation;
 * addresses: letters of the part before the ``@`` are permuted as base-26 numbers, its digits as numbers; the domain stays.
@@ -29,7 +30,20 @@ ROUNDS = 8
 KINDS = ("email", "iban", "date", "ssn", "card", "ip", "phone")
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Countries by the length of their IBANs.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+_IBAN_BODIES = [
+    f"(?:{of})[0-9]{{2}}(?:\\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"\\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, of in _IBAN_LENGTHS.items()
+]
+# the length of its country first, so that words behind an IBAN are no part of it; then any length
+_IBAN = (
+    rf"(?<![A-Za-z0-9])(?:{'|'.join(_IBAN_BODIES)}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])"
+)
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _CARD = r"(?<![0-9A-Za-z])(?:[0-9][\x20-]?){12,18}[0-9](?![0-9A-Za-z])"
@@ -142,11 +156,33 @@ def _date_cases(f: Feistel) -> str:
     return "case " + " ".join(out) + " end"
 
 
+#: Steps after which the search for a pseudonym that no earlier reading takes for a card ends.
+WALK = 256
+
+
 def _card(f: Feistel) -> str:
-    digits = _DIGITS.format("v")
+    """The first valid reading: all of the match, else what begins and ends at its separators, longest and leftmost first.
+
+    The permutation is repeated until no earlier reading of the result is valid, so that ``restore`` takes the same one.
+    """
+    starts = "filter(sequence(1, length(v)), x1 -> x1 = 1 or substr(v, x1 - 1, 1) rlike '[^0-9]')"
+    ends = "filter(sequence(1, length(v)), y1 -> y1 = length(v) or substr(v, y1 + 1, 1) rlike '[^0-9]')"
+    every = f"flatten(transform({starts}, a1 -> transform({ends}, b1 -> named_struct('a', a1, 'z', b1 - a1 + 1))))"
+    digits = _DIGITS.format("substr(v, r1.a, greatest(r1.z, 0))")
+    fit = f"filter({every}, r1 -> substr(v, r1.a, 1) rlike '[0-9]' and length({digits}) between 13 and 19)"
+    readings = f"array_sort({fit}, (l1, l2) -> (l2.z - l1.z) * 100 + l1.a - l2.a)"
+    valid = lambda text: _let(_DIGITS.format(text), "n", f"{_luhn('substr(n, 1, length(n) - 1)')} = substr(n, -1, 1)")
     payload = "concat(substr(n, 1, 1), " + f.number("substr(n, 2, length(n) - 2)", _sql_text("card")) + ")"
-    new = _let(payload, "q", _refilled("v", "[0-9]", f"concat(q, {_luhn('q')})"))
-    return _let(digits, "n", f"if({_luhn('substr(n, 1, length(n) - 1)')} = substr(n, -1, 1), {new}, null)")
+    new = _let(_DIGITS.format("w1"), "n", _let(payload, "q", _refilled("w1", "[0-9]", f"concat(q, {_luhn('q')})")))
+    step = f"concat(substr(k1.s, 1, o1.a - 1), {_let('substr(k1.s, o1.a, o1.z)', 'w1', new)}, substr(k1.s, o1.a + o1.z))"
+    taken = f"exists(slice(m1, 1, h1 - 1), e1 -> {valid('substr(u1, e1.a, e1.z)')})"
+    after = f"named_struct('s', u1, 'done', not {taken})"
+    walk = (
+        f"aggregate(sequence(1, if(h1 = 1, 1, {WALK})), named_struct('s', v, 'done', false), (k1, i1) -> "
+        f"if(k1.done, k1, {_let(step, 'u1', after)}), k1 -> k1.s)"
+    )
+    first = f"cast(array_position(transform(m1, r2 -> {valid('substr(v, r2.a, r2.z)')}), true) as int)"
+    return _let(readings, "m1", _let(first, "h1", f"if(h1 = 0, null, {_let('element_at(m1, greatest(h1, 1))', 'o1', walk)})"))
 
 
 def _iban(f: Feistel) -> str:

@@ -91,3 +91,20 @@ def test_keys_differ_and_empty_tables(spark):
     rows = spark.createDataFrame([(1, "4111111111111111")], "doc_id long, text string")
     assert op1.pseudonymise(rows, "a").first().text != op1.pseudonymise(rows, "b").first().text
     assert op1.pseudonymise(rows.limit(0), "a").count() == 0
+
+
+def test_cards_and_ibans_next_to_others(spark):
+    card, ibans = "4111 1111 1111 1111", ["AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "DE89370400440532013000"]
+    around = ["{} 123", "{} 12/27", "12 {}", "{}-1234", *["{} " + str(i) for i in range(100, 160) if not luhn(card.replace(" ", "") + str(i))]]
+    texts = [a.format(card) for a in around] + [i + tail for i in ibans for tail in (" BIC", " 500 EUR", " GB82 WEST 1234 5698 7654 32")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = op1.pseudonymise(rows, "k1").cache()
+    for r in done.collect():
+        n = 1 + ("GB82" in texts[r.doc_id])
+        assert (r.n_card, r.n_iban) == ((1, 0) if r.doc_id < len(around) else (0, n)), r
+        assert card not in r.text and not any(i in r.text for i in ibans)
+        if r.doc_id < len(around):
+            before, after = around[r.doc_id].split("{}")
+            assert r.text.startswith(before) and r.text.endswith(after)
+            assert len(r.text) == len(texts[r.doc_id])
+    assert {r.doc_id: r.text for r in op1.restore(done.select("doc_id", "text"), "k1").collect()} == dict(enumerate(texts))
