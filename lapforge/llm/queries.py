@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1, op10, op2, op3, op4, op5, op6, op7, op8, op9, sql
+from . import op1, op10, op11, op2, op3, op4, op5, op6, op7, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -71,6 +71,21 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return op8.near_duplicates(table(spark, folder, "documents"), k=4, share=85)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    docs = docs.select("doc_id", op11.repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = op11.periodic_runs(docs).withColumn("best", op11.greatest(F.col("runs")))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        sha(op11.digest(F.col("runs"))).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_pseudonyms": op1_feistel_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
@@ -82,9 +97,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_toxicity_chain": op7_toxicity_chain,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op2_secret_scan": sql.secrets(),
     "op9_mixture": sql.mixing(),
+    "op11_periodic_runs": sql.periodic_runs(),
 }

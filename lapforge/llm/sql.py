@@ -73,3 +73,48 @@ select doc_id, size, source_size, target,
   (size * (passes + case when 2 * upto - size <= 2 * rest then 1 else 0 end))::bigint as taken
 from run
 """
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit (reflected polynomial 0xEDB88320)."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda k: list_transform(range(8), lambda j: (ascii({text}[k]) >> j) & 1)))"
+    step = "xor(c >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {bits}), lambda c, b: {step}), 4294967295)"
+
+
+def periodic_runs() -> str:
+    """A run has 5 words or more that match at its lag, so equal stretches of 5 words give all diagonals."""
+    return f"""
+with t as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
+    {crc32("(doc_id::varchar)")} as h
+  from documents
+),
+c as (select *, len(w) as n, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a, 3 + (h // 10) % 8 as m from t),
+d as materialized (
+  select rid, doc_id, n, case when a is null then w
+    else list_transform(range(n), lambda i: case when i < a then w[i + 1] else w[a + (i - a) % (1 + (n - a) // m) + 1] end) end as w
+  from c
+),
+five as (select rid, n, unnest(range(n - 4)) as i, unnest(list_transform(range(n - 4), lambda i: w[i + 1:i + 5])) as g from d where n >= 6),
+same as (
+  select x.rid, x.i - y.i as q, x.i, x.i - row_number() over (partition by x.rid, x.i - y.i order by x.i) as island
+  from five x join five y on x.rid = y.rid and x.g = y.g and x.i > y.i and 4 * (x.i - y.i) <= x.n
+),
+stretch as (select rid, q, min(i) - q as start, count(*) + 4 + q as length from same group by rid, q, island),
+run as (select rid, start, length, min(q) as period from stretch where length >= greatest(6, 4 * q) group by rid, start, length),
+per as (
+  select rid, count(*) as n_runs, min(struct_pack(l := -length, s := start, p := period)) as best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as runs
+  from run group by rid
+),
+gone as (select distinct rid, unnest(range(start + period, start + length)) as i from run),
+kept as (
+  select d.rid, string_agg(x.word, ' ' order by x.i) as collapsed
+  from (select rid, unnest(w) as word, unnest(range(n)) as i from d) x join d using (rid) left join gone g on g.rid = x.rid and g.i = x.i
+  where g.i is null group by d.rid
+)
+select d.doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, -best.l as length, best.p as period,
+  (-1000 * best.l) // best.p as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from d left join per using (rid) left join kept using (rid)
+"""
