@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1, op10, op11, op2, op3, op4, op5, op6, op7, op8, op9, sql
+from . import op1, op10, op11, op12, op13, op2, op3, op4, op5, op6, op7, op8, op9, sql
 from .tables import bucket_of, table
 
 
@@ -86,6 +87,18 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
+    packages = op12.write_packages(table(spark, folder, "pages"), op12.shared_path(spark, f"packages-{uuid.uuid4().hex}"))
+    found = op12.read_records(packages, payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op13.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_feistel_pseudonyms": op1_feistel_pseudonyms,
     "op2_secret_scan": op2_secret_scan,
@@ -98,10 +111,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity_chain": op7_toxicity_chain,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_zip_warc": op12_zip_warc,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op2_secret_scan": sql.secrets(),
     "op9_mixture": sql.mixing(),
     "op11_periodic_runs": sql.periodic_runs(),
+    "op12_zip_warc": sql.archive(),
+    "op13_hard_negatives": sql.hard_negatives(),
 }

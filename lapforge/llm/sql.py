@@ -118,3 +118,38 @@ select d.doc_id, coalesce(n_runs, 0) as n_runs, best.s as start, -best.l as leng
   (-1000 * best.l) // best.p as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
 from d left join per using (rid) left join kept using (rid)
 """
+
+
+def archive() -> str:
+    return """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+),
+f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest),
+r as (select p.*, case when page_id is distinct from first then first end as refers_to from p left join f using (payload_digest))
+select page_id, payload_bytes, payload_digest, case when refers_to is null then 'response' else 'revisit' end as record_type, refers_to from r
+"""
+
+
+def hard_negatives() -> str:
+    return """
+with e as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as materialized (
+  select a.id as anchor, b.id as other, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from e a join e b on a.id % 100 = 0 and a.id <> b.id
+),
+pos as (
+  select anchor, other, score from s where same qualify row_number() over (partition by anchor order by score desc, other) <= 5
+),
+neg as (
+  select p.anchor as anchor_id, p.other as positive_id, n.other as negative_id, p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor, p.other order by n.score desc, n.other)::int as rank
+  from pos p join s n on n.anchor = p.anchor and not n.same and 80 * p.score <= 100 * n.score and n.score <= p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from neg where rank <= 5
+"""

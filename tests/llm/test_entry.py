@@ -12,7 +12,7 @@ ROOT = Path(__file__).parents[2]
 
 def test_registered():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
 
 
 def test_rest_works_without_the_package(tmp_path):
