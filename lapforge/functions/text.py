@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-#: Plain decimal number, or infinity, as text.
-NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
+#: Plain decimal number, or infinity, as text between any white space.
+NUMBER_TEXT = r"(?iU)^\s*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity))\s*$"
+#: Column types whose values are numbers already.
+NUMBER_TYPES = ("tinyint", "smallint", "int", "bigint", "double")
 
 
 def as_column(c: ColumnOrName) -> Column:
@@ -34,9 +36,15 @@ def blank_to_null(c: ColumnOrName) -> Column:
 
 
 def numeric(c: ColumnOrName) -> Column:
-    """Number, or NULL where the value is not one."""
-    text = strip(as_column(c).cast("string"))
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    """Number, or NULL where the value is not one.
+
+    The type of a column is known when a query is planned, so the choice below costs nothing: numbers are cast,
+    and only text is matched, once.
+    """
+    value = as_column(c)
+    found = F.regexp_extract(value.cast("string"), NUMBER_TEXT, 1).try_cast("double")  # no match: "", so NULL
+    none = F.lit(None).cast("double")
+    return F.when(F.typeof(value).isin(*NUMBER_TYPES), F.nanvl(value.try_cast("double"), none)).otherwise(found)
 
 
 def whole_number(c: ColumnOrName) -> Column:

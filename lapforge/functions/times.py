@@ -23,11 +23,9 @@ def duration_to_seconds(c: ColumnOrName) -> Column:
 
     Only the first two parts of a colon-separated text count: ``"1:02:03"`` -> 62.
     """
-    text = strip(as_column(c).cast("string"))
-    parts = F.split(text, ":")
-    minutes = numeric(F.get(parts, F.lit(0)))
-    seconds = numeric(F.get(parts, F.lit(1)))
-    return F.when(F.contains(text, F.lit(":")), minutes * F.lit(60.0) + seconds).otherwise(numeric(text))
+    text = as_column(c).cast("string")
+    minutes, seconds = (numeric(F.substring_index(F.substring_index(text, ":", i), ":", -1)) for i in (1, 2))
+    return F.when(F.contains(text, F.lit(":")), minutes * F.lit(60.0) + seconds).otherwise(numeric(c))
 
 
 def utc_timestamp(c: ColumnOrName, strict: bool = False) -> Column:

@@ -45,14 +45,20 @@ def rank_value(cols: Sequence[str]) -> Column:
 def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """Keep the last row of every key.
 
-    "Last" is by ``order_cols`` and then by all other columns, so the result
-    does not depend on how the input is partitioned.  Spark applies the
-    ``row_number = 1`` limit before the shuffle too (WindowGroupLimit), which
-    leaves one candidate per key and input task even for a hot key.
+    "Last" is by ``order_cols`` and then by two hashes of all other columns, so
+    the result does not depend on how the input is partitioned, and a sort compares
+    two numbers instead of thirty columns.  Spark applies the ``row_number = 1``
+    limit before the shuffle too (WindowGroupLimit), which leaves one candidate
+    per key and input task even for a hot key.
     """
     ties = [c for c in df.columns if c not in keys and c not in order_cols]
-    newest_first = Window.partitionBy(*keys).orderBy(*_descending([*order_cols, *ties]))
-    return df.withColumn("__rn", F.row_number().over(newest_first)).where(F.col("__rn") == 1).drop("__rn")
+    order, helpers = _descending(order_cols), {}
+    if ties:
+        helpers = {"__tie": F.xxhash64(*ties), "__tie2": F.hash(*ties)}
+        order += [F.col("__tie"), F.col("__tie2")]
+    newest_first = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.withColumns(helpers).withColumn("__rn", F.row_number().over(newest_first))
+    return ranked.where(F.col("__rn") == 1).drop("__rn", *helpers)
 
 
 def with_neighbours(

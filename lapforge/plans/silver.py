@@ -1,7 +1,8 @@
 """Cleaning jobs: raw table in, typed and de-duplicated table out.
 
 ``order_cols`` says what "last" means when a key occurs more than once; all
-other columns break remaining ties.
+other columns break remaining ties.  ``losses`` counts what a job loses, by cause,
+while it runs.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapforge import functions as fn
+from lapforge.operators.losses import Losses
 from lapforge.operators.ordered import chunk_of, forward_fill, keep_last
 from lapforge.schemas import SILVER_KEYS
 
@@ -52,11 +54,30 @@ def _durations_to_seconds(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({f"{c}_seconds": fn.ns_to_seconds(c) for c in present}).drop(*present)
 
 
-def clean_laps(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
+def _watched(df: DataFrame, losses: Losses | None, read: dict[str, Column]) -> DataFrame:
+    """Raw rows, counted, and how many values of each column are there but cannot be read."""
+    if losses is None:
+        return df
+    return losses.watch(df, "rows_in", unreadable={c: F.col(c).isNotNull() & value.isNull() for c, value in read.items()})
+
+
+def _kept(
+    typed: DataFrame, table: str, order_cols: Sequence[str], losses: Losses | None, required: Sequence[str] = ()
+) -> DataFrame:
+    """The last row of every key, without rows that lack a required value."""
+    if losses is not None:
+        typed = losses.watch(typed, missing={c: F.col(c).isNull() for c in required})
+    kept = keep_last(typed.dropna(subset=list(required)) if required else typed, SILVER_KEYS[table], order_cols)
+    return kept if losses is None else losses.watch(kept, "rows_out")
+
+
+def clean_laps(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    whole = {c: fn.whole_number(c) for c in ("lap_number", "stint", "tyre_life", "position")}
+    df = _watched(df, losses, {"lap_start_date": fn.utc_timestamp("lap_start_date"), **whole})
     typed = _durations_to_seconds(df, LAP_DURATIONS).withColumns(
         {
             "lap_start_date": fn.utc_timestamp("lap_start_date"),
-            **{c: fn.whole_number(c) for c in ("lap_number", "stint", "tyre_life", "position")},
+            **whole,
             "deleted": F.col("deleted").cast("boolean"),
             "ingested_at": _loaded(),
             "abbreviation": F.col("driver"),
@@ -66,14 +87,15 @@ def clean_laps(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
             "compound": F.coalesce("compound", F.lit("UNKNOWN")),
         }
     )
-    return keep_last(typed, SILVER_KEYS["laps"], order_cols)
+    return _kept(typed, "laps", order_cols, losses)
 
 
-def clean_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    typed = df.withColumns(
+def clean_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    whole = {c: fn.whole_number(c) for c in ("position", "grid_position", "laps")}
+    typed = _watched(df, losses, whole).withColumns(
         {
             "ingested_at": _loaded(),
-            **{c: fn.whole_number(c) for c in ("position", "grid_position", "laps")},
+            **whole,
             "time_seconds": fn.ns_to_seconds("time"),
             "driver_id": fn.slugify("driver_id"),
             "team_id": fn.slugify("team_id"),
@@ -88,37 +110,39 @@ def clean_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFra
         }
     )
     slim = typed.drop("headshot_url", "country_code", "q1", "q2", "q3", "time")
-    return keep_last(slim, SILVER_KEYS["results"], order_cols)
+    return _kept(slim, "results", order_cols, losses)
+
+
+def _telemetry_columns(df: DataFrame) -> DataFrame:
+    return df.withColumns(
+        {
+            "date": fn.utc_timestamp("date"),
+            "session_time_seconds": fn.ns_to_seconds("session_time"),
+            "lap_time_seconds": fn.ns_to_seconds("time"),
+            "ingested_at": _loaded(),
+            "abbreviation": F.col("driver"),
+            "team": fn.slugify("team"),
+            "driver_ahead": fn.blank_to_null("driver_ahead"),
+            "status": fn.blank_to_null("status"),
+        }
+    ).drop("session_time", "time")
 
 
 def typed_telemetry(df: DataFrame) -> DataFrame:
     """The row-by-row part of telemetry cleaning; samples without a distance are dropped."""
-    return (
-        df.withColumns(
-            {
-                "date": fn.utc_timestamp("date"),
-                "session_time_seconds": fn.ns_to_seconds("session_time"),
-                "lap_time_seconds": fn.ns_to_seconds("time"),
-                "ingested_at": _loaded(),
-                "abbreviation": F.col("driver"),
-                "team": fn.slugify("team"),
-                "driver_ahead": fn.blank_to_null("driver_ahead"),
-                "status": fn.blank_to_null("status"),
-            }
-        )
-        .drop("session_time", "time")
-        .dropna(subset=["distance"])
-    )
+    return _telemetry_columns(df).dropna(subset=["distance"])
 
 
-def clean_telemetry(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    return keep_last(typed_telemetry(df), SILVER_KEYS["telemetry"], order_cols)
+def clean_telemetry(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    typed = _telemetry_columns(_watched(df, losses, {"date": fn.utc_timestamp("date")}))
+    return _kept(typed, "telemetry", order_cols, losses, ["distance"])
 
 
 def clean_weather(
-    df: DataFrame, order_cols: Sequence[str] = BY_LOAD, chunk_seconds: float = 3600.0
+    df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None, chunk_seconds: float = 3600.0
 ) -> DataFrame:
     """Gaps of the two temperatures are filled forward within a session, then de-duplicated."""
+    df = _watched(df, losses, {"time": fn.ns_to_seconds("time")})
     typed = df.withColumns({"time_seconds": fn.ns_to_seconds("time"), "ingested_at": _loaded()}).drop("time")
     # NaN is a gap as well
     typed = typed.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("air_temp", "track_temp")})
@@ -139,11 +163,12 @@ def clean_weather(
     filled = forward_fill(
         readings, ["season", "round"], ["time_seconds"], temperatures, chunk_of("time_seconds", chunk_seconds)
     )
-    return filled.select(*typed.columns)
+    filled = filled.select(*typed.columns)
+    return filled if losses is None else losses.watch(filled, "rows_out", unfilled={c: F.col(c).isNull() for c in temperatures})
 
 
-def clean_race_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    typed = df.withColumns(
+def clean_race_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    typed = _watched(df, losses, {}).withColumns(
         {
             "date": fn.date_strict("date"),
             "ingested_at": _loaded(),
@@ -153,11 +178,11 @@ def clean_race_results(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> Da
             "abbreviation": F.coalesce("driver_code", F.lit("UNK")),
         }
     ).na.fill({"status": "Unknown", "driver_name": "Unknown Driver"})
-    return keep_last(typed, SILVER_KEYS["race_results"], order_cols)
+    return _kept(typed, "race_results", order_cols, losses)
 
 
-def clean_driver_standings(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    typed = df.withColumns(
+def clean_driver_standings(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    typed = _watched(df, losses, {}).withColumns(
         {
             "driver_dob": fn.date_strict("driver_dob"),
             "ingested_at": _loaded(),
@@ -168,42 +193,44 @@ def clean_driver_standings(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -
     ).na.fill(
         {"driver_country": "Unknown", "constructor_country": "Unknown", "driver_name": "Unknown Driver"}
     )
-    return keep_last(typed, SILVER_KEYS["driver_standings"], order_cols)
+    return _kept(typed, "driver_standings", order_cols, losses)
 
 
-def clean_constructor_standings(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
-    typed = df.withColumns(
+def clean_constructor_standings(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
+    typed = _watched(df, losses, {}).withColumns(
         {"ingested_at": _loaded(), "constructor_id": fn.slugify("constructor_id")}
     ).na.fill({"constructor_country": "Unknown", "constructor": "Unknown Constructor"})
-    return keep_last(typed, SILVER_KEYS["constructor_standings"], order_cols)
+    return _kept(typed, "constructor_standings", order_cols, losses)
 
 
-def clean_pit_stops(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
+def clean_pit_stops(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
     """Stops whose duration cannot be read are dropped."""
-    typed = df.withColumns(
-        {
-            "date": fn.date_strict("date"),
-            "ingested_at": _loaded(),
-            "lap_pitted": fn.whole_number("lap_pitted"),
-            "stop_num": fn.whole_number("stop_num"),
-            "pit_in_time": fn.time_of_day("pit_in_time"),
-            "pit_stop_duration": fn.duration_to_seconds("pit_stop_duration"),
-            "driver_id": fn.slugify("driver_id"),
-        }
-    ).dropna(subset=["pit_stop_duration"])
-    return keep_last(typed, SILVER_KEYS["pit_stops"], order_cols)
+    read = {
+        "lap_pitted": fn.whole_number("lap_pitted"),
+        "stop_num": fn.whole_number("stop_num"),
+        "pit_in_time": fn.time_of_day("pit_in_time"),
+        "pit_stop_duration": fn.duration_to_seconds("pit_stop_duration"),
+    }
+    typed = _watched(df, losses, read).withColumns(
+        {"date": fn.date_strict("date"), "ingested_at": _loaded(), **read, "driver_id": fn.slugify("driver_id")}
+    )
+    return _kept(typed, "pit_stops", order_cols, losses, ["pit_stop_duration"])
 
 
-def clean_race_schedule(df: DataFrame, order_cols: Sequence[str] = BY_LOAD) -> DataFrame:
+def clean_race_schedule(df: DataFrame, order_cols: Sequence[str] = BY_LOAD, losses: Losses | None = None) -> DataFrame:
     """Sessions without both source columns are left out."""
     pairs = {out: pair for out, pair in SESSIONS.items() if set(pair) <= set(df.columns)}
+    read = {out: fn.date_time(*pair) for out, pair in pairs.items()}
+    if losses is not None:
+        there = {out: F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull() for out, pair in pairs.items()}
+        df = losses.watch(df, "rows_in", unreadable={out: there[out] & read[out].isNull() for out in pairs})
     typed = (
-        df.withColumns({out: fn.date_time(*pair) for out, pair in pairs.items()})
+        df.withColumns(read)
         .drop(*[c for pair in pairs.values() for c in pair])
         .withColumn("ingested_at", _loaded())
         .na.fill({"race_name": "Unknown Race", "circuit": "Unknown Circuit"})
     )
-    return keep_last(typed, SILVER_KEYS["race_schedule"], order_cols)
+    return _kept(typed, "race_schedule", order_cols, losses)
 
 
 CLEANERS = {

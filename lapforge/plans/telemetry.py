@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions import band_label, rounded
@@ -89,26 +89,29 @@ PAIR = ["season", "round", "driver_a", "lap_a", "driver_b", "lap_b"]
 CHANNELS = (*LINEAR, "brake", "drs")
 
 
-def shared_span(telemetry: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The distances both laps of a pair cover (one row per pair that overlaps)."""
-    extent = telemetry.groupBy(*LAP).agg(F.min("distance").alias("lo"), F.max("distance").alias("hi"))
+def paired_samples(telemetry: DataFrame, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Samples of both laps of every pair, by pair and side ("a" or "b"), with the distances that both laps cover.
 
-    def of(side: str) -> DataFrame:
-        return extent.select(
-            *RACE,
-            F.col("abbreviation").alias(f"driver_{side}"),
-            F.col("lap_number").alias(f"lap_{side}"),
-            F.col("lo").alias(f"lo_{side}"),
-            F.col("hi").alias(f"hi_{side}"),
-        )
-
-    known = pairs.select(*PAIR).distinct()
-    for side in ("a", "b"):
-        known = known.join(of(side), [*RACE, f"driver_{side}", f"lap_{side}"])
-    span = known.select(
-        *PAIR, F.greatest("lo_a", "lo_b").alias("grid_lo"), F.least("hi_a", "hi_b").alias("grid_hi")
+    The pairs pick their laps first, so only those samples are moved, and all that follows goes by pair: the
+    extent of a lap and the span of a pair are windows over the partitions as they are.  A lap is bounded.
+    """
+    lap_of = [
+        F.struct(F.lit(side).alias("side"), F.col(f"driver_{side}").alias("abbreviation"), F.col(f"lap_{side}").alias("lap_number"))
+        for side in ("a", "b")
+    ]
+    sides = pairs.select(*PAIR).distinct().withColumn("__lap", F.explode(F.array(*lap_of))).select(*PAIR, "__lap.*")
+    samples = telemetry.where(F.col("distance").isNotNull()).select(*LAP, "distance", *columns)
+    joined = samples.join(sides, LAP).drop("abbreviation", "lap_number").repartition(*PAIR)
+    trace, pair = Window.partitionBy(*PAIR, "side"), Window.partitionBy(*PAIR)
+    extent = joined.withColumns({"__lo": F.min("distance").over(trace), "__hi": F.max("distance").over(trace)})
+    span = extent.withColumns(
+        {
+            "grid_lo": F.max("__lo").over(pair),
+            "grid_hi": F.min("__hi").over(pair),
+            "__both": F.min("side").over(pair) != F.max("side").over(pair),
+        }
     )
-    return span.where(F.col("grid_lo") <= F.col("grid_hi"))
+    return span.where("__both and grid_lo <= grid_hi").drop("__lo", "__hi", "__both")
 
 
 def paired_grids(
@@ -117,33 +120,15 @@ def paired_grids(
     n: int = 700,
     channels: Sequence[str] = CHANNELS,
     ties: Sequence[str] = ("telemetry_timestamp",),
-    chunk_metres: float = 1000.0,
 ) -> DataFrame:
     """Both laps of every pair on the grid that spans the distance they share.
 
     ``pairs`` has (season, round, driver_a, lap_a, driver_b, lap_b); the result
     has one row per pair, side ("a" or "b") and grid point, with elapsed time.
     """
-    lap_of = {
-        side: F.struct(
-            F.lit(side).alias("side"),
-            F.col(f"driver_{side}").alias("abbreviation"),
-            F.col(f"lap_{side}").alias("lap_number"),
-        )
-        for side in ("a", "b")
-    }
-    laps = (
-        shared_span(telemetry, pairs)
-        .withColumn("__lap", F.explode(F.array(*lap_of.values())))
-        .select(*PAIR, "grid_lo", "grid_hi", "__lap.*")
-    )
-    samples = telemetry.select(*LAP, "distance", *dict.fromkeys([*channels, "speed", *ties]))
+    samples = paired_samples(telemetry, pairs, list(dict.fromkeys([*channels, "speed", *ties])))
     keys = [*PAIR, "side"]
-    grid = resample(
-        samples.join(laps, LAP), keys, "grid_lo", "grid_hi", n, chunk_metres=chunk_metres, ties=ties
-    )
-    # two traces of ``n`` points to a pair; what follows needs no other shuffle
-    return cumulative_time(grid.repartition(*PAIR), keys)
+    return cumulative_time(resample(samples, keys, "grid_lo", "grid_hi", n, chunk_metres=None, ties=ties), keys)
 
 
 def compare_laps(
@@ -152,11 +137,10 @@ def compare_laps(
     n: int = 700,
     channels: Sequence[str] = CHANNELS,
     ties: Sequence[str] = ("telemetry_timestamp",),
-    chunk_metres: float = 1000.0,
 ) -> DataFrame:
     """Two laps side by side on their shared grid, with speed and time deltas (A minus B)."""
     point = [*PAIR, "grid_idx"]
-    grids = paired_grids(telemetry, pairs, n, channels, ties, chunk_metres)
+    grids = paired_grids(telemetry, pairs, n, channels, ties)
     values = F.struct(*[c for c in grids.columns if c not in (*point, "side", "distance")])
 
     def of(side: str) -> Column:

@@ -1,21 +1,19 @@
-"""Live telemetry: file stream in, cleaned samples, minute figures and merged silver tables out."""
+"""Live telemetry: file stream in, cleaned samples, minute figures and samples with their lap out (tables: ``merge.py``)."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapforge.operators.ordered import keep_last
 from lapforge.plans.marts import DRS_OPEN
 from lapforge.plans.silver import typed_telemetry
 from lapforge.schemas import SILVER_KEYS, TELEMETRY
-from lapforge.session import dropped, written
-from lapforge.sources.sinks import replace_partitions
 
 RACE = ["season", "round"]
+LAP = [*RACE, "abbreviation", "lap_number"]
+CONTEXT = ["stint", "compound", "tyre_life", "fresh_tyre"]
 
 
 def telemetry_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -61,44 +59,31 @@ def window_figures(
 
 def with_lap_context(samples: DataFrame, laps: DataFrame) -> DataFrame:
     """Stream joined with the stint and tyre of the lap (static side)."""
-    context = laps.select(
-        *RACE, "abbreviation", "lap_number", "stint", "compound", "tyre_life", "fresh_tyre"
-    )
-    return samples.join(context, [*RACE, "abbreviation", "lap_number"], "left")
-
-
-def merge_into(table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that adds a micro-batch to a partitioned table.
-
-    The cost of a batch depends on the batch alone: its rows (the last of equal
-    keys) are appended.  :func:`current` shows the table with the last row of
-    equal keys, so a batch that is delivered twice changes nothing there;
-    :func:`compact` removes the older rows as a job of its own.  A session that has
-    read the table before must refresh it to see new batches.
-    """
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        rows = keep_last(batch, keys, order_cols)
-        if not spark.catalog.tableExists(table):
-            rows.limit(0).write.partitionBy(*RACE).saveAsTable(table)
-        rows.select(*spark.table(table).columns).write.insertInto(table)
+    return samples.join(laps.select(*LAP, *CONTEXT), LAP, "left")
 
-    return merge
 
+def lap_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+    """Lap rows as they land; ``schema`` has the lap keys, the context columns and the time stamp of the lap."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
-def current(spark: SparkSession, table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> DataFrame:
-    """The table with the last row of equal keys."""
-    return keep_last(spark.table(table), keys, order_cols)
 
+def with_late_laps(
+    samples: DataFrame, laps: DataFrame, delay: str = "10 minutes", lap_time: str = "lap_start_date", longest: str = "30 minutes"
+) -> DataFrame:
+    """Samples with the stint and tyre of their lap, where both arrive as streams and laps may come later.
 
-def compact(spark: SparkSession, table: str, keys: Sequence[str], order_cols: Sequence[str] = ("ingested_at",)) -> None:
-    """Rewrite the races of the table that hold rows with equal keys, without the older ones."""
-    spark.catalog.refreshTable(table)
-    rows = spark.table(table)
-    doubled = rows.groupBy(*keys).count().where("count > 1").select(*RACE).distinct()
-    touched = keep_last(rows.join(doubled, RACE, "left_semi"), keys, order_cols)
-    # a table cannot be overwritten while it is read: its rows are parked while the job runs
-    name = f"compact/{uuid.uuid4().hex}"
-    replace_partitions(written(touched, name), table)
-    dropped(spark, name)
+    A sample waits for its lap's row until the watermark has passed the last moment at which that lap may have started;
+    then it goes out without context.  A lap waits for its samples for ``longest``, and of several rows for a lap the first
+    counts.  So the state holds what is younger than ``delay`` plus ``longest``, whatever the length of the session.
+    """
+    known = laps.select(*LAP, *CONTEXT, F.col(lap_time).alias("__lap_time")).withWatermark("__lap_time", delay)
+    known = known.dropDuplicatesWithinWatermark(LAP)
+    known = known.select(*[F.col(c).alias(f"__{c}") for c in LAP], *CONTEXT, "__lap_time")
+    timed = samples.withWatermark("date", delay)
+    same = F.lit(True)
+    for c in LAP:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    # these two bounds tell Spark how long either side has to be kept
+    while_running = (F.col("__lap_time") <= F.col("date")) & (F.col("__lap_time") >= F.col("date") - F.expr(f"interval {longest}"))
+    return timed.join(known, same & while_running, "left_outer").drop("__lap_time", *[f"__{c}" for c in LAP])

@@ -16,6 +16,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lapforge.operators.losses import Losses
 from lapforge.plans import marts, telemetry
 from lapforge.plans.silver import CLEANERS
 from lapforge.plans.staging import staged
@@ -311,6 +312,7 @@ class Tables:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._made: dict[str, DataFrame] = {}
+        self.losses: dict[str, Losses] = {}
 
     def source(self, name: str) -> DataFrame:
         """A test table as generated."""
@@ -334,13 +336,18 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.shaped(f"raw_{name}")
 
-    def cleaned(self, name: str) -> DataFrame:
+    def cleaned(self, name: str, losses: Losses | None = None) -> DataFrame:
         """A cleaning job from the raw rows on."""
-        return CLEANERS[name](self.raw(name), order_cols=ORDER[name])
+        return CLEANERS[name](self.raw(name), order_cols=ORDER[name], losses=losses)
 
     def silver(self, name: str) -> DataFrame:
-        """A cleaned table, written once per session and read from there."""
-        return self._table(f"silver_{name}", lambda: self.cleaned(name))
+        """A cleaned table, written once per session and read from there; the job that writes it counts what it loses."""
+
+        def make() -> DataFrame:
+            self.losses[name] = Losses(name)
+            return self.cleaned(name, self.losses[name])
+
+        return self._table(f"silver_{name}", make)
 
     def staged(self, name: str) -> DataFrame:
         return self._once(f"staged_{name}", lambda: staged(self.silver(name), name))

@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 
 from lapforge import functions as fn
 from lapforge.operators import quality
+from lapforge.operators.losses import loss_report
 from lapforge.operators.quantiles import spread_percentiles
 from lapforge.plans import dashboards, pace, results, telemetry
 from lapforge.session import shared_folder
 from lapforge.sources import bronze, catalog, pages, sinks
-from testbed import oracle
+from testbed import oracle, streams
 from testbed.bindings import Tables
 
 DIGITS = 8
@@ -402,12 +403,11 @@ _GRID_SQL = f"""
     firsts as (select * from (select *, row_number() over (partition by {_PAIR}, side, d order by ts) rn from tr) where rn = 1),
     lasts as (select * from (select *, row_number() over (partition by {_PAIR}, side, d order by ts desc) rn from tr) where rn = 1),
     both_sides as (select g.*, s.side from grid g, (values ('a'), ('b')) s(side)),
-    below as (select g.*, max(t.d) as pd from both_sides g left join tr t using ({_PAIR}, side)
-              where t.d <= g.g group by all),
-    above as (select g.*, min(t.d) as qd from both_sides g left join tr t using ({_PAIR}, side)
-              where t.d >= g.g group by all),
-    near as (select g.*, b.pd, a.qd from both_sides g
-             left join below b using ({_PAIR}, side, i) left join above a using ({_PAIR}, side, i)),
+    near as (select g.*, b.d as pd, a.d as qd from both_sides g
+             asof left join lasts b on b.season = g.season and b.round = g.round and b.driver_a = g.driver_a and b.lap_a = g.lap_a
+               and b.driver_b = g.driver_b and b.lap_b = g.lap_b and b.side = g.side and g.g >= b.d
+             asof left join firsts a on a.season = g.season and a.round = g.round and a.driver_a = g.driver_a and a.lap_a = g.lap_a
+               and a.driver_b = g.driver_b and a.lap_b = g.lap_b and a.side = g.side and g.g <= a.d),
     vals as (
       select g.{_PAIR.replace(', ', ', g.')}, g.side, g.i as grid_idx, g.g as distance,
         {', '.join(_interpolated(c) + ' as ' + c for c in ('speed', 'throttle', 'rpm', 'n_gear',
@@ -425,7 +425,7 @@ _CHANNELS = [
     "speed", "throttle", "rpm", "n_gear", "distance_to_driver_ahead", "x", "y", "z", "brake", "drs", "elapsed_s",
 ]
 QUERIES["compare_laps"] = Query(
-    lambda t: telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, chunk_metres=TEST_CHUNK),
+    lambda t: telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID),
     _GRID_SQL
     + f"select {_PAIR}, grid_idx, a.distance, "
     + ", ".join(f"a.{c} as {c}_a, b.{c} as {c}_b" for c in _CHANNELS)
@@ -438,7 +438,7 @@ QUERIES["compare_laps"] = Query(
 )
 QUERIES["delta_range"] = Query(
     lambda t: telemetry.delta_range(
-        telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, channels=("speed",), chunk_metres=TEST_CHUNK)
+        telemetry.compare_laps(t.staged("telemetry"), t.lap_pairs, N_GRID, channels=("speed",))
     ),
     _GRID_SQL
     + f"select {_PAIR}, quantile_cont(abs(a.speed - b.speed), 0.95) as abs_max from "
@@ -893,6 +893,56 @@ QUERIES["drop_report"] = Query(
     "dropped_pct",
 )
 
+
+
+def _losses(t: Tables) -> DataFrame:
+    for name in _TABLES:
+        t.silver(name)
+    return loss_report(t.spark, [t.losses[name] for name in _TABLES])
+
+
+def _loss_sql() -> str:
+    """Every count of the report from the raw and the cleaned rows."""
+    whole = "{0} is not null and ({0} <> floor({0}))"
+    number = oracle._number
+    unreadable = {
+        "laps": {c: whole.format(c) for c in ("lap_number", "stint", "tyre_life", "position")} | {"lap_start_date": "false"},
+        "results": {c: whole.format(c) for c in ("position", "grid_position", "laps")},
+        "telemetry": {"date": "false"},
+        "weather": {"time": "false"},
+        "pit_stops": {
+            "lap_pitted": "false", "stop_num": "false",
+            "pit_in_time": "cast(split_part(pit_in_time, ':', 1) as int) >= 24",
+            "pit_stop_duration": "not contains(pit_stop_duration, ':') and "
+            f"({number('pit_stop_duration')}) is null and pit_stop_duration is not null",
+        },
+        "race_schedule": {
+            f"{s}_datetime": f"{d} is not null and {h} is not null and {oracle._stamp(d, h)} is null"
+            for s, (d, h) in {"race": ("race_date", "race_start_time")}.items() | {
+                s: (f"{s}_date", f"{s}_time") for s in ("fp1", "fp2", "fp3", "sprint_qualy", "qualy")
+            }.items()
+        },
+    }
+    missing = {"telemetry": ("distance", "distance is null"), "pit_stops": ("pit_stop_duration", unreadable["pit_stops"]["pit_stop_duration"])}
+    parts = []
+    for n in _TABLES:
+        rows = f"(select count(*) from raw_{n})"
+        found = [("rows_in", "", rows), ("rows_out", "", f"(select count(*) from silver_{n})")]
+        found += [("unreadable", c, f"(select count(*) from raw_{n} where {hit})") for c, hit in unreadable.get(n, {}).items()]
+        dropped = "0"
+        if n in missing:
+            column, hit = missing[n]
+            dropped = f"(select count(*) from raw_{n} where {hit})"
+            found.append(("missing", column, dropped))
+        found.append(("duplicate", "", f"{rows} - {dropped} - (select count(*) from silver_{n})"))
+        if n == "weather":
+            found += [("unfilled", c, f"(select count(*) from silver_weather where {c} is null)") for c in ("air_temp", "track_temp")]
+        parts += [f"select '{n}' as \"table\", '{k}' as cause, '{c}' as \"column\", {v} as rows, ({v}) / cast({rows} as double) as share" for k, c, v in found]
+    return " union all ".join(parts)
+
+
+QUERIES["loss_report"] = Query(_losses, _loss_sql(), "share")
+
 # --- nested pages -----------------------------------------------------------------------------
 PAGE_ROWS = 5  # drivers per page, with at most three raw rows each; a race spans several pages
 
@@ -1197,3 +1247,40 @@ QUERIES["results_of_a_race"] = Query(
     "select season, round, abbreviation, points from mart_race_results where season = 1995 and round = 4",
     "points",
 )
+
+# --- streams ----------------------------------------------------------------------------------
+_DISTANT = "with_distance as (select * from raw_telemetry where distance is not null)"
+QUERIES["stream_clean"] = Query(
+    streams.cleaned,
+    "select distinct season, round, driver, lap_number, cast(date as timestamp) as date from raw_telemetry where distance is not null",
+    texts="date",
+)
+QUERIES["stream_windows"] = Query(
+    streams.windowed,
+    f"""
+    with {_DISTANT}
+    select time_bucket(interval '6 hours', cast(date as timestamp), timestamp '1970-01-01') as window_start, season, round,
+      driver as abbreviation, count(*) as samples, avg(speed) as avg_speed, max(speed) as max_speed,
+      avg(case when throttle >= 99 then 1e0 else 0e0 end) * 100 as full_throttle_pct,
+      avg(case when brake then 1e0 else 0e0 end) * 100 as brake_pct,
+      avg(case when drs in (10, 12, 14) then 1e0 else 0e0 end) * 100 as drs_open_pct
+    from with_distance group by all
+    """,
+    "avg_speed max_speed full_throttle_pct brake_pct drs_open_pct",
+    "window_start",
+)
+QUERIES["stream_merge"] = Query(
+    streams.merged,
+    "select season, round, driver, lap_number, date, relative_distance, speed, (select count(*) from silver_telemetry) as stored_rows, "
+    "cast(0 as bigint) as pending_twice from silver_telemetry",
+    "relative_distance speed",
+    "date",
+)
+QUERIES["stream_lap_context"] = Query(
+    streams.with_late_laps,
+    "select t.season, t.round, t.abbreviation, t.lap_number, t.date, t.speed, l.stint, l.compound, l.tyre_life, l.fresh_tyre "
+    "from silver_telemetry t left join silver_laps l on l.season = t.season and l.round = t.round "
+    "and l.abbreviation = t.abbreviation and l.lap_number = t.lap_number",
+    "speed",
+    "date",
+)

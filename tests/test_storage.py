@@ -17,6 +17,7 @@ from lapforge.plans.silver import clean_telemetry, typed_telemetry
 from lapforge.session import shared_folder, written
 from lapforge.sources import bronze, catalog, pages, sinks
 from lapforge.streaming import live
+from lapforge.streaming.merge import LiveTable
 
 
 def test_replace_partitions_is_idempotent_and_touches_only_its_races(spark, database):
@@ -184,35 +185,120 @@ def test_stream_windows_match_batch(spark, landing, tmp_path):
     assert rows(spark.table("figures"), *columns) == rows(want, *columns)
 
 
-def test_stream_merge_equals_batch_clean(spark, landing, database, tmp_path):
-    table = f"{database}.telemetry"
-    for attempt in (1, 2):  # the second run delivers everything again
+def telemetry_table(spark, tmp_path):
+    schema = typed_telemetry(spark.createDataFrame([], schemas.TELEMETRY)).schema
+    return LiveTable(spark, str(tmp_path / "table"), schema, schemas.SILVER_KEYS["telemetry"])
+
+
+COLUMNS = ["driver", "lap_number", "date", "speed"]
+
+
+def test_stream_merge_equals_batch_clean(spark, landing, tmp_path):
+    table = telemetry_table(spark, tmp_path)
+    batch = clean_telemetry(spark.read.schema(schemas.TELEMETRY).parquet(landing))
+    stored = []
+    for attempt in (1, 2):  # the second run has lost its checkpoint and delivers everything again
         stream = typed_telemetry(live.telemetry_stream(spark, landing, files_per_batch=1))
         run_once(
-            stream.writeStream.foreachBatch(live.merge_into(table, schemas.SILVER_KEYS["telemetry"]))
+            stream.writeStream.foreachBatch(table.writer("pit wall"))
             .option("checkpointLocation", str(tmp_path / f"m{attempt}")).trigger(availableNow=True).start()
         )
-        batch = clean_telemetry(spark.read.schema(schemas.TELEMETRY).parquet(landing))
-        columns = ["driver", "lap_number", "date", "speed"]
-        spark.catalog.refreshTable(table)
-        assert rows(live.current(spark, table, schemas.SILVER_KEYS["telemetry"]), *columns) == rows(batch, *columns)
-    assert spark.table(table).count() > batch.count()
-    live.compact(spark, table, schemas.SILVER_KEYS["telemetry"])
-    spark.catalog.refreshTable(table)
-    assert rows(spark.table(table), *columns) == rows(batch, *columns)
-
-
-def test_cost_of_a_batch_follows_the_batch(spark, database):
-    """Many small batches add small files only; nothing is parked."""
-    table, keys = f"{database}.many", ["season", "round", "k"]
-    add = live.merge_into(table, keys, ["v"])
-    for epoch in range(6):
-        add(spark.createDataFrame([(2031, 7, k, epoch) for k in (epoch, 0)], "season int, round int, k int, v int").coalesce(1), epoch)
-    files = spark.table(table).inputFiles()
-    assert len(files) <= 12 and live.current(spark, table, keys, ["v"]).count() == 6
-    live.compact(spark, table, keys, ["v"])
-    spark.catalog.refreshTable(table)
-    assert rows(spark.table(table), "k", "v") == [(0, 5), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+        assert rows(table.current(), *COLUMNS) == rows(batch, *COLUMNS)
+        stored.append(table.stored().count())
+    assert stored == [18, 18]
+    table.merge()
+    assert rows(table.current(), *COLUMNS) == rows(batch, *COLUMNS) and table.pending().count() == 0
+
+
+def small_table(spark, tmp_path):
+    schema = spark.createDataFrame([], "season int, round int, k int, v int").schema
+    return LiveTable(spark, str(tmp_path / "many"), schema, ["season", "round", "k"], ["v"])
+
+
+def batch_of(spark, *data):
+    return spark.createDataFrame(list(data), "season int, round int, k int, v int").coalesce(1)
+
+
+def test_cost_of_a_batch_follows_the_batch(spark, tmp_path):
+    """Many small batches add small files only."""
+    table = small_table(spark, tmp_path)
+    add = table.writer("q")
+    for number in range(6):
+        add(batch_of(spark, *[(2031, 7, k, number) for k in (number, 0)]), number)
+    assert len(table.stored().inputFiles()) == 6 and table.current().count() == 6
+    table.merge()
+    assert rows(table.current(), "k", "v") == [(0, 5), (1, 1), (2, 2), (3, 3), (4, 4), (5, 5)]
+
+
+def test_batches_are_stored_once_whenever_they_come_again(spark, tmp_path):
+    table = small_table(spark, tmp_path)
+    add, other = table.writer("a"), table.writer("b")
+    first = batch_of(spark, (1, 1, 1, 10), (1, 2, 1, 10), (1, 2, 1, 9))
+    for _ in range(2):
+        add(first, 0)
+    assert table.stored().count() == 2
+    table.merge()
+    add(first, 0)  # merged already: ignored
+    assert table.pending().count() == 0 and table.version() == 1
+    other(batch_of(spark, (1, 2, 2, 5)), 0)  # another stream counts its own batches
+    add(batch_of(spark, (1, 2, 1, 11)), 1)
+    want = [(1, 1, 1, 10), (1, 2, 1, 11), (1, 2, 2, 5)]
+    assert rows(table.current()) == want
+    for _ in range(2):  # the second merge finds nothing to do
+        table.merge()
+        assert rows(table.current()) == want and table.version() == 2
+    # race 1 was not rewritten, race 2 was; batches of the first merge are gone, those of the second still there
+    base = table._read("base", "version long").where("round = 1").select("version").distinct().collect()
+    assert [r[0] for r in base] == [1] and {(r["query"], r["batch"]) for r in table.stored().collect()} == {("a", 1), ("b", 0)}
+
+
+def test_batches_that_arrive_during_a_merge_stay(spark, tmp_path, monkeypatch):
+    """A batch, and a reader, come between the writing of the base and the ledger."""
+    table = small_table(spark, tmp_path)
+    add = table.writer("a")
+    add(batch_of(spark, (1, 1, 1, 1)), 0)
+    replace = table._replace
+
+    def slow(df, part, by):
+        replace(df, part, by)
+        if part == "base":
+            monkeypatch.setattr(table, "_replace", replace)
+            add(batch_of(spark, (1, 1, 2, 2), (1, 1, 1, 3)), 1)
+            assert rows(table.current()) == [(1, 1, 1, 3), (1, 1, 2, 2)]
+
+    monkeypatch.setattr(table, "_replace", slow)
+    table.merge()
+    assert rows(table.current()) == [(1, 1, 1, 3), (1, 1, 2, 2)] and table.pending().count() == 2
+    table.merge()
+    assert rows(table.current()) == [(1, 1, 1, 3), (1, 1, 2, 2)] and table.pending().count() == 0
+
+
+def test_a_merge_that_dies_leaves_no_trace(spark, tmp_path, monkeypatch):
+    table = small_table(spark, tmp_path)
+    add = table.writer("a")
+    add(batch_of(spark, (1, 1, 1, 1), (1, 2, 1, 1)), 0)
+    replace = table._replace
+
+    def dies(df, part, by):
+        replace(df, part, by)
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(table, "_replace", dies)
+    with pytest.raises(RuntimeError):
+        table.merge()
+    monkeypatch.setattr(table, "_replace", replace)
+    assert table.version() == 0 and rows(table.current()) == [(1, 1, 1, 1), (1, 2, 1, 1)]
+    add(batch_of(spark, (1, 1, 1, 2)), 1)
+    table.merge()
+    assert rows(table.current()) == [(1, 1, 1, 2), (1, 2, 1, 1)]
+
+
+def test_empty_live_table(spark, tmp_path):
+    table = small_table(spark, tmp_path)
+    table.merge()
+    table.writer("a")(batch_of(spark), 0)
+    table.merge()
+    assert table.current().count() == 0 and table.version() == 0
 
 
 def test_writers_at_once_keep_each_others_partitions(spark, database):
@@ -244,3 +330,47 @@ def test_stream_lap_context(spark, landing, tmp_path):
     )
     got = spark.table("context").groupBy("abbreviation", "lap_number", "compound").agg(F.count("*").alias("n"))
     assert {(r[0], r[1], r[2]) for r in got.collect()} == {("A", 1, "SOFT"), ("A", 2, None), ("A", 3, None), ("B", 1, None)}
+
+
+LAP_SCHEMA = (
+    "season int, round int, abbreviation string, lap_number long, stint long, compound string, tyre_life long, fresh_tyre boolean, "
+    "lap_start_date timestamp"
+)
+
+
+def test_late_laps_reach_their_samples(spark, tmp_path):
+    """Laps that land after their samples; a lap that never comes; state that goes when the watermark has passed."""
+    samples, laps = str(tmp_path / "samples"), str(tmp_path / "laps")
+    spark.createDataFrame([], LAP_SCHEMA).write.parquet(laps)
+    spark.createDataFrame([], schemas.TELEMETRY).write.parquet(samples)
+    joined = live.with_late_laps(
+        typed_telemetry(live.telemetry_stream(spark, samples)), live.lap_stream(spark, laps, LAP_SCHEMA), "60 seconds", longest="100 seconds"
+    )
+
+    def step(batch=(), lap=()):
+        if batch:
+            landed(spark, samples, [batch])
+        if lap:
+            start = pd.Timestamp("2031-07-20 04:00:00")
+            data = [(2031, 7, d, n, n, c, 1, True, (start + pd.Timedelta(seconds=s)).to_pydatetime()) for d, n, s, c in lap]
+            spark.createDataFrame(data, LAP_SCHEMA).coalesce(1).write.mode("append").parquet(laps)
+        query = (
+            joined.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "c4")).trigger(availableNow=True).start()
+        )
+        run_once(query)
+        return sum(s.numRowsTotal for s in [*query.lastProgress.stateOperators]) if query.lastProgress else 0
+
+    def seen():
+        return rows(spark.read.parquet(str(tmp_path / "out")), "driver", "lap_number", "date", "compound")
+
+    at = lambda s: pd.Timestamp("2031-07-20 04:00:00").to_pydatetime() + pd.Timedelta(seconds=s)
+    step([("A", 10, 1, STAMP), ("A", 50, 1, STAMP), ("B", 45, 1, STAMP)], [])
+    assert seen() == []  # the samples wait
+    step([("A", 120, 1, STAMP)], [("A", 1, 0, "SOFT"), ("A", 1, 0, "HARD")])
+    assert len(seen()) == 2 and {r[3] for r in seen()} in ({"SOFT"}, {"HARD"})  # one row of a repeated lap counts
+    held = step([("A", 130, 1, STAMP)], [("A", 2, 100, "MEDIUM")])
+    assert [r[:2] + r[3:] for r in seen()][2:] == [("A", 2, "MEDIUM")] * 2
+    # a session later the watermark has passed everything so far: B goes out without a lap, and little is held
+    left = step([("A", 5000, 1, STAMP)], [("A", 51, 5000, "SOFT")])
+    assert [r for r in seen() if r[0] == "B"] == [("B", 1, at(45), None)] and left < held
