@@ -15,13 +15,16 @@ bitmaps differ bound the shingles that only one set has from below, hence the ov
 excludes never meet; the rest is decided by the intersection of the sorted arrays.
 
 *Groups of copies.*  Equal sets are one class from the start.  Tiles are compared in blocks of about ``BLOCK`` members.  In
-each round every component offers one pair, the closest by bitmap that one of its members has in another component;
-verified links join components.  When a round finds few new links, the last one takes all pairs between components that
-the bitmaps still admit.  So large groups of near copies cost a pair per component and round, not all their pairs.
+each round every class offers the closest class by bitmap that lies in another component; verified links join components.
+A class remembers how far it has got in the order of its partners, so a pair that was no link is not offered again.  When
+few offers link, classes offer more of them at a time.  The rounds end when no class has an offer left: then every pair that
+the bitmaps admit was decided or lies in one component.  So large groups of near copies cost some pairs per class
+and round, not all their pairs, and only components are carried from round to round.
 
 Every case has a defined result: a null or empty text has an empty set, links with nothing and is its own component; a
 text of fewer than k words is one shingle; repeated rows are rows of their own that link with each other; ties do not
-arise; an empty table gives an empty result; other columns are not read.
+arise; documents without id link like any other, and their component is named by the smallest id in it (null if there is
+none); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,12 +40,12 @@ from pyspark.sql.window import Window
 
 from . import words as W
 from .components import components
-from .tables import parked
+from .tables import Rounds, parked
 
 BITS = 1024
 BLOCK = 1024
-#: Rounds of closest pairs end when one finds less than this share of the links of the best one; the last round takes all pairs.
-ENOUGH = 0.1
+#: Classes offer this many times more pairs after a round in which fewer than half of the offers linked.
+MORE = 4
 
 
 @cache
@@ -114,7 +117,7 @@ def _keys(sets: np.ndarray, bounds: np.ndarray, share: int) -> tuple[np.ndarray,
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(id, n, class, sketch) of rows (id, text); class and sketch are null for an empty set."""
+    """(id, key, n, class, sketch) of rows (id, key, text); class and sketch are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,14 +129,15 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(piece.first, piece.n),
+                        batch.column("key").slice(piece.first, piece.n),
                         pa.array(n),
                         pa.array(W.signed(_class_of(sets, bounds)), mask=empty),
                         sketch.cast(pa.list_(pa.int64())),
                     ],
-                    ["id", "n", "class", "sketch"],
+                    ["id", "key", "n", "class", "sketch"],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, class long, sketch array<long>")
+    return docs.select("id", "key", "text").mapInArrow(run, "id long, key long, n long, class long, sketch array<long>")
 
 
 def tile_keys(docs: DataFrame, k: int, share: int) -> DataFrame:
@@ -160,86 +164,98 @@ def tile_keys(docs: DataFrame, k: int, share: int) -> DataFrame:
 
 
 def shingle_arrays(docs: DataFrame, k: int) -> DataFrame:
-    """(class, shingles) with the sorted shingles of each text."""
+    """(class, shingles) with the sorted shingles of each text; a task gives each class once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for piece in W.pieces(batch.column("text")):
                 sets, bounds = W.shingles(piece, k)
                 arrays = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(W.signed(sets)))
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(_class_of(sets, bounds))), arrays], ["class", "shingles"])
+                out = pa.RecordBatch.from_arrays([pa.array(W.signed(_class_of(sets, bounds))), arrays], ["class", "shingles"])
+                fresh = []
+                for c in out.column("class").to_pylist():
+                    fresh.append(c not in seen)
+                    seen.add(c)
+                yield out.filter(pa.array(fresh))
 
     return docs.select("text").mapInArrow(run, "class long, shingles array<long>")
 
 
-def _linked(pairs: DataFrame, arrays: DataFrame, share: int) -> DataFrame:
-    """The pairs (a, b), admitted by their bitmaps, whose exact overlap links them."""
-    for c in ("a", "b"):
-        pairs = pairs.join(arrays.select(F.col("class").alias(c), F.col("shingles").alias(f"x_{c}")), c)
-    common = F.size(F.array_intersect("x_a", "x_b"))
-    return pairs.where(F.lit(100 + share) * common >= F.lit(share) * (F.size("x_a") + F.size("x_b"))).select("a", "b")
+def _decided(offers: DataFrame, arrays: DataFrame, share: int) -> DataFrame:
+    """(a, b, linked): components ``a`` and ``b`` of every pair of classes that was offered, and whether it links."""
+    swap = F.col("class") > F.col("other")
+    first, second = F.struct(F.col("class").alias("c"), F.col("root").alias("r")), F.struct(F.col("other").alias("c"), F.col("other_root").alias("r"))
+    pairs = offers.select(F.when(swap, second).otherwise(first).alias("x"), F.when(swap, first).otherwise(second).alias("y")).distinct()
+    for c in ("x", "y"):
+        own = arrays.select(F.col("class").alias(f"class_{c}"), F.col("shingles").alias(f"shingles_{c}"))
+        pairs = pairs.withColumn(f"class_{c}", F.col(f"{c}.c")).join(own, f"class_{c}")
+    common = F.size(F.array_intersect("shingles_x", "shingles_y"))
+    linked = F.lit(100 + share) * common >= F.lit(share) * (F.size("shingles_x") + F.size("shingles_y"))
+    return pairs.select(F.col("x.r").alias("a"), F.col("y.r").alias("b"), linked.alias("linked"))
+
+
+def _nearest(far: np.ndarray, ids: np.ndarray, past: float, past_id: int, most: int) -> np.ndarray:
+    """Places of the ``most`` nearest partners that come after (past, past_id) in the order of distance, then id."""
+    at = np.flatnonzero(np.isfinite(far) & ((far > past) | ((far == past) & (ids > past_id))))
+    return at[np.lexsort((ids[at], far[at]))][:most]
 
 
-def _across(tiles: DataFrame, share: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) within tiles that the bitmaps admit and whose components differ.
+def _offers(members: DataFrame, share: int, most: int) -> DataFrame:
+    """(tile, class, root, other, other_root, far): of every class the ``most`` nearest in a tile that it has yet to be compared with.
 
-    ``tiles`` has (tile, class, root, n, sketch).  A tile is compared block against block, each pair of blocks being
-    a group of its own, so that no task gets more than two blocks of one tile at a time.
+    ``members`` has (tile, blocks, class, root, past, past_id, n, sketch).  A tile is compared block against block, each
+    pair of blocks being a group of its own, so that no task gets more than two blocks of one tile at a time.
     """
-    sizes = tiles.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    ranked = tiles.join(sizes, "tile").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
     dealt = (
-        ranked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "tile", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "root", "n", "sketch"
-        )
+        members.withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumns({"lo": F.least("block", "with"), "hi": F.greatest("block", "with")})
+        .drop("blocks", "with")
     )
+    columns = ["block", "class", "root", "past", "past_id", "n"]
 
-    def compare(lo: int, hi: int, block: np.ndarray, named: np.ndarray, root: np.ndarray, n: np.ndarray, bits: np.ndarray) -> list[tuple]:
+    def compare(tile: int, lo: int, hi: int, block, named, root, past, past_id, n, bits) -> list[tuple]:
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        found, best, to = [], np.full(len(right), np.inf), np.zeros(len(right), np.int64)
-        for i in left:
+        far = np.full((len(left), len(right)), np.inf)
+        for row, i in zip(far, left, strict=True):
             apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1, dtype=np.int64)
             sizes = n[right] + n[i]
             ok = ((100 + share) * (sizes - apart) >= 2 * share * sizes) & (root[right] != root[i])
-            if lo == hi:
-                ok &= named[right] > named[i]
-            if not ok.any():
-                continue
-            far = np.where(ok, apart / sizes, np.inf)
-            if nearest:
-                nearer = far < best
-                best[nearer], to[nearer] = far[nearer], i
-                j = int(np.argmin(far))
-                found.append((root[i], named[i], named[right[j]], far[j]))
-            else:
-                found += [(root[i], named[i], named[right[j]], far[j]) for j in np.flatnonzero(ok)]
-        if nearest:
-            found += [(root[right[j]], named[right[j]], named[to[j]], best[j]) for j in np.flatnonzero(np.isfinite(best))]
+            row[ok] = apart[ok] / sizes[ok]
+        found = []
+        sides = [(left, right, far)] if lo == hi else [(left, right, far), (right, left, far.T)]
+        for own, others, table in sides:
+            for i, row in zip(own, table, strict=True):
+                for j in _nearest(row, named[others], past[i], past_id[i], most):
+                    found.append((tile, named[i], root[i], named[others[j]], root[others[j]], row[j]))
         return found
 
-    columns = ["tile", "lo", "hi", "block", "class", "root", "n"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches):
+            tile, lo, hi = (table.column(c).to_numpy() for c in ("tile", "lo", "hi"))
             values = [table.column(c).to_numpy() for c in columns]
             bits = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
-            tile, lo, hi = values[:3]
             new = np.concatenate([[True], (tile[1:] != tile[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
             starts = np.flatnonzero(new)
             found = []
             for a, b in zip(starts, np.append(starts[1:], len(tile)), strict=True):
                 if b - a > 1:
-                    found += compare(lo[a], hi[a], *[v[a:b] for v in values[3:]], bits[a:b])
-            lists = list(zip(*found, strict=True)) if found else [[]] * 4
-            kinds = [pa.int64()] * 3 + [pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds, strict=True)], ["root", "a", "b", "apart"])
+                    found += compare(tile[a], lo[a], hi[a], *[v[a:b] for v in values], bits[a:b])
+            lists = list(zip(*found, strict=True)) if found else [[]] * 6
+            kinds = [pa.int64()] * 5 + [pa.float64()]
+            names = ["tile", "class", "root", "other", "other_root", "far"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds, strict=True)], names)
 
     key = ["tile", "lo", "hi"]
-    pairs = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "root long, a long, b long, apart double")
-    if nearest:  # two components may choose each other: their pair is then decided twice
-        return pairs.groupBy("root").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    schema = "tile long, class long, root long, other long, other_root long, far double"
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def _nearest_of_all(offers: DataFrame, most: int) -> DataFrame:
+    """(class, root, other, other_root, far): of every class the ``most`` nearest over all its tiles; two classes may share several."""
+    order = Window.partitionBy("class").orderBy("far", "other")
+    return offers.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= most).drop("place", "tile").distinct()
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -261,12 +277,51 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, share: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs``; the id must be an integer."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+def _components(tiles: DataFrame, classes: DataFrame, arrays: DataFrame, share: int, keep: Rounds) -> DataFrame:
+    """(class, root) of all classes in tiles, by rounds of offers until no class has one left."""
+    members = classes.select("class", F.col("class").alias("root"), F.lit(-1.0).alias("past"), F.lit(0).cast("long").alias("past_id"))
+    most = 1
+    while True:
+        own = tiles.join(members, "class")
+        mixed = own.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        own = keep.write(own.join(mixed.where("lo < hi").select("tile", "blocks"), "tile"), "open")
+        found = keep.write(_offers(own.join(classes.select("class", "n", "sketch"), "class"), share, most), "found")
+        # what a tile has to offer only shrinks, so one without offers is done with
+        tiles = own.select("tile", "class").join(found.select("tile").distinct(), "tile")
+        offers = keep.write(_nearest_of_all(found, most), "offers")
+        decided = keep.write(_decided(offers, arrays, share), "decided")
+        done = decided.agg(F.count(F.lit(1)).alias("offers"), F.count_if("linked").alias("links")).first()
+        if not done["offers"]:
+            return members.select("class", "root")
+        roots = components(decided.where("linked"), keep).select(F.col("v").alias("root"), F.col("root").alias("up"))
+        got = offers.groupBy("class").agg(F.max(F.struct("far", "other")).alias("got"))
+        joined = members.join(roots, "root", "left").join(got, "class", "left")
+        members = keep.write(
+            joined.select(
+                "class",
+                F.coalesce("up", "root").alias("root"),
+                F.coalesce("got.far", "past").alias("past"),
+                F.coalesce("got.other", "past_id").alias("past_id"),
+            ),
+            "members",
+        )
+        keep.free_shuffles()
+        if 2 * done["links"] < done["offers"]:
+            most *= MORE
+
+
+def grouped(docs: DataFrame, k: int, share: int) -> tuple[DataFrame, DataFrame]:
+    """(id, key, n, class) of every row and (class, root) of every class; class is null for an empty set.
+
+    ``docs`` has (id, key, text); ``key`` is a hash that tells rows with one id apart.
+    """
+    keep = Rounds(docs.sparkSession)
     sets = parked(shingle_sets(docs, k), "sets")
     classes = sets.where("class is not null").groupBy("class").agg(
-        F.min("id").alias("id"), F.min("n").alias("n"), F.min("sketch").alias("sketch")
+        F.min("id").alias("id"),
+        F.max(F.struct("id", "key")).alias("chosen"),  # a row of the class, with or without an id
+        F.min("n").alias("n"),
+        F.min("sketch").alias("sketch"),
     )
 
     key = Window.partitionBy("key")
@@ -284,37 +339,39 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .where("lo < hi")
     )
     # tiles with the same members are one tile
-    tiles = parked(shared.select("tile", "class").distinct(), "tiles")
+    tiles = keep.write(shared.select("tile", "class").distinct(), "tiles")
+    keep.free_shuffles()
 
-    named = tiles.select("class").distinct()
-    sets_in = parked(classes.join(named, "class"), "classes")
-    arrays = parked(
-        shingle_arrays(docs.join(sets_in.select("id"), "id", "left_semi"), k).dropDuplicates(["class"]), "arrays"
-    )
+    open_classes = keep.write(classes.join(tiles.select("class").distinct(), "class").drop("id"), "classes")
+    chosen = open_classes.select(F.col("chosen.id").alias("own"), F.col("chosen.key").alias("key"))
+    rows = docs.join(chosen, docs.id.eqNullSafe(chosen.own) & (docs.key == chosen.key), "left_semi")
+    arrays = keep.write_bucketed(shingle_arrays(rows, k), "class", "arrays")
+    roots = _components(tiles, open_classes, arrays, share, keep)
 
-    links, most, nearest = None, 0, True
-    while True:
-        own = tiles.withColumn("root", F.col("class"))
-        if links is not None:
-            # rounds of closest pairs may do with parts of components, the last one may not
-            roots = components(links, 2 if nearest else None).withColumnRenamed("v", "class")
-            own = parked(tiles.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "rooted")
-        mixed = own.groupBy("tile").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
-        members = own.join(mixed.select("tile"), "tile").join(sets_in.select("class", "n", "sketch"), "class")
-        found = parked(_linked(_across(parked(members, "open"), share, nearest), arrays, share), "links")
-        links = found if links is None else links.unionByName(found)
-        if not nearest:
-            break
-        here = found.count()
-        most = max(most, here)
-        nearest = here > most * ENOUGH
-    roots = components(links)
-
-    grouped = classes.select("class", "id").join(roots.withColumnRenamed("v", "class"), "class", "left")
-    grouped = grouped.withColumn("root", F.coalesce("root", "class"))
-    smallest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_class = grouped.join(smallest, "root").select("class", "component_id")
-    return sets.select("id", "n", "class").join(of_class, "class", "left").select(
+    of_class = parked(classes.select("class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "components")
+    keep.clear()
+    return sets.select("id", "key", "n", "class"), of_class
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, share: int = 80) -> DataFrame:
+    """One row of every component: the one with the smallest id (null last), of several with that id the one with the smallest hash of all
+    columns.  Rows with an empty set are all kept, rows equal in all columns are one."""
+    keyed = docs.withColumn("__key", F.xxhash64(*docs.columns))
+    rows, roots = grouped(keyed.select(F.col(doc_id).cast("long").alias("id"), F.col("__key").alias("key"), F.col(text).alias("text")), k, share)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    first = rows.where("class is not null").groupBy("class").agg(F.min(order).alias("x")).join(roots, "class")
+    chosen = first.groupBy("root").agg(F.min("x").alias("x")).select(F.col("x.key").alias("__key"))
+    empty = rows.where("class is null").select(F.col("key").alias("__key"))
+    return keyed.join(chosen.unionByName(empty).distinct(), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 4, share: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs``; the id must be an integer."""
+    rows, roots = grouped(docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text")), k, share)
+    least = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("id")).join(roots, "class")
+    smallest = least.groupBy("root").agg(F.min("id").alias("component_id"))
+    of_class = roots.join(smallest, "root").select("class", "component_id")
+    return rows.join(of_class, "class", "left").select(
         F.col("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),

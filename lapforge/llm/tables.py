@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,48 @@ def parked(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Rounds:
+    """Frames that an iterative job writes under a few names: when a name is written anew, its former files go.
+
+    So the disk that a job holds does not grow with its rounds.  A frame must not be used after its successor is written.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path, former = f"{scratch(self.spark)}/{name}-{uuid.uuid4().hex}", self.paths.get(name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        if former:
+            removed(self.spark, former)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def write_bucketed(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """One row per key, stored by key: joins on the key move the other side only."""
+        n, stored = int(self.spark.conf.get("spark.sql.shuffle.partitions")), f"{name}_{uuid.uuid4().hex}"
+        self.paths[name] = f"{scratch(self.spark)}/{stored}"
+        rows = df.repartition(n, key).dropDuplicates([key])
+        rows.write.option("path", self.paths[name]).bucketBy(n, key).sortBy(key).format("parquet").saveAsTable(stored)
+        return self.spark.table(stored)
+
+    def free_shuffles(self) -> None:
+        """Let Spark delete the shuffle files of frames that nothing refers to any more."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+    def clear(self, *kept: str) -> None:
+        for name in [n for n in self.paths if n not in kept]:
+            removed(self.spark, self.paths.pop(name))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -84,3 +84,28 @@ def test_band_limits_cover_all_linking_sizes():
                 continue
             band = [max(i for i in range(len(low)) if low[i] <= s) for s in (a, b)]
             assert band[1] - band[0] in (0, 1) and a + b - 2 * least <= differ[band[0]]
+
+
+def test_links_through_documents_without_id(spark):
+    """A and C link only through B, whose id is null; ids in bulk are null too."""
+    texts = [" ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(3, 63)), " ".join(f"w{i}" for i in range(6, 66))]
+    docs = [(1, texts[0]), (None, texts[1]), (2, texts[2]), (3, "quite another text of some length")]
+    got = run(spark, docs, k=4, share=85)
+    assert got == brute(docs) and sorted(c for _, _, c in got) == [1, 1, 1, 3]
+    many = [(None, t) for t in variants(5, 40, 50, 0.01)] + [(7, "one two three four five")]
+    assert run(spark, many) == brute(many)
+
+
+def test_pairs_offered_stay_few(spark, monkeypatch):
+    """A group of copies that nearly all link costs some pairs per class, not its pairs."""
+    sizes = []
+    decided = op8._decided
+
+    def counted(offers, arrays, share):
+        sizes.append(offers.count())
+        return decided(offers, arrays, share)
+
+    monkeypatch.setattr(op8, "_decided", counted)
+    docs = [(i, t) for i, t in enumerate(variants(3, 160, 300, 0.004))]
+    assert run(spark, docs) == brute(docs)
+    assert sum(sizes) <= 5 * len(docs)
