@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapforge.functions import band_label, rounded
 from lapforge.operators.asof import asof_join
-from lapforge.operators.resample import LINEAR, cumulative_time, resample, segments
+from lapforge.operators.resample import FLAGS, LINEAR, STATES, elapsed, segments, with_points
 
 RACE = ["season", "round"]
 ENTRY = ["season", "round", "abbreviation"]
@@ -89,72 +89,57 @@ PAIR = ["season", "round", "driver_a", "lap_a", "driver_b", "lap_b"]
 CHANNELS = (*LINEAR, "brake", "drs")
 
 
-def paired_samples(telemetry: DataFrame, pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Samples of both laps of every pair, by pair and side ("a" or "b"), with the distances that both laps cover.
+def paired_traces(telemetry: DataFrame, pairs: DataFrame, columns: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    """One row per pair of laps whose distances overlap: ``a`` and ``b``, the samples of either lap in order, and the
+    distances that both cover.
 
-    The pairs pick their laps first, so only those samples are moved, and all that follows goes by pair: the
-    extent of a lap and the span of a pair are windows over the partitions as they are.  A lap is bounded.
+    The pairs pick their laps first, so only those samples are moved.  A lap is bounded, so two of them fit a row.
     """
     lap_of = [
         F.struct(F.lit(side).alias("side"), F.col(f"driver_{side}").alias("abbreviation"), F.col(f"lap_{side}").alias("lap_number"))
         for side in ("a", "b")
     ]
     sides = pairs.select(*PAIR).distinct().withColumn("__lap", F.explode(F.array(*lap_of))).select(*PAIR, "__lap.*")
-    samples = telemetry.where(F.col("distance").isNotNull()).select(*LAP, "distance", *columns)
-    joined = samples.join(sides, LAP).drop("abbreviation", "lap_number").repartition(*PAIR)
-    trace, pair = Window.partitionBy(*PAIR, "side"), Window.partitionBy(*PAIR)
-    extent = joined.withColumns({"__lo": F.min("distance").over(trace), "__hi": F.max("distance").over(trace)})
-    span = extent.withColumns(
-        {
-            "grid_lo": F.max("__lo").over(pair),
-            "grid_hi": F.min("__hi").over(pair),
-            "__both": F.min("side").over(pair) != F.max("side").over(pair),
-        }
+    samples = telemetry.where(F.col("distance").isNotNull()).select(*LAP, "distance", *dict.fromkeys([*columns, *ties]))
+    own = F.struct("distance", *[F.struct(F.col(t).isNull(), F.col(t)).alias(f"__{t}") for t in ties], *columns)
+    both = samples.join(sides, LAP).groupBy(*PAIR).agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("side") == side, own))).alias(side) for side in ("a", "b")]
     )
-    return span.where("__both and grid_lo <= grid_hi").drop("__lo", "__hi", "__both")
+    first, last = (lambda c: F.get(c, F.lit(0))["distance"]), (lambda c: F.element_at(c, -1)["distance"])
+    both = both.where((F.size("a") > 0) & (F.size("b") > 0))
+    span = both.withColumns({"grid_lo": F.greatest(first("a"), first("b")), "grid_hi": F.least(last("a"), last("b"))})
+    return span.where(F.col("grid_lo") <= F.col("grid_hi"))
 
 
-def paired_grids(
+def compare_laps(
     telemetry: DataFrame,
     pairs: DataFrame,
     n: int = 700,
     channels: Sequence[str] = CHANNELS,
     ties: Sequence[str] = ("telemetry_timestamp",),
 ) -> DataFrame:
-    """Both laps of every pair on the grid that spans the distance they share.
+    """Two laps side by side on the grid that spans the distance they share, with speed and time deltas (A minus B).
 
-    ``pairs`` has (season, round, driver_a, lap_a, driver_b, lap_b); the result
-    has one row per pair, side ("a" or "b") and grid point, with elapsed time.
+    ``pairs`` has (season, round, driver_a, lap_a, driver_b, lap_b); the result has one row per pair and grid point.
     """
-    samples = paired_samples(telemetry, pairs, list(dict.fromkeys([*channels, "speed", *ties])))
-    keys = [*PAIR, "side"]
-    return cumulative_time(resample(samples, keys, "grid_lo", "grid_hi", n, chunk_metres=None, ties=ties), keys)
-
-
-def compare_laps(
-    telemetry: DataFrame,
-    pairs: DataFrame,
-    n: int = 700,
-    channels: Sequence[str] = CHANNELS,
-    ties: Sequence[str] = ("telemetry_timestamp",),
-) -> DataFrame:
-    """Two laps side by side on their shared grid, with speed and time deltas (A minus B)."""
-    point = [*PAIR, "grid_idx"]
-    grids = paired_grids(telemetry, pairs, n, channels, ties)
-    values = F.struct(*[c for c in grids.columns if c not in (*point, "side", "distance")])
-
-    def of(side: str) -> Column:
-        return F.any_value(F.when(F.col("side") == side, values), ignoreNulls=True).alias(f"__{side}")
-
-    # exactly two rows per point
-    wide = grids.groupBy(*point).agg(F.any_value("distance").alias("distance"), of("a"), of("b"))
-    names = [c for c in grids.columns if c not in (*point, "side", "distance")]
-    return wide.select(
-        *point,
-        "distance",
-        *[F.col(f"__{side}.{c}").alias(f"{c}_{side}") for c in names for side in ("a", "b")],
+    names = list(dict.fromkeys([*channels, "speed"]))
+    kinds = {"flags": [c for c in names if c in FLAGS], "states": [c for c in names if c in STATES]}
+    kinds["linear"] = [c for c in names if c not in FLAGS and c not in STATES]
+    rows = paired_traces(telemetry, pairs, names, ties)
+    for side in ("a", "b"):
+        rows = with_points(rows, side, f"__{side}", "grid_lo", "grid_hi", n, **kinds).withColumn(f"__t{side}", elapsed(f"__{side}"))
+    # the grid is the same on both sides, so points and times go together by place
+    points = rows.select(*PAIR, F.inline(F.arrays_zip("__a", "__b", "__ta", "__tb")))
+    ordered = [*kinds["linear"], *kinds["flags"], *kinds["states"]]
+    return points.select(
+        *PAIR,
+        "__a.grid_idx",
+        "__a.distance",
+        *[F.col(f"__{side}.{c}").alias(f"{c}_{side}") for c in ordered for side in ("a", "b")],
+        F.col("__ta").alias("elapsed_s_a"),
+        F.col("__tb").alias("elapsed_s_b"),
         (F.col("__a.speed") - F.col("__b.speed")).alias("speed_delta"),
-        (F.col("__a.elapsed_s") - F.col("__b.elapsed_s")).alias("time_delta"),
+        (F.col("__ta") - F.col("__tb")).alias("time_delta"),
     )
 
 

@@ -35,7 +35,9 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, name: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or on one machine the warehouse where that is unset."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return folder.rstrip("/")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +66,17 @@ def verify_tables(spark: SparkSession, names: list[str]) -> DataFrame:
     return union_all([load_report(there), absent]) if there else absent
 
 
+def footer_counts(spark: SparkSession, path: str, by: Sequence[str] = ("season", "round")) -> DataFrame:
+    """Rows of a Parquet dataset per folder column, from the footers of its files: no row is read.
+
+    The aggregate is pushed into the reader, which a session of its own asks for.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def round_counts(df: DataFrame, season: int, round: int) -> DataFrame:
     """Rows of one race and of the whole table, in one pass."""
     here = (F.col("season") == F.lit(season)) & (F.col("round") == F.lit(round))

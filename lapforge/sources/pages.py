@@ -66,6 +66,23 @@ def parse_pages(texts: DataFrame, endpoint: str, column: str = "page") -> DataFr
     return texts.select(F.from_json(column, PAGES[endpoint]).alias("__page")).select("__page.*")
 
 
+def read_page_lines(spark: SparkSession, path: str, endpoint: str) -> DataFrame:
+    """All pages of an endpoint landed as lines, one JSON document each.
+
+    A file of any size is split among tasks.  A line that is no such page has its text in ``bad_page`` and nothing
+    else; blank lines are left out.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    page = F.from_json("value", f"{PAGES[endpoint]}, bad_page string", {"columnNameOfCorruptRecord": "bad_page"})
+    return lines.select(page.alias("__page")).select("__page.*")
+
+
+def page_report(pages: DataFrame, endpoint: str) -> DataFrame:
+    """(endpoint, pages, bad_pages) of :func:`read_page_lines`."""
+    bad = F.count_if(F.col("bad_page").isNotNull())
+    return pages.agg(F.count(F.lit(1)).alias("pages"), bad.alias("bad_pages")).select(F.lit(endpoint).alias("endpoint"), "pages", "bad_pages")
+
+
 def _each(df: DataFrame, path: str, name: str, *kept: str) -> DataFrame:
     """One row per element of an array; rows without elements go.
 

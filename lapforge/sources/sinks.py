@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapforge.session import dropped, written
+
 RACE = ("season", "round")
 
 
@@ -59,3 +61,30 @@ def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str] =
     finally:
         spark.catalog.dropGlobalTempView(view)
     spark.catalog.refreshTable(table)  # this session may have listed the files before
+
+
+def replace_races(df: DataFrame, table: str, folder: str = "season", race: Sequence[str] = RACE) -> None:
+    """Replace exactly the races that occur in ``df``, in a table whose folders are seasons.
+
+    For tables of few rows a race, where a folder each would be mostly files.  Only the touched seasons are
+    rewritten, from a staged copy, since a table cannot be overwritten while it is read.  One such job may run per season.
+    """
+    spark = df.sparkSession
+    create_empty(spark, df.schema.simpleString()[7:-1], table, [folder])
+    stored = spark.table(table)
+    kept = stored.join(df.select(folder).distinct(), folder, "left_semi").join(df.select(*race).distinct(), list(race), "left_anti")
+    name = f"replace/{uuid.uuid4().hex}"
+    replace_partitions(written(kept.select(*stored.columns).unionByName(df), name), table, [folder])
+    dropped(spark, name)
+
+
+def store_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """Store a table by the hash of its keys, sorted within: aggregates, windows and joins on the keys need no shuffle.
+
+    Tables that are joined are stored with the same keys and number of buckets.  Every bucket is one file, so choose
+    ``buckets`` for the size of the table.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

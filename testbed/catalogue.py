@@ -17,9 +17,11 @@ from pyspark.sql import types as T
 
 from lapforge import functions as fn
 from lapforge.operators import quality
+from lapforge.operators.profile import Profile
+from lapforge.operators.ranking import with_order
 from lapforge.operators.losses import loss_report
 from lapforge.operators.quantiles import spread_percentiles
-from lapforge.plans import dashboards, pace, results, telemetry
+from lapforge.plans import dashboards, marts, pace, results, staging, telemetry
 from lapforge.session import shared_folder
 from lapforge.sources import bronze, catalog, pages, sinks
 from testbed import oracle, streams
@@ -40,12 +42,16 @@ class Query:
     texts: str = ""
     ints: str = ""
     digits: int = DIGITS
+    #: Units per whole in which values of moderate size are compared instead, by a floor: millions of rows are rounded faster.
+    quick: int = 0
 
     def frame(self, t: Tables) -> DataFrame:
         df = self.build(t)
         fixed = {}
         for field in df.schema.fields:
-            if isinstance(field.dataType, T.DoubleType):
+            if isinstance(field.dataType, T.DoubleType) and self.quick:
+                fixed[field.name] = F.floor((F.col(field.name) + F.lit(OFF_TIE)) * F.lit(float(self.quick)) + F.lit(0.5)) / F.lit(float(self.quick))
+            elif isinstance(field.dataType, T.DoubleType):
                 fixed[field.name] = F.round(F.col(field.name) + F.lit(OFF_TIE), self.digits) + F.lit(0.0)
             elif isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
                 fixed[field.name] = F.col(field.name).cast("string")
@@ -54,7 +60,10 @@ class Query:
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        fixed = [f"round({c} + {OFF_TIE}, {self.digits}) + 0e0 as {c}" for c in self.floats.split()]
+        if self.quick:
+            fixed = [f"floor(({c} + {OFF_TIE}) * {self.quick}e0 + 0.5e0) / {self.quick}e0 as {c}" for c in self.floats.split()]
+        else:
+            fixed = [f"round({c} + {OFF_TIE}, {self.digits}) + 0e0 as {c}" for c in self.floats.split()]
         fixed += [f"cast({c} as varchar) as {c}" for c in self.texts.split()]
         fixed += [f"cast({c} as int) as {c}" for c in self.ints.split()]
         if not fixed:
@@ -434,7 +443,7 @@ QUERIES["compare_laps"] = Query(
     "distance speed_delta time_delta "
     + " ".join(f"{c}_a {c}_b" for c in _CHANNELS if c not in ("brake", "drs")),
     ints="grid_idx",
-    digits=5,  # sums of 700 steps
+    quick=10_000,  # sums of 700 steps
 )
 QUERIES["delta_range"] = Query(
     lambda t: telemetry.delta_range(
@@ -1194,10 +1203,14 @@ _WEATHER = "season, round, time, air_temp, humidity, pressure, rainfall, track_t
 
 
 def _landed(t: Tables, name: str) -> str:
-    """The landing zone of this run with one raw table, and its folder."""
-    root = f"{shared_folder(t.spark)}/lapforge/landing-{uuid.uuid4().hex}"
-    bronze.land_raw(t.raw(name).drop("source", "ingested_at"), "B", root, name)
-    return root
+    """The landing zone of a session with one raw table, landed when first needed."""
+
+    def land() -> str:
+        root = f"{shared_folder(t.spark)}/lapforge/landing-{uuid.uuid4().hex}"
+        bronze.land_raw(t.raw(name).drop("source", "ingested_at"), "B", root, name)
+        return root
+
+    return t._once(f"landed_{name}", land)
 
 
 def _columns(df: DataFrame) -> DataFrame:
@@ -1207,10 +1220,10 @@ def _columns(df: DataFrame) -> DataFrame:
 def _stored(t: Tables, changed: DataFrame | None = None) -> DataFrame:
     """The silver results as a table of the catalog, some races replaced after that."""
     name = f"results_{uuid.uuid4().hex}"
-    sinks.create_empty(t.spark, t.silver("results").schema.simpleString()[7:-1], name)
-    sinks.replace_partitions(t.silver("results"), name)
+    sinks.create_empty(t.spark, t.silver("results").schema.simpleString()[7:-1], name, ["season"])
+    sinks.replace_races(t.silver("results"), name)
     for _ in range(2 if changed is not None else 0):  # twice, with the same result
-        sinks.replace_partitions(changed, name)
+        sinks.replace_races(changed, name)
     return t.spark.table(name).select("season", "round", "driver_id", "points", "laps")
 
 
@@ -1284,3 +1297,129 @@ QUERIES["stream_lap_context"] = Query(
     "speed",
     "date",
 )
+
+
+# --- order as published, catalogue, footers, profiles -------------------------------------------
+QUERIES["published_scorecard"] = Query(
+    lambda t: with_order(
+        results.scorecard(t.gold("race_results"), t.gold("driver_standings"), t.gold("lap_times")),
+        ["season", F.col("total_points").desc_nulls_last(), F.col("avg_finish").asc_nulls_last(), "abbreviation", "constructor"],
+    ).select("season", "abbreviation", "constructor", "total_points", "avg_finish", "order_idx"),
+    "select season, abbreviation, constructor, total_points, avg_finish, row_number() over (order by season, "
+    "total_points desc nulls last, avg_finish nulls last, abbreviation, constructor) as order_idx "
+    f"from ({QUERIES['scorecard_rounded'].sql})",
+    "total_points avg_finish",
+)
+QUERIES["published_results"] = Query(
+    lambda t: with_order(
+        dashboards.get_race_results(t.gold("race_results")),
+        ["season", "round", F.col("finish_position").asc_nulls_last(), "abbreviation"],
+    ),
+    f"select *, row_number() over (order by season, round, finish_position nulls last, abbreviation) as order_idx from ({QUERIES['get_race_results'].sql})",
+)
+QUERIES["preview_laps"] = Query(
+    lambda t: catalog.preview(t.staged("laps"), ["season", "round", "abbreviation", "lap_number"], 25).select(
+        "season", "round", "abbreviation", "lap_number", "compound", "lap_time_seconds"
+    ),
+    "select season, round, abbreviation, lap_number, compound, lap_time_seconds from silver_laps "
+    "order by season, round, abbreviation, lap_number limit 25",
+    "lap_time_seconds",
+)
+QUERIES["round_counts"] = Query(
+    lambda t: catalog.footer_counts(t.spark, f"{_landed(t, 'weather')}/weather"),
+    "select season, round, count(*) as rows from raw_weather group by season, round",
+)
+
+
+def _page_lines(t: Tables) -> str:
+    """Result pages as lines of a few files; of the pages of first rounds a torn copy landed as well."""
+
+    def land() -> str:
+        path = f"{shared_folder(t.spark)}/lapforge/pages-{uuid.uuid4().hex}"
+        made = _result_pages(t)
+        torn = made.where(F.contains("page", F.lit('"round":"1",'))).select(F.substring("page", 1, 60).alias("page"))
+        made.unionAll(torn).coalesce(2).write.text(path)
+        return path
+
+    return t._once("landed_pages", land)
+
+
+QUERIES["page_lines"] = Query(
+    lambda t: pages.flatten_race_results(pages.read_page_lines(t.spark, _page_lines(t), "race_results")),
+    QUERIES["flatten_race_results"].sql,
+    "points",
+)
+_PAGE_SQL = "select distinct season, round, race_name, circuit, date, cast(regexp_extract(driver_id, '([0-9]+)', 1) as int) // 5 as p from raw_race_results"
+QUERIES["page_report"] = Query(
+    lambda t: pages.page_report(pages.read_page_lines(t.spark, _page_lines(t), "race_results"), "race_results"),
+    f"select 'race_results' as endpoint, count(*) + count(*) filter (round = 1) as pages, count(*) filter (round = 1) as bad_pages from ({_PAGE_SQL})",
+)
+
+
+def _profiled(t: Tables) -> DataFrame:
+    """A profile of half the seasons, then of all: the second run reads the new ones only."""
+    df = t.silver("telemetry")
+    profile = Profile(t.spark, f"{shared_folder(t.spark)}/lapforge/profile-{uuid.uuid4().hex}", ["driver", "driver_ahead", "status"])
+    profile.update(df.where("season % 2 = 0"))
+    profile.update(df)
+    return profile.report(RACE)
+
+
+QUERIES["incremental_profile"] = Query(
+    _profiled,
+    " union all ".join(
+        f"select season, round, '{c}' as \"column\", count(*) as rows, count(*) - count({c}) as nulls, count(distinct {c}) as distinct_values "
+        "from silver_telemetry group by season, round"
+        for c in ("driver", "driver_ahead", "status")
+    ),
+)
+def bucketed(t: Tables, name: str) -> DataFrame:
+    """A silver table stored by lap, as telemetry and laps are joined by it."""
+
+    def store() -> DataFrame:
+        table = f"bucketed_{name}_{uuid.uuid4().hex}"
+        sinks.store_bucketed(t.silver(name), table, [*RACE, "abbreviation", "lap_number"], 8, f"{shared_folder(t.spark)}/lapforge/{table}")
+        return t.spark.table(table)
+
+    return t._once(f"bucketed_{name}", store)
+
+
+QUERIES["stints_from_buckets"] = Query(
+    lambda t: marts.mart_telemetry_stints(
+        staging.staged(bucketed(t, "telemetry"), "telemetry"), staging.staged(bucketed(t, "laps"), "laps"), t.staged("results"), digits=None
+    ),
+    QUERIES["mart_telemetry_stints"].sql,
+    QUERIES["mart_telemetry_stints"].floats,
+)
+QUERIES["catalog_columns"] = Query(
+    lambda t: catalog.list_columns(t.source("lineitem")).select("position", "column_name"),
+    "select cast(ordinal_position as int) as position, column_name from information_schema.columns where table_name = 'lineitem'",
+)
+_WANTED_COLUMNS = ["l_orderkey", "l_lap", "l_tax", "l_driver"]
+QUERIES["dq_required_columns"] = Query(
+    lambda t: t.spark.createDataFrame(
+        [("lineitem", c) for c in quality.missing_columns(t.source("lineitem"), _WANTED_COLUMNS)], "table string, column string"
+    ),
+    "select 'lineitem' as \"table\", c as \"column\" from (values " + ", ".join(f"('{c}')" for c in _WANTED_COLUMNS) + ") v(c) "
+    "where c not in (select column_name from information_schema.columns where table_name = 'lineitem')",
+)
+QUERIES["session_columns"] = Query(
+    lambda t: bronze.move_last(
+        bronze.with_lineage(
+            bronze.with_keys(fn.snake_case_columns(t.source("nation").toDF("NationKey", "Name", "DRS2Region")), 2031, 7), "B"
+        ).withColumn("ingested_at", F.col("ingested_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$")),
+        "nation_key",
+    ),
+    "select n_name as name, n_regionkey as drs2_region, 2031 as season, 7 as round, 'B' as source, "
+    "true as ingested_at, n_nationkey as nation_key from nation",
+)
+
+
+def _as_view(t: Tables) -> DataFrame:
+    staging.staged_view(t.silver("laps"), "laps")
+    return t.spark.sql("select season, round, abbreviation, count(*) as laps, max(stint) as stints from stg_laps group by all")
+
+
+QUERIES["staged_view"] = Query(
+    _as_view, "select season, round, abbreviation, count(*) as laps, max(stint) as stints from silver_laps group by all"
+)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from test_silver import BASE, LATER, STAMP
 
 from lapforge import schemas
+from lapforge.operators.profile import Profile
+from lapforge.operators.ranking import with_order
 from lapforge.plans.silver import clean_telemetry, typed_telemetry
 from lapforge.session import shared_folder, written
 from lapforge.sources import bronze, catalog, pages, sinks
@@ -128,6 +130,79 @@ def test_shared_folder_follows_the_session(spark, tmp_path):
     assert back.count() == 5 and own in back.inputFiles()[0]
 
 
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    """Samples are summed per lap and meet their laps where they lie."""
+    df = spark.range(3000).selectExpr("1 as season", "cast(id % 3 as int) as round", "cast(id % 7 as string) as abbreviation", "id % 11 as lap_number", "id as v")
+    keys = ["season", "round", "abbreviation", "lap_number"]
+    for name, part in {"b_samples": df, "b_laps": df.select(*keys).distinct()}.items():
+        sinks.store_bucketed(part, name, keys, 5, str(tmp_path / name))
+    try:
+        sums = spark.table("b_samples").groupBy(*keys).agg(F.sum("v").alias("v"))
+        joined = sums.join(spark.table("b_laps").hint("merge"), keys)
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.agg(F.sum("v")).first()[0] == sum(range(3000)) and len(spark.table("b_samples").inputFiles()) == 5
+    finally:
+        spark.sql("drop table b_samples")
+        spark.sql("drop table b_laps")
+
+
+def test_replace_races_keeps_other_races_of_a_season(spark, database):
+    table = f"{database}.small"
+    sinks.replace_races(spark.createDataFrame([(1, r, 0) for r in range(4)] + [(2, 0, 0)], "season int, round int, v int"), table)
+    for _ in range(2):
+        sinks.replace_races(spark.createDataFrame([(1, 2, 9), (1, 2, 8), (3, 1, 7)], "season int, round int, v int"), table)
+        want = [(1, 0, 0), (1, 1, 0), (1, 2, 8), (1, 2, 9), (1, 3, 0), (2, 0, 0), (3, 1, 7)]
+        assert rows(spark.table(table), "season", "round", "v") == want
+
+
+def test_page_lines_split_and_bad_pages(spark, tmp_path):
+    page = '{"MRData": {"total": "1", "RaceTable": {"Races": [{"season": "2031", "round": "%d", "raceName": "r", "PitStops": [{"driverId": "d", "lap": "3"}]}]}}}'
+    lines = [page % i for i in range(400)] + ["", "no page", page[:40], "   "]
+    (tmp_path / "p.jsonl").write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = pages.read_page_lines(spark, str(tmp_path / "p.jsonl"), "pit_stops")
+        assert got.rdd.getNumPartitions() > 3
+        assert [tuple(r) for r in pages.page_report(got, "pit_stops").collect()] == [("pit_stops", 402, 2)]
+        flat = pages.flatten_pit_stops(got)
+        assert sorted(r["round"] for r in flat.collect()) == list(range(400))
+        assert sorted(r[0] for r in got.where("bad_page is not null").select("bad_page").collect()) == sorted(["no page", page[:40]])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    df = spark.range(100).selectExpr("cast(id % 2 as int) as season", "cast(id % 5 as int) as round", "id")
+    df.write.partitionBy("season", "round").parquet(str(tmp_path / "t"))
+    got = catalog.footer_counts(spark, str(tmp_path / "t"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(" in plan and "PushedGroupBy: [season, round]" in plan.replace("`", "")
+    assert rows(got) == [(s, r, 10) for s in (0, 1) for r in range(5)]
+
+
+def test_order_as_data(spark):
+    rng = np.random.default_rng(3)
+    data = [(int(a), None if a % 9 == 0 else float(b)) for a, b in zip(rng.integers(0, 40, 500), rng.integers(0, 5, 500), strict=True)]
+    df = spark.createDataFrame(data, "a int, b double").repartition(7)
+    got = with_order(df, [F.col("b").desc_nulls_last(), "a"]).orderBy("order_idx").collect()
+    assert [r["order_idx"] for r in got] == list(range(1, 501))
+    assert [(r["a"], r["b"]) for r in got] == sorted(data, key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))
+    assert with_order(df.limit(0), ["a"]).count() == 0
+
+
+def test_profile_reads_new_races_only(spark, tmp_path):
+    make = lambda rounds, stamp, v="x": spark.createDataFrame(
+        [(2031, r, None if i % 3 == 0 else f"{v}{i % 4}", stamp) for r in rounds for i in range(12)], "season int, round int, d string, ingested_at string"
+    )
+    profile = Profile(spark, str(tmp_path / "p"), ["d"])
+    profile.update(make([1, 2], "a"))
+    table = make([1, 2, 3], "a").unionAll(make([2], "b", "y"))  # round 2 was loaded again, round 3 is new
+    assert rows(profile.outdated(table), "round") == [(2,), (3,)]
+    profile.update(table)
+    assert rows(profile.report(["round"])) == [(1, "d", 12, 4, 4), (2, "d", 24, 8, 8), (3, "d", 12, 4, 4)]
+    assert rows(profile.report()) == [("d", 48, 16, 8)] and profile.outdated(table).count() == 0
+
+
 # --- streaming --------------------------------------------------------------------------------
 
 
