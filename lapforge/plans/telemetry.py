@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions import band_label, rounded
 from lapforge.operators.asof import asof_join
-from lapforge.operators.resample import FLAGS, LINEAR, STATES, elapsed, segments, with_points
+from lapforge.operators.resample import FLAGS, LINEAR, STATES, segments, with_points
 
 RACE = ["season", "round"]
 ENTRY = ["season", "round", "abbreviation"]
@@ -102,7 +102,9 @@ def paired_traces(telemetry: DataFrame, pairs: DataFrame, columns: Sequence[str]
     sides = pairs.select(*PAIR).distinct().withColumn("__lap", F.explode(F.array(*lap_of))).select(*PAIR, "__lap.*")
     samples = telemetry.where(F.col("distance").isNotNull()).select(*LAP, "distance", *dict.fromkeys([*columns, *ties]))
     own = F.struct("distance", *[F.struct(F.col(t).isNull(), F.col(t)).alias(f"__{t}") for t in ties], *columns)
-    both = samples.join(sides, LAP).groupBy(*PAIR).agg(
+    # a number of its own: a pair's row is small next to its grid, so the partitions must not be merged by size
+    parts = int(telemetry.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = samples.join(sides, LAP).repartition(parts, *PAIR).groupBy(*PAIR).agg(
         *[F.sort_array(F.collect_list(F.when(F.col("side") == side, own))).alias(side) for side in ("a", "b")]
     )
     first, last = (lambda c: F.get(c, F.lit(0))["distance"]), (lambda c: F.element_at(c, -1)["distance"])
@@ -127,13 +129,18 @@ def compare_laps(
     kinds["linear"] = [c for c in names if c not in FLAGS and c not in STATES]
     rows = paired_traces(telemetry, pairs, names, ties)
     for side in ("a", "b"):
-        rows = with_points(rows, side, f"__{side}", "grid_lo", "grid_hi", n, **kinds).withColumn(f"__t{side}", elapsed(f"__{side}"))
-    # the grid is the same on both sides, so points and times go together by place
-    points = rows.select(*PAIR, F.inline(F.arrays_zip("__a", "__b", "__ta", "__tb")))
+        rows = with_points(rows, side, f"__{side}", "grid_lo", "grid_hi", n, **kinds)
+    # the grid is the same on both sides, so points go together by place; they stay in the partition of their pair
+    points = rows.select(*PAIR, F.inline(F.arrays_zip("__a", "__b"))).withColumn("__i", F.col("__a.grid_idx"))
+    along = Window.partitionBy(*PAIR).orderBy("__i")
+    metres = F.coalesce(F.col("__a.distance") - F.lag("__a.distance").over(along), F.lit(0.0))
+    points = points.withColumns({f"__d{side}": metres / F.greatest(F.col(f"__{side}.speed") / F.lit(3.6), F.lit(1.0)) for side in ("a", "b")})
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    points = points.withColumns({f"__t{side}": F.sum(f"__d{side}").over(so_far) for side in ("a", "b")})
     ordered = [*kinds["linear"], *kinds["flags"], *kinds["states"]]
     return points.select(
         *PAIR,
-        "__a.grid_idx",
+        F.col("__i").alias("grid_idx"),
         "__a.distance",
         *[F.col(f"__{side}.{c}").alias(f"{c}_{side}") for c in ordered for side in ("a", "b")],
         F.col("__ta").alias("elapsed_s_a"),
