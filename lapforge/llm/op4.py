@@ -2,9 +2,11 @@
 
 1. Every page is read into elements; each gets the hash of its subtree (name, attributes, texts, hashes of its children).
 2. Spark counts, per host and hash, the pages that hold the subtree - pages with equal main text count once, so copies of an
-   article do not make it a template.  Subtrees on at least ``LEAST`` pages and ``SHARE`` of the host's pages are templates.
+   article do not make it a template.  Subtrees on at least ``LEAST`` pages of the host are templates, however many pages it has.
 3. Every page is read again without them, and without elements that are no content by their name, role or class
-   (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments).
+   (menus, headers, footers, sidebars, notices, adverts, forms, scripts, reader comments).  A class is taken as a whole:
+   all its words must name such a part or a box around one (``ad-slot``, not ``share-price``).  Within an article only
+   classes of containers count, never headings, paragraphs or ids (but for reader comments); an element around the article is never one of these.
 
 Where a page has ``article`` (else ``main``) elements, its text is what they hold; otherwise it is the body's.  Inside them
 only containers can be templates, never a paragraph or heading: sentences that articles share are content.
@@ -24,6 +26,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .tables import parked
 
-LEAST, SHARE, SENT = 8, 0.02, 200_000
+LEAST, SENT = 8, 200_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
@@ -61,11 +64,29 @@ _CLASSES = frozenset(
     "newsletter subscribe subscription signup comment comments commentlist disqus respond replies share sharing social related "
     "recommended recommendations widget login search pagination pager toolbar skip".split()
 )
+_COMMENTS = frozenset("comment comments commentlist disqus respond replies".split())
 _HEADERS = frozenset("header topbar".split())
+_BOXES = frozenset(
+    "area bar block body bottom box button buttons card container content form group holder inner item items left link links list "
+    "main module outer page panel post posts article articles reader readers region right row section site slot small space top unit "
+    "user users view wrap wrapper zone icon icons message messages thread".split()
+)
+_CONTAINERS = frozenset("div section ul ol dl figure details center ins".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
+_VALUE = re.compile(r"=\s*(?:\"[^\"]*\"|'[^']*'|\S+)")
+
+
+@cache
+def _names_a_part(name: str, inside: bool) -> bool:
+    """Whether a class or id means a part of the page that is no content: ``ad-slot`` does, ``share-price`` does not."""
+    words = {w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w}
+    parts = _CLASSES if inside else _CLASSES | _HEADERS
+    return bool(words & parts) and words <= parts | _BOXES
+
+
 @dataclass
 class Element:
     name: str
@@ -81,12 +102,18 @@ class Element:
         if not self.attributes or self.name in ("article", "main", "body", "html"):
             return False
         values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(self.attributes)}
-        if values.get("role", "").lower() in _ROLES or values.get("aria-hidden", "").lower() == "true":
+        if values.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
+            return True
+        if re.search(r"(?:^|\s)hidden(?:\s|/|$)", _VALUE.sub(" ", self.attributes)):
             return True
-        if re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", self.attributes) or re.search(r"display\s*:\s*none", values.get("style", "")):
+        if inside and self.name not in _CONTAINERS:
+            return False
+        if values.get("role", "").lower() in _ROLES:
             return True
-        words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{values.get('class', '')} {values.get('id', '')}").lower()))
-        return bool(words & _CLASSES) or (not inside and bool(words & _HEADERS))
+        names, own = values.get("class", "").split(), values.get("id", "")
+        if not inside or set(re.split(r"[^a-z]+", own.lower())) & _COMMENTS:
+            names.append(own)
+        return any(_names_a_part(name, inside) for name in names)
 
 
 def read(page: str) -> Element:
@@ -155,7 +182,7 @@ def read(page: str) -> Element:
 
 
 def _tops(root: Element, names: set[str]) -> list[Element]:
-    """Outermost elements of these names that are not dropped."""
+    """Outermost elements of these names that are no comments and do not lie in a menu, sidebar or footer."""
     out, stack = [], [root]
     while stack:
         e = stack.pop()
@@ -163,7 +190,7 @@ def _tops(root: Element, names: set[str]) -> list[Element]:
             if isinstance(c, Element):
                 if c.name in names and not _comment(c):
                     out.append(c)
-                elif not c.dropped(False):
+                elif c.name not in _DROPPED and not (c.name in _CONTAINERS and c.dropped(False)):
                     stack.append(c)
     return out
 
@@ -231,7 +258,7 @@ def _signed(x: int) -> int:
 
 
 def _subtrees(pages: DataFrame, row: str | None = None) -> DataFrame:
-    """Distinct (host, page, subtree), with a row without subtree for every page.
+    """Distinct (host, page, subtree).
 
     ``page`` is the hash of the page's text, or what the column ``row`` holds.
     """
@@ -243,7 +270,6 @@ def _subtrees(pages: DataFrame, row: str | None = None) -> DataFrame:
                 text, kept = text_of(*content(read(page or "")), ())
                 if name is None:
                     name = _signed(int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big"))
-                found.add((host, name, None))
                 found.update((host, name, _signed(h)) for h in kept)
             columns = list(zip(*found, strict=True)) if found else [[]] * 3
             kinds = [pa.string(), pa.int64(), pa.int64()]
@@ -254,21 +280,19 @@ def _subtrees(pages: DataFrame, row: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, f"host string, {row or 'page'} long, subtree long").distinct()
 
 
-def templates(pages: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def templates(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """(host, subtree) of the subtrees that recur across pages of their host."""
-    counts = parked(_subtrees(pages).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")), "subtrees")
-    hosts = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    often = counts.where(F.col("subtree").isNotNull() & (F.col("n") >= least)).join(hosts, "host")
-    return often.where(F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    counts = _subtrees(pages).where("subtree is not null").groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= least).select("host", "subtree")
 
 
 def main_text(
-    pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", least: int = LEAST, share: float = SHARE, sent: int = SENT
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html", least: int = LEAST, sent: int = SENT
 ) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     host = F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     pages = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(page).alias("html"))
-    found = parked(templates(pages, least, share), "templates")
+    found = parked(templates(pages, least), "templates")
     empty: frozenset[int] = frozenset()
     if found.limit(sent + 1).count() <= sent:
         of_host: dict[str, set[int]] = {}

@@ -54,6 +54,29 @@ def test_structure(spark):
     assert got == {0: want, 1: want}
 
 
+IN_ARTICLE = [
+    "<h2 id=\"related-work\">A</h2>", "<section id=\"social-history\"><p>B</p></section>", "<p id=\"search\">C</p>", "<p class=\"notice-period\">D</p>",
+    "<div class=\"share-price\">E</div>", "<p class=\"comment\">F</p>", "<div title=\"a hidden gem\">G</div>", "<blockquote class='promo'>H</blockquote>", "<div id='sidebar-history'>I</div>",
+]
+NO_CONTENT = [
+    "<div class='ad-slot'>x</div>", "<div class=\"post shareButtons\">x</div>", "<section class='reader-comments'><p>x</p></section>", "<ul class='related-posts'><li>x</ul>",
+    "<div hidden>x</div>", "<div role='search'>x</div>", "<ins class='adsense'>x</ins>", "<div class='newsletter-signup-form'>x</div>",
+]
+
+
+def test_only_whole_names_of_containers_count_within_an_article(spark):
+    page = "<body><div id='content-with-sidebar' class='page'><article>" + "".join(IN_ARTICLE + NO_CONTENT) + "<p>end</p></article></div></body>"
+    assert texts(spark, [("http://a.example/", page)]) == {0: "\n\n".join("ABCDEFGHI") + "\n\nend"}
+
+
+def test_the_size_of_a_host_does_not_matter(spark):
+    """A box on ten pages of a host goes, be it of 40 pages or of 1 500."""
+    box = "<div class='x'><p>Our weekly picks</p><p>More of them</p></div>"
+    for n in (40, 1500):
+        got = texts(spark, [("http://a.example/%d" % i, page(i, box if i < 10 else "")) for i in range(n)])
+        assert all(got[i] == f"Story {i} begins.\n\nStory {i} ends." for i in range(n))
+
+
 def test_edge_cases(spark):
     cases = [None, "", "plain < text > 3", "<p>open <b>never closed", "</p></div>x", "<a href='x>broken <p>y</p>", "<p>" + "long " * 60000 + "</p>", "<" * 2000, "<div>" * 3000 + "deep"]
     got = texts(spark, [(u, h) for h in cases for u in (None, "no url")])
