@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by learned partitions.
 
-1. A bounded sample (``SAMPLE`` vectors) gets its exact neighbour graph.
+1. A bounded sample gets its exact neighbour graph: ``PER_PART`` vectors a part, at least ``LEAST_SAMPLE`` and at most ``SAMPLE``.
 2. The graph is cut into balanced parts: a recursive median split, then rounds in which every vertex moves to the part
    most of its neighbours are in, as far as the parts' capacity allows.
 3. A small neural network learns, from the vector alone, in which parts its neighbours lie.
+   There are about as many parts as the square root of the rows, from the smallest tables on, up to what ``SAMPLE`` can teach.
 4. Every row is indexed under its most probable part.  A query goes to its ``probes`` most probable parts, and to more
    until they hold enough candidates; ``probes`` is the least number that finds ``RECALL`` of the neighbours of the sample's
    held-out vectors.
@@ -31,7 +32,7 @@ from pyspark.sql.window import Window
 
 from .tables import parked
 
-SAMPLE, PART_ROWS, MOST_PARTS, RECALL = 6000, 4096, 256, 0.98
+LEAST_SAMPLE, SAMPLE, PER_PART, RECALL = 6000, 65_536, 8, 0.98
 ROWS, QUERIES, HIDDEN = 8192, 2048, 128
 
 
@@ -191,16 +192,23 @@ def _compare(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> p
     return pd.concat(out, ignore_index=True)
 
 
+def parts_for(rows: int) -> int:
+    """The power of two next below the square root of the rows, and no more than the largest sample can teach."""
+    parts = 1
+    while 4 * parts * parts <= rows and 2 * parts * PER_PART <= SAMPLE:
+        parts *= 2
+    return parts
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of every query; ``is_query`` is a condition on column ``id``."""
     spark = vectors.sparkSession
     rows = clean(vectors, vec_id, vector)
     total = rows.count()
-    share = min(1.0, SAMPLE / max(total, 1))
-    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) < int(share * (1 << 30))).toPandas()
-    parts = 1
-    while parts < MOST_PARTS and parts * PART_ROWS < total:
-        parts *= 2
+    parts = parts_for(total)
+    sample = max(LEAST_SAMPLE, PER_PART * parts)
+    share = min(1.0, sample / max(total, 1))
+    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample).toPandas()
     if parts > 1 and len(chosen) > 4 * parts:
         chosen = chosen.sort_values("id")
         router, probes = learn(np.unique(np.stack(chosen["v"].to_list()), axis=0), parts, k)

@@ -26,10 +26,14 @@ def lists(df):
     return out
 
 
-def test_query_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(op10, "PART_ROWS", 64)  # eight parts
-    monkeypatch.setattr(op10, "ROWS", 40)
-    monkeypatch.setattr(op10, "QUERIES", 3)
+def test_parts_follow_the_rows():
+    assert [op10.parts_for(n) for n in (0, 1, 3, 4, 500, 2000, 51_282, 10**6, 10**12)] == [1, 1, 1, 2, 16, 32, 128, 512, 8192]
+
+
+@pytest.mark.parametrize("blocks", [(op10.ROWS, op10.QUERIES), (10, 3)])
+def test_query_against_brute_force(spark, monkeypatch, blocks):
+    monkeypatch.setattr(op10, "ROWS", blocks[0])
+    monkeypatch.setattr(op10, "QUERIES", blocks[1])
     got = lists(queries.op10_learned_partitions(spark, FOLDER))
     rows = [r for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows], float)
@@ -40,7 +44,9 @@ def test_query_against_brute_force(spark, monkeypatch):
     assert all(s == pytest.approx(float((x[ids.index(v)] * x[ids.index(q)]).sum()), abs=1e-12) for q in got for v, s in got[q])
 
 
-def test_few_rows_copies_and_ties(spark):
+def test_few_rows_copies_and_ties(spark, monkeypatch):
+    """One part, so exact: a vector shared by most rows, and ties by the smaller id."""
+    monkeypatch.setattr(op10, "parts_for", lambda rows: 1)
     rows = [(i, [1.0, 0.0]) for i in range(0, 60)] + [(100 + i, [0.5, float(i)]) for i in range(5)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = lists(op10.nearest(df, F.col("id") % 20 == 0))
