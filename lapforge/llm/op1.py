@@ -6,12 +6,17 @@ numbers (issued ranges), telephone numbers, and dates (calendar).  What fails it
 A value is read as a pair (a, b) of Z_M x Z_K with M * K values, and ``ROUNDS`` rounds add a keyed function of one half to
 the other: a permutation of exactly the valid values of its format, which is why a pseudonym is valid too, why two
 values never get one pseudonym, and why the same value gets the same one in every document, however it is punctuated.
-The keyed function is SHA-256 over key, kind, size, round and half.  ``restore`` runs the rounds backwards.
+The keyed function is SHA-256 over a key, kind, size, round and half.  ``restore`` runs the rounds backwards.  The key in the
+plan, and so in event logs, is one derived from the caller's by HMAC: the caller's own is never in it.  It opens pseudonyms all
+the same, so let ``spark.sql.redaction.string.regex`` cover it where plans are kept (``[0-9a-f]{64}``).
 
 * numbers: the digits are halved; separators and group lengths stay;
 * cards keep their first digit and get a new check digit (next to further digits the value takes, if need be, a later one
-  of its cycle, by which ``restore`` stays exact), IBANs keep country and letters and get new check digits;
-* North American numbers keep the country code, and area and exchange stay in 2xx-9xx;
+  of its cycle, by which ``restore`` stays exact; after ``WALK`` steps, each of which fails about once in ten times, the last
+  one stands: valid, and no longer sure to be restored), IBANs keep country and letters and get new check digits;
+* telephone numbers keep the country code, which is found by the lengths of the codes in use and not by punctuation; in
+  North American ones area and exchange stay in 2xx-9xx.  A trunk zero in brackets is part of a number.  Ten bare digits are
+  taken for no telephone number;
 * dates stay in their century (of 36 524 = 92 * 397 or 36 525 = 75 * 487 days) and keep their notation;
 * addresses: letters of the part before the ``@`` are permuted as base-26 numbers, its digits as numbers; the domain stays.
 
@@ -21,7 +26,9 @@ length are taken whole; an empty table gives no rows; other columns pass through
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import hmac
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +63,9 @@ _PHONE = (
 _PATTERNS = dict(zip(KINDS, (_EMAIL, _IBAN, _DATE, _SSN, _CARD, _IP, _PHONE), strict=True))
 ANY = "|".join(_PATTERNS.values())
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
+# Country calling codes of one and of two digits; all others have three.
+_ONE = "^(1|7)"
+_TWO = "^(20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|51|52|53|54|55|56|57|58|60|61|62|63|64|65|66|81|82|84|86|90|91|92|93|94|95|98)"
 
 
 def _sql_text(s: str) -> str:
@@ -66,15 +76,19 @@ def _sql_text(s: str) -> str:
 class Feistel:
     """SQL expressions of the keyed permutation; ``back`` inverts it."""
 
-    key: str
+    key: str = field(repr=False)
     back: bool = False
 
+    @property
+    def derived(self) -> str:
+        return hmac.new(self.key.encode(), b"format-preserving pseudonyms", hashlib.sha256).hexdigest()
+
     def pair(self, a: str, b: str, m: str, k: str, tweak: str) -> str:
         """struct(a, b) after all rounds, for a in Z_m and b in Z_k (bigint expressions)."""
         order = range(ROUNDS - 1, -1, -1) if self.back else range(ROUNDS)
         sign = "-" if self.back else "+"
         half = lambda x, n: (
-            f"pmod(cast(conv(substr(sha2(concat_ws('|', {_sql_text(self.key)}, {tweak}, {m}, {k}, i, {x}), 256), 1, 15), 16, 10)"
+            f"pmod(cast(conv(substr(sha2(concat_ws('|', {_sql_text(self.derived)}, {tweak}, {m}, {k}, i, {x}), 256), 1, 15), 16, 10)"
             f" as bigint), {n})"
         )
         return (
@@ -227,7 +241,7 @@ def _phone(f: Feistel) -> str:
         "x",
         "concat(substr(n, 1, length(n) - 10), x div 8000000 + 200, x % 8000000 div 10000 + 200, lpad(x % 10000, 4, '0'))",
     )
-    code = "if(startswith(v, '+'), length(regexp_extract(v, '^.([0-9]{1,3})', 1)), 0)"
+    code = f"if(startswith(v, '+'), case when n rlike '{_ONE}' then 1 when n rlike '{_TWO}' then 2 else 3 end, 0)"
     other = _let(code, "e", f"concat(substr(n, 1, e), {f.number('substr(n, e + 1)', _sql_text('phone'))})")
     both = _let(f"if({american}, {new}, {other})", "q", _refilled("v", "[0-9]", "q"))
     return _let(_DIGITS.format("v"), "n", f"if(length(n) between 8 and 15, {both}, null)")

@@ -108,3 +108,41 @@ def test_cards_and_ibans_next_to_others(spark):
             assert r.text.startswith(before) and r.text.endswith(after)
             assert len(r.text) == len(texts[r.doc_id])
     assert {r.doc_id: r.text for r in op1.restore(done.select("doc_id", "text"), "k1").collect()} == dict(enumerate(texts))
+
+
+NOTATIONS = {
+    "441632960961": ["+441632960961", "+44 1632 960961", "+44-1632-960961", "+44 (1632) 960961", "+44.1632.960.961"],
+    "4930123456": ["+4930123456", "+49 30 123456", "+49 (30) 12 34 56"],
+    "353861234567": ["+353861234567", "+353 86 123 4567", "+353-86-1234567"],
+    "79161234567": ["+79161234567", "+7 916 123 45 67", "+7 (916) 123-45-67"],
+    "12125550147": ["+12125550147", "+1 212 555 0147", "+1 (212) 555-0147", "+1.212.555.0147"],
+}
+
+
+def test_telephone_numbers_of_any_country_link(spark):
+    texts = [(number, text) for number, all_ in NOTATIONS.items() for text in all_]
+    rows = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    done = op1.pseudonymise(rows, "k1")
+    got = {r.doc_id: r for r in done.collect()}
+    for number, all_ in NOTATIONS.items():
+        new = {re.sub(r"[^0-9]", "", got[i].text) for i, (n, _) in enumerate(texts) if n == number}
+        code = {"44": 2, "49": 2, "35": 3, "79": 1, "12": 1}[number[:2]]
+        assert len(new) == 1 and number not in new and new.pop()[:code] == number[:code], number
+    assert all(re.sub(r"[0-9]", "0", got[i].text) == re.sub(r"[0-9]", "0", t) and got[i].n_phone == 1 for i, (_, t) in enumerate(texts))
+    assert {r.doc_id: r.text for r in op1.restore(done.select("doc_id", "text"), "k1").collect()} == {i: t for i, (_, t) in enumerate(texts)}
+    assert op1.pseudonymise(spark.createDataFrame([(1, "call 5552349876")], "doc_id long, text string"), "k").first().text == "call 5552349876"
+
+
+def test_the_key_is_not_in_the_plan(spark):
+    rows = spark.createDataFrame([(1, "4111111111111111")], "doc_id long, text string")
+    done = op1.pseudonymise(rows, "a very secret key")
+    assert "very secret" not in done._jdf.queryExecution().toString() and "very secret" not in repr(op1.Feistel("a very secret key"))
+
+
+def test_the_end_of_a_walk_is_valid(spark, monkeypatch):
+    monkeypatch.setattr(op1, "WALK", 1)
+    texts = [f"4111 1111 1111 1111 {i}" for i in range(100, 160) if not luhn(f"4111111111111111{i}")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in op1.pseudonymise(rows, "k1").collect():
+        digits = r.text.replace(" ", "")
+        assert r.n_card == 1 and luhn(digits[:16]) and digits[16:] == texts[r.doc_id][-3:] and digits[:16] != "4111111111111111"
