@@ -192,7 +192,8 @@ def score(
     rows = stats.where("__train").join(known, "__id")
     total = rows.count()
     share = min(1.0, fit_rows / max(total, 1))
-    chosen = rows.where(F.pmod(F.xxhash64("__id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    # by row and not by id, so that an id that repeats is no more than its share; the limit holds for equal rows in bulk
+    chosen = rows.where(F.pmod(F.xxhash64("__id", *STATISTICS, F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20))).limit(2 * fit_rows)
     sample = chosen.orderBy("__id", "__label", *STATISTICS).select("__label", *STATISTICS).toPandas()
     rules = fit(sample[list(STATISTICS)].to_numpy(float), sample["__label"].to_numpy(float))
     scored = stats.withColumn("score", rules.score())
