@@ -135,6 +135,14 @@ class Chain:
         return out
 
 
+def _out_of_fold(inputs: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights fitted to all rows, and for every row the probability by the weights fitted to the rows of other folds."""
+    # the last column is the fit to all rows, the others leave a fold out
+    use = np.concatenate([fold[:, None] != np.arange(FOLDS), np.ones((len(fold), 1), bool)], axis=1).astype(np.float32)
+    w = _logistic(inputs, y, use)
+    return w[:, -1], _sigmoid((inputs @ w[:-1] + w[-1])[np.arange(len(fold)), fold])
+
+
 def fit(rows: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS) -> Chain:
     """A chain from labelled rows (id, text, label)."""
     found = _frequencies(rows)
@@ -156,7 +164,8 @@ def fit(rows: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS) -> Cha
     lexicon = Lexicon(best["feature"].to_numpy(np.int64).view(np.uint64))
 
     share = min(1.0, fit_rows / (n0 + n1))
-    chosen = rows.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    # by row and not by id, so that an id that repeats is no more than its share; the limit holds for equal rows in bulk
+    chosen = rows.where(F.pmod(F.xxhash64("id", "text", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20))).limit(2 * fit_rows)
     holds = [F.lower("text").rlike(r"\b(" + "|".join(words) + r")\b").cast("int").alias(name) for name, words in categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,16 +189,13 @@ def fit(rows: DataFrame, categories=CATEGORIES, fit_rows: int = FIT_ROWS) -> Cha
         x[i, columns] = values
     label = sample["label"].to_numpy(float)
     fold = np.arange(len(sample)) % FOLDS
-    # the last column is the fit to all rows, the others leave a fold out
-    use = np.concatenate([fold[:, None] != np.arange(FOLDS), np.ones((len(sample), 1), bool)], axis=1).astype(np.float32)
     weights, earlier = [], np.zeros((len(sample), 0), np.float32)
     for name in names:
         y = label if name == "toxic" else label * sample[name].fillna(0).to_numpy(float)
         inputs = np.concatenate([x, earlier], axis=1)
-        w = _logistic(inputs, y, use)
-        out_of_fold = _sigmoid((inputs @ w[:-1] + w[-1])[np.arange(len(fold)), fold])
-        earlier = np.concatenate([earlier, out_of_fold[:, None].astype(np.float32)], axis=1)
-        weights.append(w[:, -1].astype(float))
+        w, p = _out_of_fold(inputs, y, fold)
+        earlier = np.concatenate([earlier, p[:, None].astype(np.float32)], axis=1)
+        weights.append(w.astype(float))
     return Chain(names, lexicon, weights)
 
 

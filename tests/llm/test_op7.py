@@ -50,3 +50,20 @@ def test_edge_cases(spark, labels):
     if len(labels) > 5:
         by_id = {r.doc_id: r.toxic for r in rows}
         assert by_id[4] > 0.5 > by_id[5]
+
+
+def test_earlier_probabilities_are_out_of_fold():
+    """Every row's probability is that of a model fitted without the row's fold; changing its label does not change it."""
+    rng = np.random.default_rng(5)
+    x = rng.random((240, 6)).astype(np.float32)
+    y = (x[:, 0] + rng.normal(0, 0.4, 240) > 0.5).astype(float)
+    fold = np.arange(240) % op7.FOLDS
+    weights, p = op7._out_of_fold(x, y, fold)
+    for f in range(op7.FOLDS):
+        rest, own = fold != f, fold == f
+        w = op7._logistic(x[rest], y[rest], np.ones((rest.sum(), 1), np.float32))[:, 0]
+        np.testing.assert_allclose(p[own], 1 / (1 + np.exp(-(x[own] @ w[:-1] + w[-1]))), atol=1e-2)
+    flipped = np.where(fold == 2, 1 - y, y)
+    again = op7._out_of_fold(x, flipped, fold)
+    np.testing.assert_array_equal(again[1][fold == 2], p[fold == 2])
+    assert np.abs(again[0] - weights).max() > 0.05 and np.abs(again[1][fold == 1] - p[fold == 1]).max() > 0.01
