@@ -28,6 +28,8 @@ from .tables import WORD, parked
 
 SEED = "mix-1"
 DIGITS = 3
+#: Membership patterns (some hundred bytes each) that are sent to all tasks at most.
+SENT = 50_000
 _NEW = ("size", "source_size", "target", "taken")
 
 
@@ -150,12 +152,13 @@ def mix(
     plan = spark.createDataFrame(plan, schema).withColumn("key", key).drop("pattern")
     rows = rows.withColumn("key", key)
 
-    # both have a row per membership pattern at most, as many as the driver has just seen
+    # both have a row per membership pattern at most; beyond SENT of them they are joined like any table
+    few = F.broadcast if len(found) <= SENT else lambda frame: frame
     cut = plan.select("key", "rest", F.lit("").alias("prefix"), F.lit(0).cast("long").alias("before"))
     for level in (1, 2):
-        cut = _narrowed(rows, cut, level * DIGITS)
+        cut = _narrowed(rows, few(cut), level * DIGITS)
     cut = cut.select("key", "prefix", F.col("before").alias("base"))
-    placed = rows.join(F.broadcast(plan), "key").join(F.broadcast(cut), "key", "left")
+    placed = rows.join(few(plan), "key").join(few(cut), "key", "left")
     lead = F.substring("digest", 1, 2 * DIGITS)
     inside = placed.where(F.col("prefix").isNotNull() & (lead == F.col("prefix")))
     sure = placed.where(F.col("prefix").isNull() | (lead != F.col("prefix")))
@@ -172,7 +175,7 @@ def mix(
 
 def _narrowed(rows: DataFrame, cut: DataFrame, digits: int) -> DataFrame:
     """The slice of each pattern in which its running word count passes ``rest``, one level of digits deeper."""
-    here = rows.join(F.broadcast(cut), "key").where(F.col("digest").startswith(F.col("prefix")))
+    here = rows.join(cut, "key").where(F.col("digest").startswith(F.col("prefix")))
     slices = here.groupBy("key", "rest", "before", F.substring("digest", 1, digits).alias("slice")).agg(
         F.sum("size").alias("words")
     )
