@@ -4,8 +4,8 @@ Columns of the documents pass through all stages but the last unchanged, except
 ``n_chars`` follows where it exists).  The last stage adds ``size``, ``source_size``, ``target`` and ``taken`` and leaves
 out the text of the rows it weighs.
 
-Rows without ``doc_id`` cannot be told apart, so stages that decide by id drop them; rows that share an id are one
-document, of which the near-duplicate stage keeps one row.  Empty tables pass through.
+The quality stage scores documents by id and leaves out rows without one.  Rows that share an id and differ in their text are
+documents of their own for the near-duplicate stage; rows equal in all columns are one.  Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -33,10 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keep one document of each group of near copies: the one with the smallest id."""
-    groups = op8.near_duplicates(docs, k=5, share=80)
-    leaders = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Keep one document of each group of near copies: the one with the smallest id, by words of five and a similarity of 0.8."""
+    return op8.representatives(docs, k=5, share=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
