@@ -10,8 +10,8 @@ least one whole bucket that is not empty.  (Sets with more empty buckets than ``
 A tile is the sets that agree on one bucket; its key is a hash of band, bucket and content.  No link can be lost, and a
 key stands for five or six shingles at once, so passages that many texts share do not fill tiles.
 
-*Bitmaps.*  Every set carries 1 024 bits: bit h is the parity of the shingles that hash to h.  The bits in which two
-bitmaps differ bound the shingles that only one set has from below, hence the overlap from above.  Pairs that the bound
+*Bitmaps.*  Every set carries a bitmap of four bits a shingle or more (a power of two from 1 024 to 131 072): bit h is the parity
+of the shingles that hash to h, and a larger bitmap folds to a smaller one.  The bits in which two bitmaps differ bound the shingles that only one set has from below, hence the overlap from above.  Pairs that the bound
 excludes never meet; the rest is decided by the intersection of the sorted arrays.
 
 *Groups of copies.*  Equal sets are one class from the start.  Tiles are compared in blocks of about ``BLOCK`` members.  In
@@ -42,8 +42,10 @@ from . import words as W
 from .components import components
 from .tables import Rounds, parked
 
-BITS = 1024
+BITS, MOST_BITS, PER_SHINGLE = 1 << 10, 1 << 17, 4
 BLOCK = 1024
+#: Share of all shingle arrays that one exact comparison may move; more offers are decided in several turns.
+MOVED = 0.25
 #: Classes offer this many times more pairs after a round in which fewer than half of the offers linked.
 MORE = 4
 
@@ -72,12 +74,25 @@ def _class_of(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketches(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parity bitmap of each set, as 16 numbers of 64 bits."""
-    n = len(bounds) - 1
-    place = (sets & np.uint64(BITS - 1)).astype(np.int64) + BITS * np.repeat(np.arange(n), np.diff(bounds))
-    bits = (np.bincount(place, minlength=BITS * n) & 1).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").view(np.int64).reshape(n, BITS // 64)
+def _sketches(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Parity bitmap of each set, as a list of numbers of 64 bits."""
+    n = np.diff(bounds)
+    bits = np.minimum(1 << np.ceil(np.log2(np.maximum(PER_SHINGLE * n, BITS))).astype(np.int64), MOST_BITS)
+    start = np.concatenate([[0], np.cumsum(bits)])
+    place = (sets & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64) + np.repeat(start[:-1], n)
+    parity = (np.bincount(place, minlength=start[-1]) & 1).astype(np.uint8)
+    words = np.packbits(parity, bitorder="little").view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((start // 64).astype(np.int32)), pa.array(words))
+
+
+def _folded(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bitmaps ``words[at[i]:at[i + 1]]`` as rows, folded to the size of the smallest."""
+    sizes = np.diff(at)
+    least = int(sizes.min())
+    if (sizes == least).all():
+        return words[at[0] : at[-1]].reshape(-1, least)
+    # bit h of a smaller bitmap is the parity of the bits that are h modulo its size
+    return np.stack([np.bitwise_xor.reduce(words[a:b].reshape(-1, least)) for a, b in zip(at[:-1], at[1:], strict=True)])
 
 
 def _keys(sets: np.ndarray, bounds: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,14 +140,13 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
                 sets, bounds = W.shingles(piece, k)
                 n = np.diff(bounds)
                 empty = n == 0
-                sketch = pa.FixedSizeListArray.from_arrays(pa.array(_sketches(sets, bounds).ravel()), BITS // 64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").slice(piece.first, piece.n),
                         batch.column("key").slice(piece.first, piece.n),
                         pa.array(n),
                         pa.array(W.signed(_class_of(sets, bounds)), mask=empty),
-                        sketch.cast(pa.list_(pa.int64())),
+                        _sketches(sets, bounds),
                     ],
                     ["id", "key", "n", "class", "sketch"],
                 )
@@ -235,13 +249,16 @@ def _offers(members: DataFrame, share: int, most: int) -> DataFrame:
         for table in _whole_groups(batches):
             tile, lo, hi = (table.column(c).to_numpy() for c in ("tile", "lo", "hi"))
             values = [table.column(c).to_numpy() for c in columns]
-            bits = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)
+            sketch = table.column("sketch").combine_chunks()
+            words = sketch.flatten().to_numpy().view(np.uint64)
+            at = sketch.offsets.to_numpy().astype(np.int64)
+            at = at - at[0]
             new = np.concatenate([[True], (tile[1:] != tile[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
             starts = np.flatnonzero(new)
             found = []
             for a, b in zip(starts, np.append(starts[1:], len(tile)), strict=True):
                 if b - a > 1:
-                    found += compare(tile[a], lo[a], hi[a], *[v[a:b] for v in values], bits[a:b])
+                    found += compare(tile[a], lo[a], hi[a], *[v[a:b] for v in values], _folded(words, at[a : b + 1]))
             lists = list(zip(*found, strict=True)) if found else [[]] * 6
             kinds = [pa.int64()] * 5 + [pa.float64()]
             names = ["tile", "class", "root", "other", "other_root", "far"]
@@ -280,7 +297,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _components(tiles: DataFrame, classes: DataFrame, arrays: DataFrame, share: int, keep: Rounds) -> DataFrame:
     """(class, root) of all classes in tiles, by rounds of offers until no class has one left."""
     members = classes.select("class", F.col("class").alias("root"), F.lit(-1.0).alias("past"), F.lit(0).cast("long").alias("past_id"))
-    most = 1
+    most, total = 1, classes.agg(F.sum("n")).first()[0] or 0
     while True:
         own = tiles.join(members, "class")
         mixed = own.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
@@ -289,7 +306,14 @@ def _components(tiles: DataFrame, classes: DataFrame, arrays: DataFrame, share:
         # what a tile has to offer only shrinks, so one without offers is done with
         tiles = own.select("tile", "class").join(found.select("tile").distinct(), "tile")
         offers = keep.write(_nearest_of_all(found, most), "offers")
-        decided = keep.write(_decided(offers, arrays, share), "decided")
+        keep.free_shuffles()
+        moved = offers.join(classes.select("class", "n"), "class").agg(F.sum("n")).first()[0] or 0
+        turns, decided = max(1, -(-moved // max(1, int(MOVED * total)))), None
+        for turn in range(turns):
+            part = offers.where(F.pmod(F.xxhash64(F.least("class", "other")), F.lit(turns)) == turn)
+            part = keep.write(_decided(part, arrays, share), f"decided{turn}")
+            decided = part if decided is None else decided.unionByName(part)
+            keep.free_shuffles()
         done = decided.agg(F.count(F.lit(1)).alias("offers"), F.count_if("linked").alias("links")).first()
         if not done["offers"]:
             return members.select("class", "root")
@@ -346,6 +370,7 @@ def grouped(docs: DataFrame, k: int, share: int) -> tuple[DataFrame, DataFrame]:
     chosen = open_classes.select(F.col("chosen.id").alias("own"), F.col("chosen.key").alias("key"))
     rows = docs.join(chosen, docs.id.eqNullSafe(chosen.own) & (docs.key == chosen.key), "left_semi")
     arrays = keep.write_bucketed(shingle_arrays(rows, k), "class", "arrays")
+    keep.free_shuffles()
     roots = _components(tiles, open_classes, arrays, share, keep)
 
     of_class = parked(classes.select("class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "components")
