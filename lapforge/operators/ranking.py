@@ -15,14 +15,15 @@ _WITHIN = 33
 
 
 def with_order(df: DataFrame, order: Sequence[Column | str], out: str = "order_idx") -> DataFrame:
-    """Add the place of each row, from 1, when sorted by ``order`` and then by all columns.
+    """Add the place of each row, from 1, when sorted by ``order`` and then by all columns; names sort NULLs last.
 
     Rows are dealt out by ranges of the order and sorted within; a row's place is its number within its partition
     plus the sizes of the partitions before.  The sorted rows are written once, so places do not change if a task
     runs again; the driver sees one count per partition.
     """
     spark = df.sparkSession
-    total = [*order, *[F.col(c).asc_nulls_last() for c in df.columns]]
+    named = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    total = [*named, *[F.col(c).asc_nulls_last() for c in df.columns]]
     rows = df.repartitionByRange(*total).sortWithinPartitions(*total).withColumn("__id", F.monotonically_increasing_id())
     rows = written(rows, f"order/{uuid.uuid4().hex}")
     part = F.shiftright("__id", _WITHIN).cast("long")

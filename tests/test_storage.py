@@ -190,6 +190,12 @@ def test_order_as_data(spark):
     assert with_order(df.limit(0), ["a"]).count() == 0
 
 
+def test_order_as_data_puts_nulls_last(spark):
+    df = spark.createDataFrame([("D2", None), ("D2", "team_1"), (None, "team_0")], "a string, b string")
+    got = with_order(df, ["a", "b"]).orderBy("order_idx").collect()
+    assert [tuple(r)[:2] for r in got] == [("D2", "team_1"), ("D2", None), (None, "team_0")]
+
+
 def test_profile_reads_new_races_only(spark, tmp_path):
     make = lambda rounds, stamp, v="x": spark.createDataFrame(
         [(2031, r, None if i % 3 == 0 else f"{v}{i % 4}", stamp) for r in rounds for i in range(12)], "season int, round int, d string, ingested_at string"
