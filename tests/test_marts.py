@@ -179,3 +179,21 @@ def test_quality_checks(spark):
     counted, seen = quality.counted(df, "seen")
     counted.collect()
     assert seen.get["rows"] == 3
+
+
+def test_slopes_on_a_limit_are_no_outliers(spark):
+    """Stints whose slope is exactly -2 or 5; ``regr_slope`` puts some of them beyond by the last bit."""
+    ages = [[1, 3], [1, 4, 6], [2, 3, 9], [1, 2, 3, 5, 8]]
+    data = []
+    for stint in range(4000):
+        x, slope = ages[stint % 4], (-2, 5)[stint % 2]
+        data += [(1, 1, "A", stint, "HARD", True, i, age, (60_000 + 37 * stint % 9973 + slope * 1000 * age) / 1000, True) for i, age in enumerate(x)]
+    laps = spark.createDataFrame(
+        data, "season int, round int, abbreviation string, stint long, compound string, fresh_tyre boolean, "
+        "lap_number long, tyre_life long, lap_time_seconds double, is_accurate boolean"
+    )
+    stints = marts.tyre_stints(laps)
+    assert {r[0] for r in stints.select("degradation_rate_seconds_per_lap").distinct().collect()} == {-2.0, 5.0}
+    assert quality.degradation_outliers(stints).count() == 0
+    one = marts.tyre_stints(laps.where("stint = 0 and tyre_life = 1")).collect()
+    assert one[0]["degradation_rate_seconds_per_lap"] is None
