@@ -197,3 +197,20 @@ def test_slopes_on_a_limit_are_no_outliers(spark):
     assert quality.degradation_outliers(stints).count() == 0
     one = marts.tyre_stints(laps.where("stint = 0 and tyre_life = 1")).collect()
     assert one[0]["degradation_rate_seconds_per_lap"] is None
+
+
+def test_laps_on_a_fence_and_equal_medians(spark):
+    """A lap exactly 1.5 quartile distances out is within the whiskers; equal medians are ordered by name."""
+    data = []
+    for race in range(2000):
+        q1, iqr = 60_000 + 7 * race, 2 * (1 + race % 900)
+        times = [q1, q1, q1 + iqr // 2, q1 + iqr, q1 + iqr * 5 // 2]  # quartiles q1 and q1 + iqr
+        data += [(race, 1, "B", 2 + i, t / 1000, None) for i, t in enumerate(times)]
+        middle = q1 + iqr // 2
+        data += [(race, 1, "A", 2 + i, t / 1000, None) for i, t in enumerate([middle - 1 - race % 97, middle + 1 + race % 97])]
+    laps = spark.createDataFrame(
+        data, "season int, round int, abbreviation string, lap_number long, lap_time_seconds double, pit_out_time_seconds double"
+    )
+    boxes = pace.lap_boxes(laps).collect()
+    assert all(r["outliers"] == 0 for r in boxes)
+    assert all(r["order_idx"] == (1 if r["abbreviation"] == "A" else 2) for r in boxes)
