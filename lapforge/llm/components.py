@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from .tables import Rounds
 
 
-def components(edges: DataFrame, keep: Rounds) -> DataFrame:
+def components(edges: DataFrame, keep: Rounds | None = None) -> DataFrame:
     """Smallest reachable vertex per vertex of ``edges`` (a, b): rows (v, root), one per vertex that has an edge.
 
     Every round takes the smallest label among the neighbours, then follows the label's own label (halving
     path lengths).  Minima are combined in the map tasks, joins on a vertex with very many neighbours are
     ordinary joins that AQE splits, and every round is written out, so a lost executor costs one round.
     """
+    keep = keep or Rounds(edges.sparkSession)
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = keep.write(both.where("a <> b").distinct(), "edges")
     labels = keep.write(both.groupBy(F.col("a").alias("v")).agg(F.least("v", F.min("b")).alias("root")), "labels")
