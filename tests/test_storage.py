@@ -2,6 +2,7 @@
 
 import json
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from lapforge.session import shared_folder, written
 from lapforge.sources import bronze, catalog, pages, sinks
 from lapforge.streaming import live
 from lapforge.streaming.merge import LiveTable
+from testbed.bindings import Tables
 
 
 def test_replace_partitions_is_idempotent_and_touches_only_its_races(spark, database):
@@ -196,6 +198,20 @@ def test_order_as_data_puts_nulls_last(spark):
     assert [tuple(r)[:2] for r in got] == [("D2", "team_1"), ("D2", None), (None, "team_0")]
 
 
+def test_published_tables_have_no_file_per_season(spark, tmp_path):
+    """Seasons grow with the data; files follow the tasks that write them."""
+    seasons = [(1000 * i, i, 80 * i, 1, 1.0, 100.0 + i, 0.1, 0.0, "A", "F", datetime(1995, 3, 1)) for i in range(200)]
+    lines = spark.createDataFrame(
+        seasons, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = Tables.of(spark, str(tmp_path))
+    for table in (t.silver("laps"), t.silver("results"), t.gold("lap_times")):
+        assert table.select("season").distinct().count() == table.count() == 200
+        assert len(table.inputFiles()) <= 8
+
+
 def test_profile_reads_new_races_only(spark, tmp_path):
     make = lambda rounds, stamp, v="x": spark.createDataFrame(
         [(2031, r, None if i % 3 == 0 else f"{v}{i % 4}", stamp) for r in rounds for i in range(12)], "season int, round int, d string, ingested_at string"
