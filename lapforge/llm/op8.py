@@ -29,7 +29,7 @@ none); an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -294,10 +294,14 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _components(tiles: DataFrame, classes: DataFrame, arrays: DataFrame, share: int, keep: Rounds) -> DataFrame:
-    """(class, root) of all classes in tiles, by rounds of offers until no class has one left."""
+def _components(tiles: DataFrame, classes: DataFrame, arrays_of: Callable[[DataFrame], DataFrame], share: int, keep: Rounds) -> DataFrame:
+    """(class, root) of all classes in tiles, by rounds of offers until no class has one left.
+
+    ``arrays_of`` gives the shingle arrays of classes.  The first round compares all pairs of every tile, so a class without an
+    offer there has no partner and is nobody's: the arrays of all others serve every round.
+    """
     members = classes.select("class", F.col("class").alias("root"), F.lit(-1.0).alias("past"), F.lit(0).cast("long").alias("past_id"))
-    most, total = 1, classes.agg(F.sum("n")).first()[0] or 0
+    most, total, arrays = 1, classes.agg(F.sum("n")).first()[0] or 0, None
     while True:
         own = tiles.join(members, "class")
         mixed = own.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
@@ -307,6 +311,9 @@ def _components(tiles: DataFrame, classes: DataFrame, arrays: DataFrame, share:
         tiles = own.select("tile", "class").join(found.select("tile").distinct(), "tile")
         offers = keep.write(_nearest_of_all(found, most), "offers")
         keep.free_shuffles()
+        if arrays is None:
+            arrays = arrays_of(offers.select("class").distinct())
+            keep.free_shuffles()
         moved = offers.join(classes.select("class", "n"), "class").agg(F.sum("n")).first()[0] or 0
         turns, decided = max(1, -(-moved // max(1, int(MOVED * total)))), None
         for turn in range(turns):
@@ -367,11 +374,14 @@ def grouped(docs: DataFrame, k: int, share: int) -> tuple[DataFrame, DataFrame]:
     keep.free_shuffles()
 
     open_classes = keep.write(classes.join(tiles.select("class").distinct(), "class").drop("id"), "classes")
-    chosen = open_classes.select(F.col("chosen.id").alias("own"), F.col("chosen.key").alias("key"))
-    rows = docs.join(chosen, docs.id.eqNullSafe(chosen.own) & (docs.key == chosen.key), "left_semi")
-    arrays = keep.write_bucketed(shingle_arrays(rows, k), "class", "arrays")
     keep.free_shuffles()
-    roots = _components(tiles, open_classes, arrays, share, keep)
+
+    def arrays_of(wanted: DataFrame) -> DataFrame:
+        chosen = open_classes.join(wanted, "class").select(F.col("chosen.id").alias("own"), F.col("chosen.key").alias("key"))
+        rows = docs.join(chosen, docs.id.eqNullSafe(chosen.own) & (docs.key == chosen.key), "left_semi")
+        return keep.write_bucketed(shingle_arrays(rows, k), "class", "arrays")
+
+    roots = _components(tiles, open_classes, arrays_of, share, keep)
 
     of_class = parked(classes.select("class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "components")
     keep.clear()

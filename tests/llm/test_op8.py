@@ -109,3 +109,20 @@ def test_pairs_offered_stay_few(spark, monkeypatch):
     docs = [(i, t) for i, t in enumerate(variants(3, 160, 300, 0.004))]
     assert run(spark, docs) == brute(docs)
     assert sum(sizes) <= 5 * len(docs)
+
+
+def test_arrays_only_of_classes_with_partners(spark, monkeypatch):
+    """Texts that share a passage meet in tiles, but without a partner by bitmap their arrays are not stored."""
+    rows = []
+    arrays = op8.shingle_arrays
+
+    def counted(docs, k):
+        rows.append(docs.count())
+        return arrays(docs, k)
+
+    monkeypatch.setattr(op8, "shingle_arrays", counted)
+    shared = " ".join(f"s{i}" for i in range(200))
+    apart = [f"{shared} " + " ".join(f"d{n}x{i}" for i in range(120)) for n in range(20)]
+    docs = list(enumerate(apart + variants(4, 3, 200, 0.003)))
+    assert run(spark, docs) == brute(docs)
+    assert rows == [3]
