@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 from .tables import parked
 
 LEAST_SAMPLE, SAMPLE, PER_PART, RECALL = 6000, 65_536, 8, 0.98
-ROWS, QUERIES, HIDDEN = 8192, 2048, 128
+ROWS, QUERIES, PAIRS, HIDDEN = 8192, 2048, 65_536, 128
 
 
 def clean(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -178,17 +178,23 @@ def _compare(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> p
     rank[order] = np.arange(len(x)) - np.maximum.accumulate(np.where(begin, np.arange(len(x)), 0))
     ids, x = ids[rank <= k], x[rank <= k]
     asked = np.stack(queries["v"].to_list())
-    out = []
+    own, out = queries["id"].to_numpy(), []
     for lo in range(0, len(asked), 256):
-        rough = asked[lo : lo + 256] @ x.T
-        for i, s in enumerate(rough):
-            own = int(queries["id"].iloc[lo + i])
-            least = np.partition(s, len(s) - k - 1)[len(s) - k - 1] if len(s) > k + 1 else -np.inf
-            at = np.flatnonzero(s >= least - 1e-9 * max(1.0, abs(least)) if np.isfinite(least) else np.ones(len(s), bool))
-            at = at[ids[at] != own]
-            exact = (x[at] * asked[lo + i]).sum(axis=1)  # the same order of additions for every pair
-            best = np.lexsort((ids[at], -exact))[:k]
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at][best], "score": exact[best]}))
+        block = asked[lo : lo + 256]
+        rough = block @ x.T
+        near = np.ones(rough.shape, bool)
+        if len(x) > k + 1:
+            # a query with a product beyond all numbers is compared exactly with every row
+            sound = np.flatnonzero(np.isfinite(rough).all(axis=1))
+            least = np.partition(rough[sound], len(x) - k - 1, axis=1)[:, len(x) - k - 1]
+            near[sound] = rough[sound] >= (least - 1e-9 * np.maximum(1.0, np.abs(least)))[:, None]
+        q, at = np.nonzero(near & (ids != own[lo : lo + 256, None]))
+        # the same order of additions for every pair
+        exact = np.concatenate([(x[at[i : i + PAIRS]] * block[q[i : i + PAIRS]]).sum(axis=1) for i in range(0, max(1, len(q)), PAIRS)])
+        best = np.lexsort((ids[at], -exact, q))
+        q, at, exact = q[best], at[best], exact[best]
+        use = np.arange(len(q)) - np.searchsorted(q, q) < k
+        out.append(pd.DataFrame({"query_id": own[lo + q[use]], "vec_id": ids[at[use]], "score": exact[use]}))
     return pd.concat(out, ignore_index=True)
 
 
@@ -216,28 +222,28 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
         parts, router, probes = 1, None, 1
     sent = spark.sparkContext.broadcast(router)
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = np.stack(batch.column("v").to_numpy(zero_copy_only=False))
-            order = np.zeros((len(x), 1), np.int64) if sent.value is None else np.argsort(-sent.value.logits(x), axis=1, kind="stable")
-            width = order.shape[1]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(order.ravel()), width).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), lists], ["id", "v", "parts"])
-
-    routed = rows.mapInArrow(route, "id long, v array<double>, parts array<long>")
-    index = parked(routed.select("id", "v", F.element_at("parts", 1).alias("part")), "index")
+    def routed(rows: DataFrame, sizes: np.ndarray | None = None) -> DataFrame:
+        """(id, v, parts): the most probable part; given the rows of each, as many parts as asked for and further ones
+        until they hold k candidates besides the query."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = np.stack(batch.column("v").to_numpy(zero_copy_only=False))
+                order = np.zeros((len(x), 1), np.int64) if sent.value is None else np.argsort(-sent.value.logits(x), axis=1, kind="stable")
+                use = np.broadcast_to(np.arange(parts) < (1 if sizes is None else probes), order.shape)
+                if sizes is not None:
+                    use = use | (np.cumsum(sizes[order], axis=1) - sizes[order] < k + 1)
+                ends = np.concatenate([[0], np.cumsum(use.sum(axis=1))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(order[use]))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), lists], ["id", "v", "parts"])
+
+        return rows.mapInArrow(run, "id long, v array<double>, parts array<long>").select("id", "v", F.explode("parts").alias("part"))
+
+    index = parked(routed(rows), "index")
     sizes = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # a row per part
-    held = F.create_map(*[F.lit(x).cast("long") for p in range(parts) for x in (p, sizes.get(p, 0))])
-
-    # as many parts as asked for, and further ones until they hold k candidates besides the query
-    before = lambda n: F.aggregate(F.slice("parts", 1, n - 1), F.lit(0).cast("long"), lambda t, p: t + held[p])
-    grown = F.transform(F.sequence(F.lit(1), F.size("parts")), before)
-    queries = rows.where(is_query).mapInArrow(route, "id long, v array<double>, parts array<long>")
-    queries = queries.select("id", "v", F.posexplode("parts").alias("place", "part"), grown.alias("before"))
-    needed = (F.col("place") < probes) | (F.element_at("before", F.col("place") + 1) < k + 1)
-    queries = queries.where(needed).select("id", "v", "part")
+    queries = routed(rows.where(is_query), np.array([sizes.get(p, 0) for p in range(parts)]))
     queries = parked(queries, "queries")
     asked = {r["part"]: r["count"] for r in queries.groupBy("part").count().collect()}
     blocks = lambda count, size: F.create_map(*[F.lit(x).cast("long") for p in range(parts) for x in (p, -(-count.get(p, 0) // size))])

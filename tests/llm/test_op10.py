@@ -1,6 +1,7 @@
 """Nearest neighbours: recall and order against brute force, copies, edge cases."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,19 @@ def test_parts_are_balanced():
     x = np.random.default_rng(0).standard_normal((800, 8))
     own = op10.balanced_parts(x, op10.neighbour_graph(x, 10), 8)
     assert np.bincount(own, minlength=8).max() <= 111 and np.bincount(own, minlength=8).min() > 50
+
+
+def test_queries_of_a_block_are_compared_together(monkeypatch):
+    """A part asks numpy for one selection a block of queries, and ties, copies and products beyond all numbers keep their order."""
+    calls, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda *a, **b: calls.append(1) or partition(*a, **b))
+    monkeypatch.setattr(op10, "PAIRS", 50, raising=False)
+    x = np.random.default_rng(3).integers(-2, 3, (300, 4)).astype(float)
+    x[7] = x[40] = 1e200
+    frame = pd.DataFrame({"id": np.arange(300), "v": list(x)})
+    asked = frame.iloc[:270]
+    with np.errstate(over="ignore"):
+        got = op10._compare((0,), asked, frame, 5)
+        want = brute(list(range(300)), x, range(270), 5)
+    assert {q: list(zip(r.vec_id, r.score, strict=True)) for q, r in got.groupby("query_id")} == want
+    assert len(calls) <= 2
