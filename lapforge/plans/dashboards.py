@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapforge.functions import label_or
-from lapforge.operators.ordered import delta_from_first
 from lapforge.operators.quantiles import median
 from lapforge.plans.marts import RACE
 from lapforge.plans.pace import racing_laps
@@ -222,7 +221,10 @@ def best_lap_card(lap_times: DataFrame) -> DataFrame:
 def degradation_deltas(lap_times: DataFrame) -> DataFrame:
     """Lap time minus the first timed lap of the stint."""
     laps = get_tyre_degradation_all(lap_times)
-    return delta_from_first(laps, [*ENTRY, "stint"], ["lap_number"], "lap_time_seconds", "delta")
+    # one row per lap of a driver's stint: laps move once
+    stint = Window.partitionBy(*ENTRY, "stint").orderBy(F.col("lap_number").asc_nulls_last(), "lap_time_seconds")
+    first = F.first("lap_time_seconds").over(stint.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return laps.withColumn("delta", F.col("lap_time_seconds") - first)
 
 
 def degradation_curve(lap_times: DataFrame) -> DataFrame:

@@ -214,3 +214,12 @@ def test_laps_on_a_fence_and_equal_medians(spark):
     boxes = pace.lap_boxes(laps).collect()
     assert all(r["outliers"] == 0 for r in boxes)
     assert all(r["order_idx"] == (1 if r["abbreviation"] == "A" else 2) for r in boxes)
+
+
+def test_degradation_deltas_move_laps_once(spark):
+    """One shuffle; a stint without a number is a stint, its first timed lap counts."""
+    schema = "season int, round int, abbreviation string, team_name string, stint long, compound string, tyre_life long, lap_number long, lap_time_seconds double"
+    laps = [(2030, 1, "A", "t", s, "SOFT", n, n, t) for s, n, t in [(1, 1, None), (1, 2, 80.0), (1, 3, 81.5), (None, 9, 90.0), (None, 8, 88.0)]]
+    got = dashboards.degradation_deltas(spark.createDataFrame(laps, schema))
+    assert rows(got, "lap_number", "delta") == [(2, 0.0), (3, 1.5), (8, 0.0), (9, 2.0)]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

@@ -1,6 +1,7 @@
 """Sources, sinks, catalog, and the streaming path."""
 
 import json
+import os
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -471,3 +472,10 @@ def test_late_laps_reach_their_samples(spark, tmp_path):
     # a session later the watermark has passed everything so far: B goes out without a lap, and little is held
     left = step([("A", 5000, 1, STAMP)], [("A", 51, 5000, "SOFT")])
     assert [r for r in seen() if r[0] == "B"] == [("B", 1, at(45), None)] and left < held
+
+
+def test_written_files_are_packed(spark):
+    """Hex keys cost about their entropy, not a byte a digit."""
+    df = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    files = [f.removeprefix("file:") for f in written(df, "packed/keys").inputFiles()]
+    assert sum(os.path.getsize(f) for f in files) < 24 * 20000
