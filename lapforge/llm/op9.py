@@ -156,7 +156,8 @@ def mix(
     few = F.broadcast if len(found) <= SENT else lambda frame: frame
     cut = plan.select("key", "rest", F.lit("").alias("prefix"), F.lit(0).cast("long").alias("before"))
     for level in (1, 2):
-        cut = _narrowed(rows, few(cut), level * DIGITS)
+        # written, since what follows reads it twice: else each use plans and runs all that leads to it again
+        cut = parked(_narrowed(rows, few(cut), level * DIGITS), "cut")
     cut = cut.select("key", "prefix", F.col("before").alias("base"))
     placed = rows.join(few(plan), "key").join(few(cut), "key", "left")
     lead = F.substring("digest", 1, 2 * DIGITS)

@@ -45,6 +45,12 @@ def test_overlapping_sources(spark):
     assert abs(got.taken.sum() - 900) <= 30 and got.taken.max() == 10
 
 
+def test_the_result_does_not_plan_the_search_for_the_cut_again(spark):
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 9), f"s{i % 3}") for i in range(90)], "doc_id long, text string, source string")
+    plan = op9.mix(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Aggregate" not in plan
+
+
 def test_targets():
     assert op9.targets([10, 10], [1, 1]) == [15, 15]
     assert op9.targets([1000, 10, 10], [1, 5, 5]) == pytest.approx([1490, 20, 20])
