@@ -17,6 +17,7 @@ from test_silver import BASE, LATER, STAMP
 from lapforge import schemas
 from lapforge.operators.profile import Profile
 from lapforge.operators.ranking import with_order
+from lapforge.plans import dashboards
 from lapforge.plans.silver import clean_telemetry, typed_telemetry
 from lapforge.session import shared_folder, written
 from lapforge.sources import bronze, catalog, pages, sinks
@@ -479,3 +480,49 @@ def test_written_files_are_packed(spark):
     df = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("k"))
     files = [f.removeprefix("file:") for f in written(df, "packed/keys").inputFiles()]
     assert sum(os.path.getsize(f) for f in files) < 24 * 20000
+
+
+# --- races dealt out once ---------------------------------------------------------------------
+
+
+@pytest.fixture
+def race_tables(spark, tmp_path):
+    """Tables of a folder with a few seasons of laps."""
+    lines = spark.range(4000).selectExpr(
+        "id as l_orderkey", "id % 90 as l_partkey", "id % 240 as l_suppkey", "cast(1 + id % 7 as int) as l_linenumber", "1.0D as l_quantity",
+        "cast(100 + id as double) as l_extendedprice", "0.1D as l_discount", "0.0D as l_tax", "substr('ANR', cast(1 + id % 3 as int), 1) as l_returnflag",
+        "'F' as l_linestatus", "timestamp '1995-01-05' + make_interval(0, cast(id % 12 as int)) as l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    return Tables.of(spark, str(tmp_path))
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+
+
+def test_entries_of_races_are_made_once(race_tables):
+    """Five raw tables are made from the entries of the races: their cleaning reads them by race and moves no row."""
+    for name in ("results", "race_results", "driver_standings", "constructor_standings", "race_schedule"):
+        cleaned = race_tables.cleaned(name)
+        assert exchanges(cleaned) == [] and cleaned.count() > 0
+        assert not any("lineitem" in f for f in cleaned.inputFiles())
+
+
+def test_laps_move_once_and_narrow(race_tables, spark):
+    """Laps are dealt out by race before they are widened; the mart joins them where they lie, however many drivers there are."""
+    (moved,) = exchanges(race_tables.cleaned("laps"))
+    assert "hashpartitioning(season" in moved
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = race_tables.mart("lap_times")
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        laps_side = plan.split("SortMergeJoin")[1].split("silver_laps")[0]
+        assert "SortMergeJoin" in plan and "Exchange" not in laps_side
+        # nor do those who read the mart by driver or stint
+        assert exchanges(dashboards.degradation_deltas(race_tables.gold("lap_times"))) == []
+        assert len(race_tables.gold("lap_times").inputFiles()) <= race_tables.buckets
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert race_tables.silver("laps").count() == race_tables.gold("lap_times").count() > 0
