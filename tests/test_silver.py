@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from lapforge import schemas
+from lapforge.operators.losses import Losses
 from lapforge.plans import silver
 
 STAMP = "2031-07-21T00:00:00+00:00"
@@ -230,3 +231,13 @@ def test_weather_fill(spark):
         got = pair.collect()
         assert [(g["air_temp"], g["humidity"]) for g in got] == [(8.25, 41.0 if stamps[1] == LATER else 40.0)]
     assert temps((2031, 7, 0, 9.5), (2031, 7, 86400, None), (2031, 7, 172800, float("nan"))) == [9.5] * 3
+
+
+def test_values_are_read_once_when_losses_are_counted(spark):
+    """Counting what cannot be read does not read every value a second time."""
+    raw = spark.createDataFrame([], schemas.PIT_STOPS)
+    plain, counted = (
+        silver.clean_pit_stops(raw, losses=job)._jdf.queryExecution().optimizedPlan().toString() for job in (None, Losses("pit_stops"))
+    )
+    time_of_day = r"\d{1,2}:\d{1,2}:\d{1,2}"
+    assert plain.count(time_of_day) == counted.count(time_of_day) > 0
