@@ -24,6 +24,7 @@ from lapforge.sources import bronze, catalog, pages, sinks
 from lapforge.streaming import live
 from lapforge.streaming.merge import LiveTable
 from testbed.bindings import Tables
+from testbed.catalogue import bucketed
 
 
 def test_replace_partitions_is_idempotent_and_touches_only_its_races(spark, database):
@@ -214,6 +215,35 @@ def test_published_tables_have_no_file_per_season(spark, tmp_path):
         assert len(table.inputFiles()) <= 8
 
 
+def test_tables_stored_by_lap_move_their_rows_once(spark, tmp_path):
+    """Rows are dealt out by lap while they are narrow; the wide rows stay there, and buckets follow the size of the table."""
+    lines = [
+        (7 * i, i % 90, None if i % 31 == 0 else 5 * i % 400, i % 5, 1.0, 100.0 + i, 0.1, 0.0, "A", "F", None if i % 41 == 0 else datetime(1995, 1 + i % 12, 1))
+        for i in [*range(600), *range(200)]
+    ]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    events = [
+        (i, None if i % 37 == 0 else datetime(2024, 1, 1 + i % 28, i % 24, i % 60), None if i % 29 == 0 else i % 500, "view", float(i % 170), '{"k": 3}')
+        for i in [*range(600), *range(200)]
+    ]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    t = Tables.of(spark, str(tmp_path))
+    lap = ["season", "round", "abbreviation", "lap_number"]
+    for name in ("laps", "telemetry"):
+        stored = bucketed(t, name)
+        assert f"silver_{name}" not in t._made
+        moved = t.cleaned(name, by_lap=True).repartition(t.buckets, *lap)
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.index("Window") < plan.index("Exchange")
+        assert rows(stored) == rows(t.cleaned(name).select(*stored.columns)) and stored.count() > 100
+        assert len(stored.inputFiles()) <= t.buckets
+    sums = bucketed(t, "telemetry").groupBy(*lap).agg(F.count("speed").alias("n"))
+    assert "Exchange" not in sums.join(bucketed(t, "laps").hint("merge"), lap)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_profile_reads_new_races_only(spark, tmp_path):
     make = lambda rounds, stamp, v="x": spark.createDataFrame(
         [(2031, r, None if i % 3 == 0 else f"{v}{i % 4}", stamp) for r in rounds for i in range(12)], "season int, round int, d string, ingested_at string"
